@@ -193,10 +193,10 @@ weighed AS (SELECT t.k, coalesce(spans.n, 0) AS n, sums.k IS NULL AS flat, total
   LEFT JOIN (SELECT k, total, coalesce(up, 0) AS up, coalesce(down, 0) AS down, felt FROM sums) sums USING (k)),
 sentiments AS (SELECT k,
   CASE WHEN flat THEN 0.0 ELSE round((total / sqrt(total * total + 15.0))::DOUBLE, 4) END::DOUBLE AS compound,
-  CASE WHEN flat THEN 0.0 ELSE round((up / (up - down + n - felt))::DOUBLE, 3) END::DOUBLE AS positive,
+  CASE WHEN flat THEN 0.0 ELSE round((abs(up) / (up - down + n - felt))::DOUBLE, 3) END::DOUBLE AS positive,
   CASE WHEN flat THEN CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END
        ELSE round(((n - felt) / (up - down + n - felt))::DOUBLE, 3) END::DOUBLE AS neutral,
-  CASE WHEN flat THEN 0.0 ELSE round((-down / (up - down + n - felt))::DOUBLE, 3) END::DOUBLE AS negative
+  CASE WHEN flat THEN 0.0 ELSE round((abs(down) / (up - down + n - felt))::DOUBLE, 3) END::DOUBLE AS negative
   FROM weighed)"""
 
 
@@ -309,7 +309,7 @@ SELECT id, trim(lower(regexp_replace(title, '<[^>]+>', '', 'g'))) AS clean_title
   {stamp('ts')} AS published_at_ts FROM counted WHERE word_count > 5""",
     "dedup_ttl": ttl("user_id", "INTERVAL 7 DAY"),
     "dedup_ttl_stream": ttl("user_id", "INTERVAL 7 DAY"),
-    "dedup_ttl_crowded": ttl("event_type", "INTERVAL 1 DAY"),
+    "dedup_ttl_crowded": ttl("event_type", "INTERVAL 7 DAY"),
     "dedup_first": """SELECT user_id, event_id, epoch_us(ts) AS ts_us FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
     "dedup_unseen": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presswork.functions.binding import keep_where, let
 from presswork.operators.enrich import document_category, with_optional_fields
 from presswork.schemas import COLLECTION, VECTOR_SIZE
 
@@ -32,32 +33,31 @@ def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x))
 
 
+def _unit(vector: Column) -> Column:
+    def scale(length: Column) -> Column:
+        return F.transform(
+            vector, lambda x: F.when(length > 0, x / length).otherwise(F.lit(0.0)).cast("float")
+        )
+
+    return let(norm(vector), scale)
+
+
 def embed_hashed(df: DataFrame, text: str, size: int = VECTOR_SIZE, output: str = "vector") -> DataFrame:
     """Signed feature hashing of the words, on the unit sphere.
 
     Words are hashed into twice ``size`` counters; the upper half is subtracted
     from the lower, which gives every word a position and a sign.
     """
-    tokens = df.withColumn(
-        "_words",
-        F.coalesce(
-            F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{Nd}]+"), F.lit(0)),
-            F.array().cast("array<string>"),
-        ),
-    )
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{Nd}]+"), F.lit(0))
+    tokens = df.withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
     hashed = HashingTF(numFeatures=2 * size, inputCol="_words", outputCol="_counts").transform(tokens)
-    counts = hashed.withColumn("_counts", vector_to_array("_counts"))
-    signed = F.zip_with(
-        F.slice("_counts", 1, size), F.slice("_counts", size + 1, size), lambda a, b: a - b
-    )
-    scaled = counts.withColumn("_signed", signed).withColumn("_norm", norm(F.col("_signed")))
-    return scaled.withColumn(
-        output,
-        F.transform(
-            "_signed",
-            lambda x: F.when(F.col("_norm") > 0, x / F.col("_norm")).otherwise(F.lit(0.0)).cast("float"),
-        ),
-    ).drop("_words", "_counts", "_signed", "_norm")
+
+    def sign(counts: Column) -> Column:
+        lower, upper = F.slice(counts, 1, size), F.slice(counts, size + 1, size)
+        return F.zip_with(lower, upper, lambda a, b: a - b)
+
+    vector = let(let(vector_to_array("_counts"), sign), _unit)
+    return hashed.withColumn(output, vector).drop("_words", "_counts")
 
 
 def embed_with(
@@ -125,7 +125,7 @@ def points(documents: DataFrame, embedder: Embedder | None = None, size: int = V
     rows = embedded.select(
         F.xxhash64("article_id").alias("point_id"), "vector", F.struct(*fields).alias("payload")
     )
-    return rows.filter(F.size("vector") == size)
+    return rows if embedder is None else keep_where(rows, F.size("vector") == size)
 
 
 def empty_collection(spark: SparkSession) -> DataFrame:
