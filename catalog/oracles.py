@@ -139,9 +139,11 @@ def entities_cte() -> str:
     def tail(heads):
         return quoted(" (?:" + "|".join(heads) + ")$")
 
+    # Plain words are matched last and dropped: no mention starts inside a word.
+    mention = "|".join(f"(?:{p})" for p in (e.DATE, e.PERCENT, e.MONEY, e.NAME, r"[\p{L}\p{Nd}]+"))
     lead = quoted("^(?:(?:" + "|".join(d.LEADING_WORDS) + ")(?: |$))+")
     event = quoted("(?:^| )(?:" + "|".join(d.EVENT_HEADS) + ")$")
-    return rf"""mention_list AS (SELECT k, regexp_extract_all(x, {quoted(e.MENTION)}) AS ms FROM texts),
+    return rf"""mention_list AS (SELECT k, regexp_extract_all(x, {quoted(mention)}) AS ms FROM texts),
 mention_rows AS (SELECT k, unnest(ms) AS m, unnest(range(len(ms))) AS pos FROM mention_list),
 named AS (SELECT k, pos, m, regexp_full_match(m, {quoted(e.DATE)}) AS is_date,
     regexp_full_match(m, {quoted(e.PERCENT)}) AS is_percent, regexp_matches(m, '^[$€£¥]') AS is_money,

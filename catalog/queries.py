@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from presswork import dictionaries as d
 from presswork.cluster import shared_path
+from presswork.functions.binding import non_empty
 from presswork.functions.text import (
     clean_text,
     count_words,
@@ -76,7 +77,7 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.enrich(gold.nlp_input_articles(silver_table(spark, sf_dir)))
+    return enrich.enrich(gold.nlp_input_articles(silver_table(spark, sf_dir), min_words=None))
 
 
 def labelled_category(label: Column) -> Column:
@@ -306,7 +307,7 @@ def dedup_unseen(spark, sf_dir):
 
 
 def gold_nlp_input(spark, sf_dir):
-    return gold.nlp_input_articles(silver_table(spark, sf_dir)).select(
+    return gold.nlp_input_articles(silver_table(spark, sf_dir), min_words=None).select(
         "article_id", "clean_title", F.md5("clean_content").alias("content_md5"),
         F.md5("full_text_payload").alias("payload_md5"), "domain", "source_country",
         stamp("published_at_ts").alias("published_at_ts"),
@@ -315,7 +316,7 @@ def gold_nlp_input(spark, sf_dir):
 
 
 def gold_search_features(spark, sf_dir):
-    return gold.search_recommender_features(silver_table(spark, sf_dir)).select(
+    return gold.search_recommender_features(silver_table(spark, sf_dir), min_words=None).select(
         "doc_id", "title", "url", "domain", "word_count", "est_read_time_mins",
         stamp("published_at_ts").alias("published_at_ts"),
         day("published_date").alias("published_date"),
@@ -390,7 +391,7 @@ def _tagged(spark, sf_dir):
 
 
 def nlp_entities(spark, sf_dir):
-    return _tagged(spark, sf_dir).select("doc_id", F.posexplode("entities").alias("position", "e")).select(
+    return _tagged(spark, sf_dir).select("doc_id", F.posexplode(non_empty(F.col("entities"))).alias("position", "e")).select(
         "doc_id", "position", F.col("e.text").alias("entity"), F.col("e.label").alias("label")
     )
 
@@ -403,7 +404,7 @@ def nlp_locations(spark, sf_dir):
         F.lower(F.concat_ws(" ", F.lit("src"), "source")).alias("name")
     ).unionByName(spark.createDataFrame([(g,) for g in d.GAZETTEER], "name string"))
     return verify_locations(tagged, "doc_id", "entities", names).select(
-        "doc_id", F.posexplode("locations").alias("position", "l")
+        "doc_id", F.posexplode(non_empty(F.col("locations"))).alias("position", "l")
     ).select("doc_id", "position", F.col("l.text").alias("location"), F.col("l.verified_location").alias("verified"))
 
 
@@ -451,9 +452,8 @@ def nlp_frequent_words(spark, sf_dir):
 
 def nlp_term_frequency(spark, sf_dir):
     """Occurrences of every word over all documents, stop words left out."""
-    words = documents(spark, sf_dir).select(
-        F.explode(F.regexp_extract_all(F.lower("text"), F.lit(topics.WORD), F.lit(0))).alias("word")
-    )
+    found = F.regexp_extract_all(F.lower("text"), F.lit(topics.WORD), F.lit(0))
+    words = documents(spark, sf_dir).select(F.explode(found).alias("word"))
     return words.filter(~F.col("word").isin(*d.STOP_WORDS)).groupBy("word").agg(F.count("*").alias("n"))
 
 

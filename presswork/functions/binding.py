@@ -39,3 +39,12 @@ def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     """
     passed = F.when(condition, F.array(F.lit(True)))
     return df.select("*", F.explode(passed).alias("_passed")).drop("_passed")
+
+
+def non_empty(items: Column) -> Column:
+    """An array to explode, null when it is empty.
+
+    For a bare array column the optimizer adds a filter on its size and moves
+    that down to the scan, which computes the array once more.
+    """
+    return F.when(F.size(items) > 0, items)

@@ -16,14 +16,9 @@ def replace_tags(text: Column, replacement: str) -> Column:
     return F.regexp_replace(text, TAG, replacement)
 
 
-def words(text: Column) -> Column:
-    """Whitespace-separated words, Unicode spaces included."""
-    return F.filter(F.split(text, UNICODE_SPACES), lambda w: w != "")
-
-
 def count_words(text: Column) -> Column:
-    """Number of whitespace-separated words; 0 for null."""
-    return F.coalesce(F.size(words(text)), F.lit(0))
+    """Number of words between Unicode white space; 0 for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"(?U)\S+")), F.lit(0))
 
 
 def strip(text: Column) -> Column:

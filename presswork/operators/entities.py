@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork import dictionaries as d
-from presswork.functions.binding import let
+from presswork.functions.binding import let, non_empty
 from presswork.schemas import ENTITIES
 
 _MONTH = "(?:" + "|".join(d.MONTHS) + ")"
@@ -20,26 +20,25 @@ PERCENT = r"[0-9]+(?:[.,][0-9]+)*(?:%| percent)"
 MONEY = r"[$€£¥][0-9]+(?:[.,][0-9]+)*(?: (?:million|billion|trillion))?"
 _NAME_WORD = r"\p{Lu}\p{L}*(?:[-'’]\p{L}+)*"
 NAME = rf"{_NAME_WORD}(?: {_NAME_WORD})*"
-OTHER = r"[\p{L}\p{Nd}]+"
-# Earlier forms win; OTHER swallows plain words, so that no match starts inside one.
-MENTION = "|".join(f"(?:{p})" for p in (DATE, PERCENT, MONEY, NAME, OTHER))
+# A mention starts where no word is under way; an amount may follow a word. The
+# look-ahead rules out most positions before anything else is tried.
+MENTION = rf"(?=[\p{{Lu}}0-9])(?<![\p{{L}}\p{{Nd}}])(?:{DATE}|{PERCENT}|{NAME})|{MONEY}"
 
+CURRENCIES = ("$", "€", "£", "¥")
 _LEADING = "^(?:(?:" + "|".join(d.LEADING_WORDS) + ")(?: |$))+"
 
 
-def _ends_with(words: Sequence[str]) -> str:
-    return " (?:" + "|".join(words) + ")$"
-
-
 def _label(name: Column, gazetteer: Sequence[str]) -> Column:
-    lowered = F.lower(name)
+    known = F.lower(name)
+    several = name.contains(" ")
+    head = F.substring_index(name, " ", -1)
     return (
-        F.when(lowered.isin(*gazetteer), "GPE")
-        .when(name.rlike(_ends_with(d.LOCATION_HEADS)), "LOC")
-        .when(name.rlike("(?:^| )(?:" + "|".join(d.EVENT_HEADS) + ")$") & (name.contains(" ") | (name == "Olympics")), "EVENT")
-        .when(name.rlike(_ends_with(d.ORGANIZATION_HEADS)) | lowered.isin(*d.ORGANIZATIONS), "ORG")
+        F.when(known.isin(*gazetteer), "GPE")
+        .when(several & head.isin(*d.LOCATION_HEADS), "LOC")
+        .when((several & head.isin(*d.EVENT_HEADS)) | (name == "Olympics"), "EVENT")
+        .when((several & head.isin(*d.ORGANIZATION_HEADS)) | known.isin(*d.ORGANIZATIONS), "ORG")
+        .when(several, "PERSON")
         .when(name.rlike("^[A-Z]{2,6}$"), "ORG")
-        .when(name.contains(" "), "PERSON")
     )
 
 
@@ -50,11 +49,17 @@ def _entity(mention: Column, gazetteer: Sequence[str]) -> Column:
     def fixed(label: str) -> Column:
         return F.struct(mention.alias("text"), F.lit(label).alias("label"))
 
+    name = (
+        F.when(mention.contains(" "), F.regexp_replace(mention, _LEADING, ""))
+        .when(mention.isin(*d.LEADING_WORDS), F.lit(""))
+        .otherwise(mention)
+    )
+    # Only dates and amounts have digits, and only amounts these marks.
     return (
-        F.when(mention.rlike(f"^(?:{DATE})$"), fixed("DATE"))
-        .when(mention.rlike(f"^(?:{PERCENT})$"), fixed("PERCENT"))
-        .when(mention.rlike("^[$€£¥]"), fixed("MONEY"))
-        .otherwise(let(F.regexp_replace(mention, _LEADING, ""), named))
+        F.when(F.substring(mention, 1, 1).isin(*CURRENCIES), fixed("MONEY"))
+        .when(mention.endswith("%") | mention.endswith(" percent"), fixed("PERCENT"))
+        .when(mention.isin(*d.WEEKDAYS) | mention.rlike("[0-9]"), fixed("DATE"))
+        .otherwise(let(name, named))
     )
 
 
@@ -66,10 +71,7 @@ def extract_entities(text: Column, gazetteer: Sequence[str] = d.GAZETTEER) -> Co
     acronym. ``gazetteer`` is a short list; pass a table of any size to
     ``verify_locations`` instead of lengthening it.
     """
-    mentions = F.filter(
-        F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)),
-        lambda m: m.rlike(r"^[\p{Lu}$€£¥]|^[0-9].*[^0-9]|^[0-9]{4}-"),
-    )
+    mentions = F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
     found = F.transform(mentions, lambda m: _entity(m, gazetteer))
     kept = F.filter(found, lambda e: e["label"].isNotNull() & (e["text"] != ""))
     return F.coalesce(kept, F.array().cast(ENTITIES))
@@ -94,7 +96,7 @@ def verify_locations(df: DataFrame, key: str, entities: str, gazetteer: DataFram
     go back to their articles; positions keep the text order.
     """
     mentions = (
-        df.select(key, F.posexplode(entities).alias("position", "entity"))
+        df.select(key, F.posexplode(non_empty(F.col(entities))).alias("position", "entity"))
         .filter(F.col("entity.label").isin("GPE", "LOC"))
         .select(key, "position", F.col("entity.text").alias("text"))
         .withColumn("name", F.lower("text"))

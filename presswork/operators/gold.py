@@ -14,8 +14,17 @@ def _mean(column: str, places: int = 2) -> Column:
     return F.round(total / F.count(column).cast("decimal(10,0)"), places).cast("double")
 
 
-def nlp_input_articles(silver: DataFrame) -> DataFrame:
-    return silver.filter(F.col("word_count") >= MIN_WORDS).select(
+def long_enough(silver: DataFrame, min_words: int | None) -> DataFrame:
+    """The length rule of stored silver, pushed into its scan.
+
+    None skips it, for rows that come straight out of the silver job: there it
+    has been applied, and a second test would clean every text once more.
+    """
+    return silver if min_words is None else silver.filter(F.col("word_count") >= min_words)
+
+
+def nlp_input_articles(silver: DataFrame, min_words: int | None = MIN_WORDS) -> DataFrame:
+    return long_enough(silver, min_words).select(
         F.col("id").alias("article_id"),
         "clean_title",
         "clean_content",
@@ -28,8 +37,8 @@ def nlp_input_articles(silver: DataFrame) -> DataFrame:
     )
 
 
-def search_recommender_features(silver: DataFrame) -> DataFrame:
-    return silver.filter(F.col("word_count") >= MIN_WORDS).select(
+def search_recommender_features(silver: DataFrame, min_words: int | None = MIN_WORDS) -> DataFrame:
+    return long_enough(silver, min_words).select(
         F.col("id").alias("doc_id"),
         F.col("clean_title").alias("title"),
         "url",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.functions.binding import first_truthy
+from presswork.functions.binding import first_truthy, keep_where
 from presswork.functions.text import count_words, strip, url_id
 from presswork.schemas import ARTICLE_EVENT, REQUIRED_EVENT_FIELDS
 
@@ -69,14 +69,15 @@ def triage_entries(entries: DataFrame) -> DataFrame:
 
 def fetched_records(entries: DataFrame) -> DataFrame:
     """Records of the feed fetcher: kept entries only."""
-    kept = triage_entries(entries.filter(_has_link())).filter("reject_reason IS NULL")
+    triaged = triage_entries(entries.filter(_has_link()))
+    kept = keep_where(triaged, F.col("reject_reason").isNull())
     return kept.drop("reject_reason").withColumns(
         {"full_content": F.col("content"), "_ingested_at": _iso_now()}
     )
 
 
 def rejected_entries(entries: DataFrame) -> DataFrame:
-    return triage_entries(entries).filter("reject_reason IS NOT NULL")
+    return keep_where(triage_entries(entries), F.col("reject_reason").isNotNull())
 
 
 def scraped_events(entries: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presswork.cluster import is_small
+from presswork.functions.binding import non_empty
 from presswork.operators.collection import embed_hashed, norm
 from presswork.schemas import VECTOR_SIZE
 
@@ -178,5 +179,5 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
 
 def trending(collection: DataFrame, limit: int = 10) -> DataFrame:
     """Most frequent entities of all articles; equal counts go by name."""
-    counts = collection.select(F.explode("entities").alias("entity")).groupBy("entity").count()
+    counts = collection.select(F.explode(non_empty(F.col("entities"))).alias("entity")).groupBy("entity").count()
     return counts.orderBy(F.desc("count"), "entity").limit(limit)

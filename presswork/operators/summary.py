@@ -11,7 +11,7 @@ from presswork.functions.text import count_words
 SHORT_WORDS = 40
 THRESHOLD = 0.1
 EPSILON = 0.1
-ROWS_PER_BLOCK = 2048
+DENSE_CELLS = 4_000_000
 FALLBACK_CHARS = 200
 
 SENTENCE_END = r"(?<=[.!?])\s+(?=[\"“'(]?[\p{Lu}\p{Nd}])"
@@ -53,28 +53,32 @@ def _summarizer(count: int):
         return rows, len(columns)
 
     def linked(rows, width):
-        """Per sentence, the sentences more similar than the threshold.
-
-        Similarities are summed term by term over an inverted index, one dense
-        row at a time: memory follows the links kept, not sentences squared.
-        """
-        postings = {}
-        for i, (at, value) in enumerate(rows):
-            for column, v in zip(at, value):
-                ids, vs = postings.setdefault(column, ([], []))
-                ids.append(i)
-                vs.append(v)
-        postings = {c: (np.array(i), np.array(v)) for c, (i, v) in postings.items()}
+        """Per sentence, the sentences more similar than the threshold."""
+        if len(rows) * max(width, len(rows)) <= DENSE_CELLS:
+            table = np.zeros((len(rows), width))
+            for i, (at, value) in enumerate(rows):
+                table[i, at] = value
+            return [np.flatnonzero(row > THRESHOLD) for row in table @ table.T]
+        # Long texts: similarities are summed term by term over an inverted
+        # index, a sentence at a time; memory follows the links, not n squared.
+        columns = np.concatenate([at for at, _ in rows])
+        weight = np.concatenate([value for _, value in rows])
+        owner = np.repeat(np.arange(len(rows)), [len(at) for at, _ in rows])
+        order = np.argsort(columns, kind="stable")
+        owner, weight = owner[order], weight[order]
+        start = np.searchsorted(columns[order], np.arange(width + 1))
+        links = []
         for at, value in rows:
             likeness = np.zeros(len(rows))
             for column, v in zip(at, value):
-                ids, vs = postings[column]
-                likeness[ids] += v * vs
-            yield np.flatnonzero(likeness > THRESHOLD)
+                span = slice(start[column], start[column + 1])
+                likeness[owner[span]] += v * weight[span]
+            links.append(np.flatnonzero(likeness > THRESHOLD))
+        return links
 
     def central(parts):
         rows, width = weights(parts)
-        links = list(linked(rows, width))
+        links = linked(rows, width)
         source = np.repeat(np.arange(len(parts)), [len(x) for x in links])
         target = np.concatenate(links) if len(source) else np.array([], dtype=np.int64)
         degree = np.maximum(np.bincount(source, minlength=len(parts)), 1)

@@ -83,8 +83,17 @@ def append_stream(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     every: str | None = None,
+    files_per_partition: int = 8,
 ):
-    """Start an append sink. Without ``every`` it stops when the input is read."""
+    """Start an append sink. Without ``every`` it stops when the input is read.
+
+    A partitioned sink gathers the rows of a partition in at most
+    ``files_per_partition`` tasks: few files per micro-batch, and a partition with
+    a large part of the rows still has several writers.
+    """
+    if partition_by:
+        share = F.pmod(F.xxhash64(*df.columns[:1]), F.lit(files_per_partition))
+        df = df.repartition(*partition_by, share)
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
