@@ -140,16 +140,15 @@ def entities_cte() -> str:
         return quoted(" (?:" + "|".join(heads) + ")$")
 
     # Plain words are matched last and dropped: no mention starts inside a word.
-    mention = "|".join(f"(?:{p})" for p in (e.DATE, e.PERCENT, e.MONEY, e.NAME, r"[\p{L}\p{Nd}]+"))
-    lead = quoted("^(?:(?:" + "|".join(d.LEADING_WORDS) + ")(?: |$))+")
+    mention = "|".join(f"(?:{p})" for p in (e.DATE, e.PERCENT, e.MONEY, e.LEAD, e.NAME, r"[\p{L}\p{Nd}]+"))
     event = quoted("(?:^| )(?:" + "|".join(d.EVENT_HEADS) + ")$")
     return rf"""mention_list AS (SELECT k, regexp_extract_all(x, {quoted(mention)}) AS ms FROM texts),
 mention_rows AS (SELECT k, unnest(ms) AS m, unnest(range(len(ms))) AS pos FROM mention_list),
 named AS (SELECT k, pos, m, regexp_full_match(m, {quoted(e.DATE)}) AS is_date,
     regexp_full_match(m, {quoted(e.PERCENT)}) AS is_percent, regexp_matches(m, '^[$€£¥]') AS is_money,
-    regexp_replace(m, {lead}, '') AS name
-  FROM mention_rows WHERE regexp_matches(m, '^[\p{{Lu}}$€£¥0-9]')),
-labelled AS (SELECT k, pos, CASE WHEN is_date OR is_percent OR is_money THEN m ELSE name END AS text,
+    m AS name
+  FROM mention_rows WHERE regexp_matches(m, '^[\p{{Lu}}$€£¥0-9].*[^ ]$|^\p{{Lu}}$')),
+labelled AS (SELECT k, pos, m AS text,
   CASE WHEN is_date THEN 'DATE' WHEN is_percent THEN 'PERCENT' WHEN is_money THEN 'MONEY'
     WHEN lower(name) IN {words_in(d.GAZETTEER)} THEN 'GPE'
     WHEN regexp_matches(name, {tail(d.LOCATION_HEADS)}) THEN 'LOC'
@@ -159,7 +158,7 @@ labelled AS (SELECT k, pos, CASE WHEN is_date OR is_percent OR is_money THEN m E
     WHEN contains(name, ' ') THEN 'PERSON' END AS label
   FROM named),
 entities AS (SELECT k, (row_number() OVER (PARTITION BY k ORDER BY pos) - 1)::INTEGER AS position, text, label
-  FROM labelled WHERE label IS NOT NULL AND text <> '')"""
+  FROM labelled WHERE label IS NOT NULL)"""
 
 
 def sentiment_cte() -> str:

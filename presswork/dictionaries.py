@@ -61,7 +61,7 @@ FUNCTION_WORDS = {
     "en": ("the", "of", "and", "to", "in", "is", "that", "for", "it", "with", "was", "by", "are", "this", "on"),
     "fr": ("le", "la", "les", "de", "des", "et", "un", "une", "est", "que", "qui", "dans", "pour", "sur", "du"),
     "de": ("der", "die", "das", "und", "ist", "nicht", "ein", "eine", "den", "von", "mit", "zu", "auf", "für", "dem"),
-    "es": ("el", "los", "las", "y", "en", "que", "por", "una", "con", "para", "es", "del", "se", "no", "como"),
+    "es": ("el", "la", "los", "las", "de", "y", "en", "que", "por", "una", "con", "para", "es", "del", "no"),
 }
 
 # --- Fixed values: place names of the default gazetteer, lower case.

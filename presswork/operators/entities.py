@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork import dictionaries as d
-from presswork.functions.binding import let, non_empty
+from presswork.functions.binding import non_empty
 from presswork.schemas import ENTITIES
 
 _MONTH = "(?:" + "|".join(d.MONTHS) + ")"
@@ -20,12 +20,14 @@ PERCENT = r"[0-9]+(?:[.,][0-9]+)*(?:%| percent)"
 MONEY = r"[$€£¥][0-9]+(?:[.,][0-9]+)*(?: (?:million|billion|trillion))?"
 _NAME_WORD = r"\p{Lu}\p{L}*(?:[-'’]\p{L}+)*"
 NAME = rf"{_NAME_WORD}(?: {_NAME_WORD})*"
+# A capitalised function word and its space: matched on its own, so that it
+# neither opens a name nor hides a date.
+LEAD = "(?:" + "|".join(d.LEADING_WORDS) + ") "
 # A mention starts where no word is under way; an amount may follow a word. The
 # look-ahead rules out most positions before anything else is tried.
-MENTION = rf"(?=[\p{{Lu}}0-9])(?<![\p{{L}}\p{{Nd}}])(?:{DATE}|{PERCENT}|{NAME})|{MONEY}"
+MENTION = rf"(?=[\p{{Lu}}0-9])(?<![\p{{L}}\p{{Nd}}])(?:{DATE}|{PERCENT}|{LEAD}|{NAME})|{MONEY}"
 
 CURRENCIES = ("$", "€", "£", "¥")
-_LEADING = "^(?:(?:" + "|".join(d.LEADING_WORDS) + ")(?: |$))+"
 
 
 def _label(name: Column, gazetteer: Sequence[str]) -> Column:
@@ -49,31 +51,26 @@ def _entity(mention: Column, gazetteer: Sequence[str]) -> Column:
     def fixed(label: str) -> Column:
         return F.struct(mention.alias("text"), F.lit(label).alias("label"))
 
-    name = (
-        F.when(mention.contains(" "), F.regexp_replace(mention, _LEADING, ""))
-        .when(mention.isin(*d.LEADING_WORDS), F.lit(""))
-        .otherwise(mention)
-    )
     # Only dates and amounts have digits, and only amounts these marks.
     return (
         F.when(F.substring(mention, 1, 1).isin(*CURRENCIES), fixed("MONEY"))
         .when(mention.endswith("%") | mention.endswith(" percent"), fixed("PERCENT"))
         .when(mention.isin(*d.WEEKDAYS) | mention.rlike("[0-9]"), fixed("DATE"))
-        .otherwise(let(name, named))
+        .otherwise(named(mention))
     )
 
 
 def extract_entities(text: Column, gazetteer: Sequence[str] = d.GAZETTEER) -> Column:
     """Entities in text order: dates, percentages, money, places and names.
 
-    A run of capitalised words is a name once leading function words are cut;
-    a single capitalised word counts only when a list knows it or it is an
-    acronym. ``gazetteer`` is a short list; pass a table of any size to
+    A run of capitalised words after any function words is a name; a single
+    capitalised word counts only when a list knows it or it is an acronym. ``gazetteer`` is a short list; pass a table of any size to
     ``verify_locations`` instead of lengthening it.
     """
-    mentions = F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
+    matches = F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
+    mentions = F.filter(matches, lambda m: ~m.endswith(" "))
     found = F.transform(mentions, lambda m: _entity(m, gazetteer))
-    kept = F.filter(found, lambda e: e["label"].isNotNull() & (e["text"] != ""))
+    kept = F.filter(found, lambda e: e["label"].isNotNull())
     return F.coalesce(kept, F.array().cast(ENTITIES))
 
 

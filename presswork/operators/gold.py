@@ -83,14 +83,14 @@ def quality_report(cleaned: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     live = F.col("kept") > 0
     total = F.sum("words").cast("decimal(28,0)")
     return publishers.agg(
-        F.sum("kept").alias("kept_rows"),
-        F.sum(F.col("seen") - F.col("kept")).alias("rejected_rows"),
+        F.coalesce(F.sum("kept"), F.lit(0)).alias("kept_rows"),
+        F.coalesce(F.sum(F.col("seen") - F.col("kept")), F.lit(0)).alias("rejected_rows"),
         F.countDistinct(F.when(live, F.col("source_country"))).alias("countries"),
         F.countDistinct(F.when(live, F.col("domain"))).alias("domains"),
         F.round(total / F.nullif(F.sum("kept"), F.lit(0)).cast("decimal(18,0)"), 2)
         .cast("double")
         .alias("avg_word_count"),
-        F.sum("breaking").alias("breaking_rows"),
+        F.coalesce(F.sum("breaking"), F.lit(0)).alias("breaking_rows"),
     )
 
 

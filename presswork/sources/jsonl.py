@@ -22,34 +22,37 @@ def save_run(records: DataFrame, folder: str, now: datetime | None = None) -> st
     return path
 
 
-def newest_run(
-    spark: SparkSession,
-    folder: str,
-    schema: StructType = ENRICHED,
-    missing_ok: bool = False,
-) -> DataFrame:
-    """Documents of the newest run.
+def newest_path(spark: SparkSession, folder: str, prefix: str) -> str | None:
+    """Path of the newest entry of ``folder`` by name, None when there is none.
 
-    Only file names decide, so the run is found in a listing of the folder and
-    the documents of older runs are never read.
+    Names sort by time. Only the listing is read, never the content of runs, and
+    what comes back to the driver is one name.
     """
-    empty = spark.createDataFrame([], schema)
     try:
-        listing = (
+        files = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.json*")
             .load(folder)
-            .select(F.regexp_extract("path", rf"^(.*{RUN_PREFIX}[^/]*\.jsonl)", 1).alias("run"))
+            .select(F.regexp_extract("path", rf"^(.*/{prefix}[^/]*)", 1).alias("run"))
             .filter("run <> ''")
         )
-        newest = listing.agg(F.max("run")).first()[0]
+        return files.agg(F.max("run")).first()[0]
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        newest = None
-    if newest is None:
-        if missing_ok:
-            return empty
-        raise FileNotFoundError(f"no runs in {folder}")
-    return spark.read.schema(schema).json(newest)
+        return None
+
+
+def newest_run(
+    spark: SparkSession,
+    folder: str,
+    schema: StructType = ENRICHED,
+    missing_ok: bool = False,
+) -> DataFrame:
+    """Documents of the newest run; blank lines are skipped."""
+    newest = newest_path(spark, folder, RUN_PREFIX)
+    if newest is not None:
+        return spark.read.schema(schema).json(newest)
+    if missing_ok:
+        return spark.createDataFrame([], schema)
+    raise FileNotFoundError(f"no runs in {folder}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,9 +17,15 @@ def read_table(
     path: str,
     fmt: str = "parquet",
     schema: StructType | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
-    """Batch scan; a missing path is reported as ``FileNotFoundError``."""
+    """Batch scan; a missing path is reported as ``FileNotFoundError``.
+
+    ``merge_schema`` reads a table whose files gained columns over time.
+    """
     reader = spark.read.format(fmt)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
     if schema is not None:
         reader = reader.schema(schema)
     try:
@@ -61,8 +67,8 @@ def overwrite_table(
     path: str,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
-) -> None:
-    """Replace a table, schema included.
+) -> int:
+    """Replace a table, schema included; returns the rows written.
 
     Rows are rebalanced on the partition columns first: small partitions share
     a task and a partition holding a large part of the rows is split over
@@ -70,10 +76,13 @@ def overwrite_table(
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+    return written.get["rows"]
 
 
 def append_stream(
@@ -83,7 +92,7 @@ def append_stream(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     every: str | None = None,
-    files_per_partition: int = 8,
+    files_per_partition: int = 4,
 ):
     """Start an append sink. Without ``every`` it stops when the input is read.
 

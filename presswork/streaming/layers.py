@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from presswork.operators.silver import PARTITIONS, to_silver
 from presswork.schemas import BRONZE
@@ -24,8 +25,14 @@ def bronze_to_silver(
     every: str | None = None,
     partition_by: tuple[str, ...] = PARTITIONS,
 ):
-    """Append cleaned articles to the silver table; started query."""
-    return append_stream(to_silver(bronze), path, checkpoint, partition_by, every=every)
+    """Append cleaned articles to the silver table; started query.
+
+    ``processed_date`` is available for tables kept by day of processing.
+    """
+    silver = to_silver(bronze)
+    if "processed_date" in partition_by:
+        silver = silver.withColumn("processed_date", F.to_date("silver_processed_at"))
+    return append_stream(silver, path, checkpoint, partition_by, every=every)
 
 
 def bronze_stream(spark: SparkSession, path: str, **options) -> DataFrame:
