@@ -142,11 +142,13 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
         import numpy as np
         import pandas as pd
 
-        wanted_rows = np.asarray(vectors, dtype=np.float64).reshape(len(ids), -1)
+        if not ids:
+            return
+        wanted_rows = np.asarray(vectors, dtype=np.float64)
         lengths = np.linalg.norm(wanted_rows, axis=1)
         found = None
         for batch in batches:
-            if not len(batch) or not len(ids):
+            if not len(batch):
                 continue
             block = np.stack(batch["vector"].to_numpy()).astype(np.float64)
             scale = np.outer(lengths, np.linalg.norm(block, axis=1))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from presswork.operators import collection, enrich, portal, ranking, search
 from presswork.plans import lake
-from presswork.sources.jsonl import save_run
+from presswork.sources.jsonl import newest_run
 
 CATEGORIES = ["Technology", "Sports", "Business"]
 
@@ -185,7 +185,7 @@ def test_related_panel_defaults(points):
 def test_lake_jobs(spark, tmp_path):
     from presswork.operators.silver import PARTITIONS, to_silver
     from presswork.plans.articles import bronze_articles
-    from presswork.sources.tables import overwrite_table, read_table
+    from presswork.sources.tables import overwrite_table
 
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     paths = {n: f"{tmp_path}/{n}" for n in ("silver", "gold", "runs", "points")}
@@ -200,7 +200,7 @@ def test_lake_jobs(spark, tmp_path):
     stats = collection.collection_stats(points, "news").first()
     assert (stats["vectors_count"], stats["vector_size"]) == (kept, 384)
     assert search.hybrid_search(points, search.query_vector(spark, "the election"), limit=5).count() == 5
-    assert enrich.enrichment_report(read_table(spark, paths["runs"], "json")).first()["enriched"] == kept
+    assert enrich.enrichment_report(newest_run(spark, paths["runs"])).first()["enriched"] == kept
     lake.clear_collection(spark, paths["points"])
     assert lake.read_collection(spark, paths["points"]).count() == 0
 
