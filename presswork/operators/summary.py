@@ -12,6 +12,7 @@ SHORT_WORDS = 40
 THRESHOLD = 0.1
 EPSILON = 0.1
 DENSE_CELLS = 4_000_000
+MAX_STEPS = 1000
 FALLBACK_CHARS = 200
 
 SENTENCE_END = r"(?<=[.!?])\s+(?=[\"“'(]?[\p{Lu}\p{Nd}])"
@@ -23,73 +24,78 @@ def sentences(text: Column) -> Column:
 
 def _summarizer(count: int):
     import re
+    from collections import Counter
 
     import numpy as np
 
     token = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
-    def weights(parts):
-        """Row-normalised tf-idf of the sentences, as (columns, values) per row."""
-        columns, bags = {}, []
-        for part in parts:
-            bag = {}
-            for word in token.findall(part.lower()):
-                at = columns.setdefault(word, len(columns))
-                bag[at] = bag.get(at, 0) + 1
-            bags.append(bag)
+    def weights(bags, copies):
+        """tf-idf of the distinct sentences, normalised: (columns, values) each."""
+        columns = {}
+        rows = [np.array([columns.setdefault(w, len(columns)) for w, _ in bag], dtype=np.int64) for bag in bags]
         spread = np.zeros(len(columns))
-        for bag in bags:
-            spread[list(bag)] += 1
-        idf = np.log(len(parts) / (1.0 + spread))
-        rows = []
-        for bag in bags:
-            at = np.fromiter(bag, dtype=np.int64, count=len(bag))
-            value = np.fromiter(bag.values(), dtype=float, count=len(bag))
+        for at, n in zip(rows, copies):
+            spread[at] += n
+        idf = np.log(copies.sum() / (1.0 + spread))
+        out = []
+        for at, bag in zip(rows, bags):
+            value = np.array([n for _, n in bag], dtype=float)
             if len(at):
                 value = value / value.max() * idf[at]
                 norm = np.sqrt(value @ value)
                 value = value / norm if norm > 0 else value * 0.0
-            rows.append((at, value))
-        return rows, len(columns)
+            out.append((at, value))
+        return out, len(columns)
 
-    def linked(rows, width):
-        """Per sentence, the sentences more similar than the threshold."""
+    def likeness(rows, width):
+        """Similarities of one sentence after the other to all sentences."""
         if len(rows) * max(width, len(rows)) <= DENSE_CELLS:
             table = np.zeros((len(rows), width))
             for i, (at, value) in enumerate(rows):
                 table[i, at] = value
-            return [np.flatnonzero(row > THRESHOLD) for row in table @ table.T]
-        # Long texts: similarities are summed term by term over an inverted
-        # index, a sentence at a time; memory follows the links, not n squared.
+            yield from table @ table.T
+            return
+        # Long texts: summed term by term over an inverted index.
         columns = np.concatenate([at for at, _ in rows])
         weight = np.concatenate([value for _, value in rows])
         owner = np.repeat(np.arange(len(rows)), [len(at) for at, _ in rows])
         order = np.argsort(columns, kind="stable")
         owner, weight = owner[order], weight[order]
         start = np.searchsorted(columns[order], np.arange(width + 1))
-        links = []
         for at, value in rows:
-            likeness = np.zeros(len(rows))
+            row = np.zeros(len(rows))
             for column, v in zip(at, value):
                 span = slice(start[column], start[column + 1])
-                likeness[owner[span]] += v * weight[span]
-            links.append(np.flatnonzero(likeness > THRESHOLD))
-        return links
+                row[owner[span]] += v * weight[span]
+            yield row
 
     def central(parts):
-        rows, width = weights(parts)
-        links = linked(rows, width)
-        source = np.repeat(np.arange(len(parts)), [len(x) for x in links])
-        target = np.concatenate(links) if len(source) else np.array([], dtype=np.int64)
-        degree = np.maximum(np.bincount(source, minlength=len(parts)), 1)
-        rank = np.full(len(parts), 1.0 / len(parts))
-        for _ in range(1000):
-            new = np.bincount(target, rank[source] / degree[source], minlength=len(parts))
-            moved = np.linalg.norm(new - rank)
+        """Stationary weight of every sentence on the graph of similar ones.
+
+        Equal sentences are one node with a number of copies, and links are
+        found anew in each step instead of kept: memory grows with the text,
+        not with the pairs of its sentences.
+        """
+        nodes = {}
+        owner = [
+            nodes.setdefault(tuple(sorted(Counter(token.findall(p.lower())).items())), len(nodes))
+            for p in parts
+        ]
+        copies = np.bincount(owner).astype(float)
+        rows, width = weights(list(nodes), copies)
+        rank = np.full(len(nodes), 1.0 / len(parts))
+        for _ in range(MAX_STEPS):
+            new = np.zeros(len(nodes))
+            for i, row in enumerate(likeness(rows, width)):
+                linked = row > THRESHOLD
+                degree = max(copies[linked].sum(), 1.0)
+                new[linked] += copies[i] * rank[i] / degree
+            moved = np.sqrt(copies @ (new - rank) ** 2)
             rank = new
             if moved <= EPSILON:
                 break
-        return rank
+        return rank[owner]
 
     def summarize(parts) -> str:
         if len(parts) > count:

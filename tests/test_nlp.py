@@ -234,3 +234,28 @@ def test_plugged_embedder(spark):
     df = spark.createDataFrame([(1, "a"), (2, "bbb")], "i int, x string")
     out = collection.embed_with(df, "x", lambda texts: [[len(t), 1.0] for t in texts], batch=1).orderBy("i").collect()
     assert [r["vector"] for r in out] == [[1.0, 1.0], [3.0, 1.0]]
+
+
+def test_summary_against_plain_matrices():
+    """Erkan & Radev with one row and column per sentence, copies included."""
+    import random
+    import re
+
+    rng = random.Random(9)
+    vocabulary = [f"{a}{b}" for a in "bcdf" for b in ("ame", "ilo", "unt")]
+    parts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(2, 7))) + "." for _ in range(25)]
+    parts += [parts[3]] * 10 + ["123."]
+    bags = [re.findall(r"[a-z]+", p) for p in parts]
+    terms = sorted({w for b in bags for w in b})
+    idf = {w: np.log(len(bags) / (1 + sum(w in b for b in bags))) for w in terms}
+    table = np.array([[b.count(w) / max((b.count(x) for x in b), default=1) * idf[w] for w in terms] for b in bags])
+    norms = np.linalg.norm(table, axis=1, keepdims=True)
+    table = np.divide(table, norms, out=np.zeros_like(table), where=norms > 0)
+    links = (table @ table.T > summary.THRESHOLD).astype(float)
+    links /= np.maximum(links.sum(axis=1, keepdims=True), 1)
+    rank, moved = np.full(len(bags), 1 / len(bags)), 1.0
+    while moved > summary.EPSILON:
+        new = links.T @ rank
+        rank, moved = new, np.linalg.norm(new - rank)
+    best = sorted(np.argsort(-np.round(rank, 12), kind="stable")[:2])
+    assert summary._summarizer(2)(parts) == " ".join(parts[i] for i in best)
