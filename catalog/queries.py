@@ -377,8 +377,7 @@ def nlp_translation_route(spark, sf_dir):
         "doc_id", "text", language.detect_language(F.col("text")).alias("detected_language")
     )
     routed = language.translate(
-        detected, "text", "detected_language",
-        lambda code, texts: [f"[{code}] {t}" for t in texts], ["fr"],
+        detected, "text", "detected_language", {"fr": lambda: lambda texts: [f"[fr] {t}" for t in texts]}
     )
     return routed.select(
         "doc_id", "detected_language", "translation_applied",
@@ -669,6 +668,19 @@ def portal_related(spark, sf_dir):
     )
 
 
+def portal_search(spark, sf_dir):
+    """Text search over all documents: embedded, ranked, cut to the named category."""
+    docs = documents(spark, sf_dir).select(
+        F.md5(fixture.article_url()).alias("article_id"), "text",
+        topics.best_category(topics.category_scores(F.col("text"))).alias("predicted_category"),
+    )
+    points = vectors.embed_hashed(docs.select("article_id", "text"), "text").drop("text")
+    rows = docs.select("article_id", "predicted_category")
+    return portal.search_articles(rows, points, "the latest technology").select(
+        "article_id", "predicted_category", F.col("rank").cast("bigint").alias("rank"), score()
+    )
+
+
 def portal_collection_ranks(spark, sf_dir):
     """Rank of every article of the collection for a query."""
     hits = search.scored(collection(spark, sf_dir), article_vector(spark, sf_dir, 4))
@@ -694,6 +706,6 @@ QUERIES = {
         vec_search, vec_search_filtered, vec_advanced, vec_related, vec_related_fallback,
         vec_related_batch, vec_browse, vec_trending, query_category,
         portal_facets, portal_filtered, portal_kpis, portal_ranked, portal_pages,
-        portal_cards, portal_detail, portal_keyword, portal_related, portal_collection_ranks,
+        portal_cards, portal_detail, portal_keyword, portal_related, portal_search, portal_collection_ranks,
     )
 }

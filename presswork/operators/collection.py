@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,12 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presswork.functions.binding import keep_where, let
+from presswork.functions.models import Loader, apply_model
 from presswork.operators.enrich import document_category, with_optional_fields
 from presswork.schemas import COLLECTION, VECTOR_SIZE
 
-# A model gets a list of texts and returns one vector of fixed size for each.
-Embedder = Callable[[list[str]], list[list[float]]]
-
 EMBEDDED_CHARS = 2000
 ENTITY_LIMIT, LOCATION_LIMIT, KEYWORD_LIMIT = 10, 5, 10
 DISTANCE_METRIC = "COSINE"
@@ -61,20 +57,16 @@ def embed_hashed(df: DataFrame, text: str, size: int = VECTOR_SIZE, output: str
 
 
 def embed_with(
-    df: DataFrame, text: str, embedder: Embedder, batch: int = 256, output: str = "vector"
+    df: DataFrame, text: str, load: Loader, batch: int = 256, output: str = "vector"
 ) -> DataFrame:
-    """Vectors of a plugged-in model, called on batches inside the tasks."""
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def run(texts):
-        import pandas as pd
+    """Vectors of a plugged-in model; null where it fails on a text."""
 
-        vectors = []
-        for start in range(0, len(texts), batch):
-            vectors += embedder(texts.iloc[start : start + batch].fillna("").tolist())
-        return pd.Series([[float(x) for x in v] for v in vectors], index=texts.index)
+    def embedder():
+        model = load()
+        return lambda texts: [[float(x) for x in v] for v in model(texts)]
 
-    return df.withColumn(output, run(F.col(text)))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return df.withColumn(output, apply_model(whole, embedder, T.ArrayType(T.FloatType()), batch))
 
 
 def payloads(documents: DataFrame) -> DataFrame:
@@ -113,8 +105,11 @@ def payloads(documents: DataFrame) -> DataFrame:
     )
 
 
-def points(documents: DataFrame, embedder: Embedder | None = None, size: int = VECTOR_SIZE) -> DataFrame:
-    """Enriched documents -> rows of a collection, keyed by article."""
+def points(documents: DataFrame, embedder: Loader | None = None, size: int = VECTOR_SIZE) -> DataFrame:
+    """Enriched documents -> rows of a collection, keyed by article.
+
+    Articles whose embedding fails or has another size are left out.
+    """
     prepared = payloads(documents)
     embedded = (
         embed_hashed(prepared, "embedding_input", size)
@@ -136,7 +131,8 @@ def upsert(stored: DataFrame, batch: DataFrame, key: str, sequence: str | None =
     """``stored`` with the rows of ``batch`` put in place of those with their key.
 
     When a key comes twice in the batch the row with the highest ``sequence``
-    stays (without one, the batch is taken to have unique keys).
+    stays (without one, the batch is taken to have unique keys). The batch is
+    read twice: pass a stored one when it is dear to compute.
     """
     if sequence is not None:
         latest = Window.partitionBy(key).orderBy(F.col(sequence).desc())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from presswork import dictionaries as d
 from presswork.functions.binding import first_truthy
+from presswork.functions.models import Loader
 from presswork.functions.text import clean_text, count_words
 from presswork.operators.entities import extract_entities, extract_locations
-from presswork.operators.language import Translator, detect_language, translate
+from presswork.operators.language import detect_language, detect_with, translate
 from presswork.operators.sentiment import get_sentiment
 from presswork.operators.summary import summarize
 from presswork.operators.topics import best_category, category_scores, extract_keywords
@@ -43,8 +44,8 @@ def repair_text(text: Column) -> Column:
 def run_tasks(
     df: DataFrame,
     text: str = "full_text_payload",
-    translator: Translator | None = None,
-    languages: Iterable[str] = (),
+    detector: Loader | None = None,
+    translators: dict[str, Loader] | None = None,
     gazetteer: Sequence[str] = d.GAZETTEER,
     valences: dict[str, float] = d.VALENCES,
     repair: bool = False,
@@ -53,11 +54,15 @@ def run_tasks(
     source = repair_text(F.col(text)) if repair else F.col(text)
     cleaned = df.withColumn("cleaned_text", clean_text(source)).withColumns(
         {
-            "detected_language": detect_language(F.col("cleaned_text")),
+            "detected_language": (
+                detect_language(F.col("cleaned_text"))
+                if detector is None
+                else detect_with(F.col("cleaned_text"), detector)
+            ),
             "cleaned_word_count": count_words(F.col("cleaned_text")),
         }
     )
-    routed = translate(cleaned, "cleaned_text", "detected_language", translator, languages)
+    routed = translate(cleaned, "cleaned_text", "detected_language", translators)
     english = F.col("translated_text")
     tagged = routed.withColumns(
         {

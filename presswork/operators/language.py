@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from presswork.dictionaries import FUNCTION_WORDS
 from presswork.functions.binding import let
+from presswork.functions.models import Loader, apply_model
 
 FALLBACK = "en"
 
-# A translator gets texts of one language and returns as many English texts.
-Translator = Callable[[str, list[str]], list[str]]
-
-
 def detect_language(text: Column, profiles: dict[str, tuple[str, ...]] = FUNCTION_WORDS) -> Column:
     """Language whose function words are most frequent; ``en`` when none occurs.
 
@@ -46,38 +40,44 @@ def detect_language(text: Column, profiles: dict[str, tuple[str, ...]] = FUNCTIO
     return F.coalesce(let(hits, choose), F.lit(FALLBACK))
 
 
+def detect_with(text: Column, load: Loader) -> Column:
+    """Language by a plugged-in model, lower case; ``en`` where it fails."""
+    return F.coalesce(F.lower(apply_model(text, load, "string")), F.lit(FALLBACK))
+
+
 def translate(
-    df: DataFrame,
-    text: str,
-    lang: str,
-    translator: Translator | None = None,
-    languages: Iterable[str] = (),
+    df: DataFrame, text: str, lang: str, translators: dict[str, Loader] | None = None
 ) -> DataFrame:
     """Add ``translated_text`` and ``translation_applied``.
 
-    English, unknown and unsupported languages keep their text, and so does
-    everything without a translator. The translator is called once per language
-    of an Arrow batch, inside the tasks.
+    ``translators`` holds a model per source language. English, unknown and
+    unserved languages keep their text, and so does a text the model fails on.
     """
-    served = [code for code in languages if code != "en"]
-    if translator is None or not served:
-        return df.withColumns(
-            {"translated_text": F.col(text), "translation_applied": F.lit(False)}
-        )
-
-    @F.pandas_udf(T.StringType())
-    def run(texts, langs):
-        out = texts.copy()
-        for code in set(langs.unique()) & set(served):
-            chosen = langs == code
-            try:
-                out[chosen] = translator(code, texts[chosen].tolist())
-            except Exception:  # a failing model leaves the text as it is
-                pass
-        return out
-
-    routed = F.when(F.col(lang).isin(*served), run(F.col(text), F.col(lang)))
-    return df.withColumn("translated_text", F.coalesce(routed, F.col(text))).withColumn(
-        "translation_applied",
-        (F.col(lang) != "en") & (F.col("translated_text") != F.col(text)),
-    )
+    source = F.col(text)
+    routed = F.lit(None).cast("string")
+    for code, load in (translators or {}).items():
+        if code != FALLBACK:
+            mine = F.col(lang) == code
+            model = apply_model(F.when(mine, source), _present(load), "string")
+            routed = F.when(mine, model).otherwise(routed)
+    if not translators:
+        return df.withColumns({"translated_text": source, "translation_applied": F.lit(False)})
+    translated = df.withColumn("translated_text", F.coalesce(routed, source))
+    applied = (F.col(lang) != FALLBACK) & (F.col("translated_text") != source)
+    return translated.withColumn("translation_applied", F.coalesce(applied, F.lit(False)))
+
+
+def _present(load: Loader) -> Loader:
+    """A model that is shown only the texts of its language."""
+
+    def loader():
+        model = load()
+
+        def run(texts):
+            mine = [t for t in texts if t is not None]
+            done = iter(model(mine) if mine else [])
+            return [None if t is None else next(done) for t in texts]
+
+        return run
+
+    return loader

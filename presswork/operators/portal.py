@@ -11,8 +11,10 @@ from presswork.dictionaries import CATEGORY_COLORS, SENTIMENT_MARKERS
 from presswork.functions.binding import first_truthy, lookup
 from presswork.functions.text import percentage, preview
 from presswork.operators.ranking import number_rows
-from presswork.operators.search import related, scored
+from presswork.operators.search import query_vector, related, scored
 from presswork.operators.sentiment import polarity_band
+from presswork.operators.topics import query_category
+from presswork.schemas import VECTOR_SIZE
 
 FACETS = ("predicted_category", "sentiment_label", "source_country")
 CARDS_PER_ROW = 3
@@ -82,6 +84,16 @@ def ranked_articles(
     return rows.join(ranks, "article_id")
 
 
+def search_articles(rows: DataFrame, collection: DataFrame, text: str) -> DataFrame:
+    """Portal rows in the order of a text search; a category the text names
+    restricts them."""
+    named = query_category(F.lit(text))
+    wanted = rows.filter(named.isNull() | (F.col("predicted_category") == named))
+    size = collection.select(F.size("vector")).first()
+    query = query_vector(rows.sparkSession, text, size[0] if size else VECTOR_SIZE)
+    return ranked_articles(wanted, collection, query)
+
+
 def cards(rows: DataFrame) -> DataFrame:
     """Display columns of an article card."""
     return rows.withColumns(

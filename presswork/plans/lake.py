@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from presswork.cluster import shared_path
 from presswork.operators import collection, enrich, gold
 from presswork.schemas import COLLECTION
 from presswork.sources.jsonl import newest_path, newest_run, save_run
@@ -58,12 +59,18 @@ def _write_collection(points: DataFrame, folder: str) -> None:
 
 
 def index_newest_run(spark: SparkSession, runs: str, folder: str, embedder=None) -> int:
-    """Upsert the newest run into the collection; number of articles indexed."""
+    """Upsert the newest run into the collection; number of articles indexed.
+
+    The points are embedded once, into a table of their own.
+    """
     documents = newest_run(spark, runs, missing_ok=True)
-    batch = collection.points(documents, embedder).dropDuplicates(["point_id"])
-    before = read_collection(spark, folder)
-    _write_collection(collection.upsert(before, batch, "point_id"), folder)
-    return documents.select("article_id").distinct().count()
+    staged = shared_path(spark, "points")
+    indexed = overwrite_table(
+        collection.points(documents, embedder).dropDuplicates(["point_id"]), staged
+    )
+    batch = read_table(spark, staged, schema=COLLECTION)
+    _write_collection(collection.upsert(read_collection(spark, folder), batch, "point_id"), folder)
+    return indexed
 
 
 def clear_collection(spark: SparkSession, folder: str) -> None:

@@ -124,6 +124,15 @@ def preview_rows(df: DataFrame, key: str, columns: Sequence[str], n: int = 10) -
     return df.orderBy(key).select(*columns).limit(n)
 
 
+def table_check(df: DataFrame, stamp: str) -> DataFrame:
+    """Rows, columns and first time stamp of a table about to be published."""
+    return df.agg(
+        F.count("*").alias("rows"),
+        F.lit(len(df.columns)).alias("columns"),
+        F.min(stamp).alias("first_stamp"),
+    )
+
+
 def prepare(spark: SparkSession) -> None:
     """Session settings the jobs rely on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

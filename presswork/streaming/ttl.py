@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,17 +63,23 @@ class SeenSet(StatefulProcessor):
 
 
 def admit_stream(
-    stream: DataFrame, key: str, time: str, row_id: str, ttl_seconds: int = TTL_SECONDS
+    stream: DataFrame,
+    key: str,
+    time: str,
+    row_id: str,
+    ttl_seconds: int = TTL_SECONDS,
+    columns: Sequence[str] = (),
 ) -> DataFrame:
-    """``key, time, row_id`` of admitted rows; order holds within a micro-batch.
+    """``key, time, row_id`` and ``columns`` of admitted rows.
 
-    Only key, time and id reach the state, three numbers or short strings per
-    row. Limit a trigger with ``maxFilesPerTrigger`` to bound a key's share of it.
+    Rows of a micro-batch are taken in time order. Limit a trigger with
+    ``maxFilesPerTrigger`` to bound a key's share of it.
     """
     slim = stream.select(
         F.col(key).alias("k"),
         F.unix_micros(F.col(time).cast("timestamp")).alias("t"),
         F.col(row_id).alias("i"),
+        *columns,
     ).filter("k IS NOT NULL AND t IS NOT NULL")
     admitted = slim.groupBy("k").transformWithStateInPandas(
         statefulProcessor=SeenSet(ttl_seconds * MICROS),
@@ -81,5 +88,8 @@ def admit_stream(
         timeMode="None",
     )
     return admitted.select(
-        F.col("k").alias(key), F.timestamp_micros("t").alias(time), F.col("i").alias(row_id)
+        F.col("k").alias(key),
+        F.timestamp_micros("t").alias(time),
+        F.col("i").alias(row_id),
+        *columns,
     )

@@ -89,3 +89,14 @@ def test_stream_in_several_batches(spark, tmp_path):
             )
             query.awaitTermination()
     assert collected(spark.read.parquet(f"{tmp_path}/out")) == admitted_by_hand(rows, 7 * DAY)
+
+
+def test_stream_carries_columns(spark, tmp_path):
+    rows = [("a", 0, 1), ("a", 1, 2), ("b", 5, 3)]
+    df = events(spark, rows).withColumn("text", F.concat(F.lit("t"), "i"))
+    df.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+    with rocksdb_state(spark):
+        admitted = admit_stream(stream, "k", "ts", "i", columns=["text"])
+        admitted.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
+    assert {(r["i"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {(1, "t1"), (3, "t3")}

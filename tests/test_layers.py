@@ -130,6 +130,12 @@ def test_overwrite_replaces_schema_and_partitions(spark, tmp_path):
     assert tables.read_table(spark, path).columns == ["other"]
 
 
+def test_table_check_and_preview(spark):
+    df = spark.createDataFrame([(i, f"2026-01-0{i}") for i in (3, 1, 2)], "id int, at string")
+    assert tuple(tables.table_check(df, "at").first()) == (3, 2, "2026-01-01")
+    assert [r["id"] for r in tables.preview_rows(df, "id", ["id"], 2).collect()] == [1, 2]
+
+
 def test_schema_grows(spark, tmp_path):
     path = f"{tmp_path}/t"
     spark.range(2).write.parquet(path)

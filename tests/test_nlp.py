@@ -78,20 +78,38 @@ def test_language_accuracy(spark):
 
 
 def test_translation_routes(spark):
-    rows = [("1", "bonjour", "fr"), ("2", "hello", "en"), ("3", "hallo", "de"), ("4", "x", None)]
-    df = spark.createDataFrame(rows, "id string, x string, lang string")
+    rows = [("1", "bonjour", "fr"), ("2", "hello", "en"), ("3", "hallo", "de"), ("4", "x", None), ("5", "bad", "fr"), ("6", "salut", "fr")]
+    df = spark.createDataFrame(rows, "id string, x string, lang string").coalesce(1)
     none = language.translate(df, "x", "lang")
     assert not any(r["translation_applied"] for r in none.collect())
 
-    def translator(code, texts):
-        if code == "de":
+    def french():
+        def run(texts):
+            if "bad" in texts:
+                raise RuntimeError("bad text")
+            return [t.upper() for t in texts]
+
+        return run
+
+    def broken():
+        def run(texts):
             raise RuntimeError("no model")
-        return [t.upper() for t in texts]
 
-    out = {r["id"]: r for r in language.translate(df, "x", "lang", translator, ["fr", "de", "en"]).collect()}
-    assert (out["1"]["translated_text"], out["1"]["translation_applied"]) == ("BONJOUR", True)
-    assert [out[i]["translated_text"] for i in "234"] == ["hello", "hallo", "x"]
-    assert not any(out[i]["translation_applied"] for i in "23")
+        return run
+
+    out = {r["id"]: r for r in language.translate(df, "x", "lang", {"fr": french, "de": broken, "en": french}).collect()}
+    assert [out[i]["translated_text"] for i in "123456"] == ["BONJOUR", "hello", "hallo", "x", "bad", "SALUT"]
+    assert [out[i]["translation_applied"] for i in "123456"] == [True, False, False, False, False, True]
+
+
+def test_plugged_detector(spark):
+    df = spark.createDataFrame([("a",), ("boom",), ("c",)], "x string")
+
+    def load():
+        return lambda texts: [{"a": "FR"}[t] if t != "c" else "de" for t in texts]
+
+    out = {r["x"]: r["y"] for r in df.select("x", language.detect_with(F.col("x"), load).alias("y")).collect()}
+    assert out == {"a": "fr", "boom": "en", "c": "de"}
 
 
 def test_entities(one):
@@ -231,9 +249,28 @@ def test_hashed_embedding(spark):
 
 
 def test_plugged_embedder(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "bbb")], "i int, x string")
-    out = collection.embed_with(df, "x", lambda texts: [[len(t), 1.0] for t in texts], batch=1).orderBy("i").collect()
-    assert [r["vector"] for r in out] == [[1.0, 1.0], [3.0, 1.0]]
+    df = spark.createDataFrame([(1, "a"), (2, "bbb"), (3, "boom")], "i int, x string").coalesce(1)
+
+    def load():
+        def run(texts):
+            if "boom" in texts:
+                raise ValueError("cannot embed")
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return run
+
+    out = collection.embed_with(df, "x", load, batch=2).orderBy("i").collect()
+    assert [r["vector"] for r in out] == [[1.0, 1.0], [3.0, 1.0], None]
+
+
+def test_failed_embeddings_are_left_out(spark):
+    gold = spark.createDataFrame([("1", "t", "d", "US", None, "fine text"), ("2", "t", "d", "US", None, "boom")], "article_id string, clean_title string, domain string, source_country string, published_date date, full_text_payload string")
+
+    def load():
+        return lambda texts: [[1.0] * 384 if "boom" not in t else [1.0] for t in texts]
+
+    out = collection.points(enrich.enrich(gold), load).collect()
+    assert [r["payload"]["article_id"] for r in out] == ["1"] and len(out[0]["vector"]) == 384
 
 
 def test_summary_against_plain_matrices():

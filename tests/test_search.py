@@ -176,6 +176,15 @@ def test_ranked_articles(points, rows, spark):
     assert [(r["article_id"], r["rank"]) for r in out] == [(a, i) for i, a in enumerate(everything) if a in sports]
 
 
+def test_text_search_of_the_portal(spark):
+    texts = [("a", "soccer tonight", "Sports"), ("b", "the soccer match", "Business"), ("c", "rain", "Sports")]
+    df = spark.createDataFrame(texts, "article_id string, text string, predicted_category string")
+    points = collection.embed_hashed(df.select("article_id", "text"), "text", 64)
+    out = portal.search_articles(df, points, "Soccer").orderBy("rank").collect()
+    assert [r["article_id"] for r in out] == ["a", "c"] and out[0]["rank"] == 0
+    assert portal.search_articles(df, points, "rain").count() == 3
+
+
 def test_related_panel_defaults(points):
     out = portal.related_panel(points.withColumn("sentiment_label", F.lit("")), "a001", "Sports").collect()
     assert len(out) == 3 and {r["sentiment"] for r in out} == {"Neutral"} and {r["color"] for r in out} == {"green"}
