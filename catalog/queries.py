@@ -637,7 +637,7 @@ def portal_ranked(spark, sf_dir):
 
 
 def portal_pages(spark, sf_dir):
-    rows = portal.grid(portal_table(spark, sf_dir), F.desc("sentiment_polarity"), F.col("article_id"))
+    rows = portal.grid(portal_table(spark, sf_dir), "sentiment_polarity")
     return rows.select(
         "article_id", F.col("grid_row").cast("bigint").alias("grid_row"),
         F.col("grid_col").cast("bigint").alias("grid_col"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -30,9 +31,7 @@ def apply_model(text: Column, load: Loader, returns: DataType | str, batch: int
                 out.append(None)
         return out
 
-    def run(batches):
-        import pandas as pd
-
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for series in batches:
             out = []
@@ -47,5 +46,4 @@ def apply_model(text: Column, load: Loader, returns: DataType | str, batch: int
                     out += one_by_one(model, texts)
             yield pd.Series(out, index=series.index, dtype=object)
 
-    udf = F.pandas_udf(run, returns, F.PandasUDFType.SCALAR_ITER)
-    return udf(text)
+    return F.pandas_udf(run, returns)(text)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from presswork.cluster import materialize, shuffle_partitions
 
 TTL_SECONDS = 604_800
 MICROS = 1_000_000
+MIN_HOT_ROWS = 1_000_000
 
 
 def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -109,10 +110,14 @@ def admissions(
         F.col(key).alias("k"), F.unix_micros(moment).alias("t"), F.col(row_id).alias("i")
     ).filter("k IS NOT NULL AND t IS NOT NULL")
 
+    # One pass counts all rows and keeps the keys that may turn out crowded.
+    seen = Observation()
+    counts = slim.observe(seen, F.count(F.lit(1)).alias("rows")).groupBy("k").count()
+    floor = MIN_HOT_ROWS if hot_rows is None else hot_rows
+    frequent = materialize(counts.filter(F.col("count") > floor), "frequent-keys")
     if hot_rows is None:
-        hot_rows = max(1_000_000, slim.count() // (4 * shuffle_partitions(spark)))
-    counts = slim.groupBy("k").count()
-    hot = materialize(counts.filter(F.col("count") > hot_rows).select("k"), "hot-keys")
+        hot_rows = max(floor, seen.get["rows"] // (4 * shuffle_partitions(spark)))
+    hot = frequent.filter(F.col("count") > hot_rows).select("k")
 
     if hot.isEmpty():
         admitted = _admit_by_scan(slim, ttl)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ def repair_text(text: Column) -> Column:
     """Undo UTF-8 read as Windows-1252; other texts stay as they are."""
 
     @F.pandas_udf(T.StringType())
-    def run(texts):
+    def run(texts: pd.Series) -> pd.Series:
         import unicodedata
 
         def one(t):

@@ -106,15 +106,25 @@ def cards(rows: DataFrame) -> DataFrame:
     )
 
 
-def grid(rows: DataFrame, *order: str | Column, per_row: int = CARDS_PER_ROW) -> DataFrame:
-    """Row and column of every article on the page, in the given order."""
-    placed = number_rows(rows, *order, name="_at")
-    return placed.withColumns(
-        {
-            "grid_row": F.floor(F.col("_at") / per_row),
-            "grid_col": F.col("_at") % per_row,
-        }
-    ).drop("_at")
+def grid(
+    rows: DataFrame,
+    order: str | None = None,
+    descending: bool = True,
+    key: str = "article_id",
+    per_row: int = CARDS_PER_ROW,
+) -> DataFrame:
+    """Row and column of every article on the page, by ``order`` and then key.
+
+    Only key and order take part in the numbering; texts move once, in the join.
+    """
+    slim = rows.select(key) if order is None else rows.select(key, order)
+    by = [] if order is None else [F.desc(order) if descending else F.asc(order)]
+    at = number_rows(slim, *by, F.col(key), name="_at").select(key, "_at")
+    return (
+        rows.join(at, key)
+        .withColumns({"grid_row": F.floor(F.col("_at") / per_row), "grid_col": F.col("_at") % per_row})
+        .drop("_at")
+    )
 
 
 def detail(rows: DataFrame, article_id: str) -> DataFrame:

@@ -15,7 +15,8 @@ def number_rows(df: DataFrame, *order: str | Column, name: str = "rank", start:
     partitions; a partition's rows are numbered on their own and moved up by the
     size of the partitions before it, a table of one row per partition. The
     order must be unique (end it with a key), then a frequent value is split
-    over partitions as well.
+    over partitions as well. Pass only key and order columns and join the ranks
+    back: whatever ``df`` holds is shuffled and written once.
     """
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
     parts = shuffle_partitions(df.sparkSession)

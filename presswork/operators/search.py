@@ -18,6 +18,7 @@ from presswork.operators.collection import embed_hashed, norm
 from presswork.schemas import VECTOR_SIZE
 
 MAX_TARGETS = 10_000
+TARGETS_AT_ONCE = 256
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -146,32 +147,51 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
             return
         wanted_rows = np.asarray(vectors, dtype=np.float64)
         lengths = np.linalg.norm(wanted_rows, axis=1)
-        found = None
+        place = {name: i for i, name in enumerate(ids)}
+        found = pd.DataFrame({"target": [], "name": [], "score": []})
         for batch in batches:
             if not len(batch):
                 continue
-            block = np.stack(batch["vector"].to_numpy()).astype(np.float64)
-            scale = np.outer(lengths, np.linalg.norm(block, axis=1))
-            scores = np.divide(
-                wanted_rows @ block.T, scale, out=np.zeros_like(scale), where=scale > 0
-            )
+            # In key order a stable sort by score breaks ties by key.
+            batch = batch.sort_values("article_id")
             names = batch["article_id"].to_numpy()
-            frames = [] if found is None else [found]
-            for i, target in enumerate(ids):
-                row = np.where(names == target, -np.inf, scores[i])
-                cut = np.sort(row)[-min(limit, len(row))]
-                keep = np.flatnonzero((row >= cut) & (row > -np.inf))
+            block = np.stack(batch["vector"].to_numpy()).astype(np.float64)
+            norms = np.linalg.norm(block, axis=1)
+            own = {place[n]: j for j, n in enumerate(names) if n in place}
+            frames = [found] if len(found) else []
+            for first in range(0, len(ids), TARGETS_AT_ONCE):
+                some = slice(first, first + TARGETS_AT_ONCE)
+                dots = np.einsum("td,bd->tb", wanted_rows[some], block)
+                scale = np.outer(lengths[some], norms)
+                scores = np.divide(dots, scale, out=np.zeros_like(dots), where=scale > 0)
+                for i, j in own.items():
+                    if first <= i < first + len(scores):
+                        scores[i - first, j] = -np.inf
+                best = np.argsort(-scores, axis=1, kind="stable")[:, :limit]
+                targets = np.repeat(np.arange(first, first + len(scores)), best.shape[1])
                 frames.append(
-                    pd.DataFrame({"target_id": target, "article_id": names[keep], "similarity_score": row[keep]})
+                    pd.DataFrame(
+                        {
+                            "target": targets,
+                            "name": names[best.ravel()],
+                            "score": np.take_along_axis(scores, best, axis=1).ravel(),
+                        }
+                    )
                 )
             found = (
                 pd.concat(frames)
-                .sort_values(["similarity_score", "article_id"], ascending=[False, True])
-                .groupby("target_id", sort=False)
+                .sort_values(["target", "score", "name"], ascending=[True, False, True])
+                .groupby("target", sort=False)
                 .head(limit)
             )
-        if found is not None:
-            yield found
+        found = found[found["score"] > -np.inf]
+        yield pd.DataFrame(
+            {
+                "target_id": [ids[int(t)] for t in found["target"]],
+                "article_id": found["name"],
+                "similarity_score": found["score"].astype(float),
+            }
+        )
 
     schema = f"target_id {key_type}, article_id {key_type}, similarity_score double"
     partial = collection.select("article_id", "vector").mapInPandas(nearest, schema)

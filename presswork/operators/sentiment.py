@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,9 +89,7 @@ def sentiment_scores(text: Column, valences: dict[str, float] = d.VALENCES) -> C
     """Struct of compound score in [-1, 1] and the three shares."""
 
     @F.pandas_udf(SCORES)
-    def run(texts):
-        import pandas as pd
-
+    def run(texts: pd.Series) -> pd.DataFrame:
         score = _scorer(valences)
         rows = [score(t or "") for t in texts]
         return pd.DataFrame(rows, columns=["compound", "positive", "neutral", "negative"])

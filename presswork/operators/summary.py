@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,9 +115,7 @@ def summarize(text: Column, sentence_count: int = 2) -> Column:
     """
 
     @F.pandas_udf(T.StringType())
-    def run(texts):
-        import pandas as pd
-
+    def run(texts: pd.Series) -> pd.Series:
         summarizer = _summarizer(sentence_count)
 
         def one(parts):

@@ -101,7 +101,7 @@ def append_stream(
     a large part of the rows still has several writers.
     """
     if partition_by:
-        share = F.pmod(F.xxhash64(*df.columns[:1]), F.lit(files_per_partition))
+        share = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
         df = df.repartition(*partition_by, share)
     writer = (
         df.writeStream.format(fmt)

@@ -163,7 +163,7 @@ def test_cards_and_detail(articles):
 
 
 def test_grid_and_keyword(articles):
-    out = portal.grid(articles, "article_id").orderBy("article_id").collect()
+    out = portal.grid(articles).orderBy("article_id").collect()
     assert [(r["grid_row"], r["grid_col"]) for r in out] == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2), (2, 0)]
     assert portal.keyword_search(articles, "TITLE 3").count() == 1 and portal.keyword_search(articles, "some text").count() == 7
 
