@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from presswork.dictionaries import HTML_ENTITIES
 from presswork.functions.binding import let
 
+# --- Fixed values: patterns of a tag and of the host in an address.
 TAG = r"<[^>]+>"
+HOST = r"https?://(?:www\.)?([^/]+)"
+
 UNICODE_SPACES = r"(?U)\s+"
 
 
@@ -32,7 +35,7 @@ def url_id(url: Column) -> Column:
 
 def domain_of(url: Column) -> Column:
     """Host without ``www.``; empty when the address is not http(s)."""
-    return F.regexp_extract(url, r"https?://(?:www\.)?([^/]+)", 1)
+    return F.regexp_extract(url, HOST, 1)
 
 
 def preview(text: Column, limit: int) -> Column:

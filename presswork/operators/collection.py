@@ -13,6 +13,7 @@ from presswork.functions.models import Loader, apply_model
 from presswork.operators.enrich import document_category, with_optional_fields
 from presswork.schemas import COLLECTION, VECTOR_SIZE
 
+# --- Fixed values: what of a document goes into embedding and payload.
 EMBEDDED_CHARS = 2000
 ENTITY_LIMIT, LOCATION_LIMIT, KEYWORD_LIMIT = 10, 5, 10
 DISTANCE_METRIC = "COSINE"

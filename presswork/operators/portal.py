@@ -16,6 +16,7 @@ from presswork.operators.sentiment import polarity_band
 from presswork.operators.topics import query_category
 from presswork.schemas import VECTOR_SIZE
 
+# --- Fixed values: filter columns and display sizes.
 FACETS = ("predicted_category", "sentiment_label", "source_country")
 CARDS_PER_ROW = 3
 SNIPPET_CHARS, TEXT_CHARS, ENTITY_LIMIT = 120, 300, 15

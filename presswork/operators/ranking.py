@@ -20,8 +20,10 @@ def number_rows(df: DataFrame, *order: str | Column, name: str = "rank", start:
     """
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
     parts = shuffle_partitions(df.sparkSession)
+    # Finding the ranges samples the rows first, so they are computed beforehand.
+    stored = materialize(df, "unranked")
     ranged = materialize(
-        df.repartitionByRange(parts, *columns).withColumn("_part", F.spark_partition_id()),
+        stored.repartitionByRange(parts, *columns).withColumn("_part", F.spark_partition_id()),
         "ranked",
     )
     sizes = ranged.groupBy("_part").count()

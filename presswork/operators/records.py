@@ -13,6 +13,7 @@ from presswork.functions.binding import first_truthy, keep_where
 from presswork.functions.text import count_words, strip, url_id
 from presswork.schemas import ARTICLE_EVENT, REQUIRED_EVENT_FIELDS
 
+# --- Fixed values: shortest text kept, length of a snippet.
 MIN_WORDS = 30
 SNIPPET_CHARS = 500
 

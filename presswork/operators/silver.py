@@ -9,6 +9,7 @@ from presswork.functions.binding import keep_where
 from presswork.functions.dates import parse_published
 from presswork.functions.text import domain_of, replace_tags
 
+# --- Fixed values: order of the text columns, length rule, reading speed, layout.
 TEXT_COLUMNS = ("full_content", "content", "summary_snippet", "extracted_text")
 MIN_WORDS = 30
 WORDS_PER_MINUTE = 200

@@ -9,12 +9,14 @@ from pyspark.sql import types as T
 
 from presswork.functions.text import count_words
 
+# --- Fixed values: texts kept whole, similarity that links, accuracy, fallback.
 SHORT_WORDS = 40
 THRESHOLD = 0.1
 EPSILON = 0.1
+FALLBACK_CHARS = 200
+
 DENSE_CELLS = 4_000_000
 MAX_STEPS = 1000
-FALLBACK_CHARS = 200
 
 SENTENCE_END = r"(?<=[.!?])\s+(?=[\"“'(]?[\p{Lu}\p{Nd}])"
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from presswork.dictionaries import CATEGORY_KEYWORDS, QUERY_TERMS, STOP_WORDS
 from presswork.functions.binding import let
 
+# --- Fixed values: category without hits, pattern of a word, keywords reported.
 GENERAL = "General"
 WORD = r"[a-zA-Z][a-zA-Z0-9\-]{2,}"
 TOP_WORDS = 8

@@ -45,9 +45,13 @@ class SeenSet(StatefulProcessor):
         import numpy as np
         import pandas as pd
 
-        frame = pd.concat(list(rows)).sort_values(["t", "i"], kind="stable")
+        ready_at = self.last.get()[0] + self.ttl if self.last.exists() else None
+        # What a stored admission still covers is dropped as it arrives.
+        frames = [f if ready_at is None else f[f["t"] >= ready_at] for f in rows]
+        frame = pd.concat(frames).sort_values(["t", "i"], kind="stable")
         times = frame["t"].to_numpy()
-        ready_at = self.last.get()[0] + self.ttl if self.last.exists() else times[0]
+        if ready_at is None:
+            ready_at = times[0]
         admitted = []
         at = np.searchsorted(times, ready_at)
         while at < len(times):
