@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presswork.cluster import materialize, shuffle_partitions
+from presswork.functions.frames import plain_text
 
 TTL_SECONDS = 604_800
 MICROS = 1_000_000
@@ -50,7 +51,7 @@ def _scan_sorted(ttl: int):
                     admitted.append(start + at)
                     ready_at = run[at] + ttl
                     at = np.searchsorted(run, ready_at)
-            yield batch.iloc[admitted]
+            yield plain_text(batch.iloc[admitted])
 
     return scan
 

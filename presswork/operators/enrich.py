@@ -37,7 +37,7 @@ def repair_text(text: Column) -> Column:
                 pass
             return unicodedata.normalize("NFC", t)
 
-        return texts.map(one)
+        return pd.Series([one(t) for t in texts], index=texts.index, dtype=object)
 
     return F.when(text.rlike(r"[ÃÂâ€]"), run(text)).otherwise(text)
 

@@ -89,22 +89,17 @@ def extract_locations(entities: Column, gazetteer: Sequence[str] = d.GAZETTEER)
 def verify_locations(df: DataFrame, key: str, entities: str, gazetteer: DataFrame) -> DataFrame:
     """``key, locations`` against a gazetteer table (``name``, lower case).
 
-    Names are looked up once each, however often they occur, and the known ones
-    go back to their articles; positions keep the text order.
+    A table too large to travel is joined by name; a name that fills many
+    articles is then split by the adaptive join. Positions keep the text order.
     """
+    names = gazetteer.select("name").distinct().withColumn("known", F.lit(True))
     mentions = (
         df.select(key, F.posexplode(non_empty(F.col(entities))).alias("position", "entity"))
         .filter(F.col("entity.label").isin("GPE", "LOC"))
         .select(key, "position", F.col("entity.text").alias("text"))
         .withColumn("name", F.lower("text"))
     )
-    known = (
-        mentions.select("name")
-        .distinct()
-        .join(gazetteer.select("name").distinct(), "name", "left_semi")
-        .withColumn("known", F.lit(True))
-    )
-    flagged = mentions.join(known, "name", "left").select(
+    flagged = mentions.join(names, "name", "left").select(
         key,
         F.struct(
             "position",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from presswork.cluster import is_small
 from presswork.functions.binding import non_empty
+from presswork.functions.frames import plain_text
 from presswork.operators.collection import embed_hashed, norm
 from presswork.schemas import VECTOR_SIZE
 
@@ -185,12 +186,14 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
                 .head(limit)
             )
         found = found[found["score"] > -np.inf]
-        yield pd.DataFrame(
-            {
-                "target_id": [ids[int(t)] for t in found["target"]],
-                "article_id": found["name"],
-                "similarity_score": found["score"].astype(float),
-            }
+        yield plain_text(
+            pd.DataFrame(
+                {
+                    "target_id": [ids[int(t)] for t in found["target"]],
+                    "article_id": found["name"].array,
+                    "similarity_score": found["score"].to_numpy(dtype=float),
+                }
+            )
         )
 
     schema = f"target_id {key_type}, article_id {key_type}, similarity_score double"

@@ -15,6 +15,7 @@ THRESHOLD = 0.1
 EPSILON = 0.1
 FALLBACK_CHARS = 200
 
+# Texts up to this many sentence-by-term (and sentence-by-sentence) cells use matrices.
 DENSE_CELLS = 4_000_000
 MAX_STEPS = 1000
 
@@ -27,73 +28,65 @@ def sentences(text: Column) -> Column:
 
 def _summarizer(count: int):
     import re
-    from collections import Counter
 
     import numpy as np
 
     token = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
     def weights(bags, copies):
-        """tf-idf of the distinct sentences, normalised: (columns, values) each."""
-        columns = {}
-        rows = [np.array([columns.setdefault(w, len(columns)) for w, _ in bag], dtype=np.int64) for bag in bags]
-        spread = np.zeros(len(columns))
-        for at, n in zip(rows, copies):
-            spread[at] += n
-        idf = np.log(copies.sum() / (1.0 + spread))
-        out = []
-        for at, bag in zip(rows, bags):
-            value = np.array([n for _, n in bag], dtype=float)
-            if len(at):
-                value = value / value.max() * idf[at]
-                norm = np.sqrt(value @ value)
-                value = value / norm if norm > 0 else value * 0.0
-            out.append((at, value))
-        return out, len(columns)
-
-    def likeness(rows, width):
-        """Similarities of one sentence after the other to all sentences."""
-        if len(rows) * max(width, len(rows)) <= DENSE_CELLS:
-            table = np.zeros((len(rows), width))
-            for i, (at, value) in enumerate(rows):
-                table[i, at] = value
-            yield from table @ table.T
-            return
-        # Long texts: summed term by term over an inverted index.
-        columns = np.concatenate([at for at, _ in rows])
-        weight = np.concatenate([value for _, value in rows])
-        owner = np.repeat(np.arange(len(rows)), [len(at) for at, _ in rows])
-        order = np.argsort(columns, kind="stable")
-        owner, weight = owner[order], weight[order]
-        start = np.searchsorted(columns[order], np.arange(width + 1))
-        for at, value in rows:
-            row = np.zeros(len(rows))
-            for column, v in zip(at, value):
-                span = slice(start[column], start[column + 1])
-                row[owner[span]] += v * weight[span]
-            yield row
+        """Normalised tf-idf of the distinct sentences as (sentence, term, value)."""
+        terms = {}
+        flat = np.array([terms.setdefault(w, len(terms)) for bag in bags for w in bag], dtype=np.int64)
+        width = max(len(terms), 1)
+        owner = np.repeat(np.arange(len(bags)), [len(bag) for bag in bags])
+        cells, counts = np.unique(owner * width + flat, return_counts=True)
+        row, term = cells // width, cells % width
+        largest = np.zeros(len(bags))
+        np.maximum.at(largest, row, counts)
+        spread = np.bincount(term, copies[row], minlength=width)
+        value = counts / largest[row] * np.log(copies.sum() / (1.0 + spread))[term]
+        norm = np.sqrt(np.bincount(row, value * value, minlength=len(bags)))[row]
+        return row, term, np.divide(value, norm, out=np.zeros_like(value), where=norm > 0), width
+
+    def link_rows(row, term, value, nodes, width):
+        """One sentence after the other: the sentences more similar than the threshold."""
+        order = np.argsort(term, kind="stable")
+        owner, weight = row[order], value[order]
+        begin = np.searchsorted(term[order], np.arange(width + 1))
+        first = np.searchsorted(row, np.arange(nodes + 1))
+        for i in range(nodes):
+            likeness = np.zeros(nodes)
+            for j in range(first[i], first[i + 1]):
+                span = slice(begin[term[j]], begin[term[j] + 1])
+                likeness[owner[span]] += value[j] * weight[span]
+            yield likeness > THRESHOLD
 
     def central(parts):
         """Stationary weight of every sentence on the graph of similar ones.
 
-        Equal sentences are one node with a number of copies, and links are
-        found anew in each step instead of kept: memory grows with the text,
-        not with the pairs of its sentences.
+        Equal sentences are one node with a number of copies. The links of a long
+        text are found anew in each step instead of kept: memory grows with the
+        text, not with the pairs of its sentences.
         """
         nodes = {}
-        owner = [
-            nodes.setdefault(tuple(sorted(Counter(token.findall(p.lower())).items())), len(nodes))
-            for p in parts
-        ]
+        owner = [nodes.setdefault(tuple(sorted(token.findall(p.lower()))), len(nodes)) for p in parts]
         copies = np.bincount(owner).astype(float)
-        rows, width = weights(list(nodes), copies)
-        rank = np.full(len(nodes), 1.0 / len(parts))
+        n = len(nodes)
+        row, term, value, width = weights(list(nodes), copies)
+        links = None
+        if n * max(width, n) <= DENSE_CELLS:
+            table = np.zeros((n, width))
+            table[row, term] = value
+            links = (table @ table.T > THRESHOLD).astype(float)
+            degree = np.maximum(links @ copies, 1.0)
+        rank = np.full(n, 1.0 / len(parts))
         for _ in range(MAX_STEPS):
-            new = np.zeros(len(nodes))
-            for i, row in enumerate(likeness(rows, width)):
-                linked = row > THRESHOLD
-                degree = max(copies[linked].sum(), 1.0)
-                new[linked] += copies[i] * rank[i] / degree
+            if links is not None:
+                new = (copies * rank / degree) @ links
+            else:
+                new = np.zeros(n)
+                for i, linked in enumerate(link_rows(row, term, value, n, width)):
+                    new[linked] += copies[i] * rank[i] / max(copies[linked].sum(), 1.0)
             moved = np.sqrt(copies @ (new - rank) ** 2)
             rank = new
             if moved <= EPSILON:

@@ -55,15 +55,19 @@ def frequent_words(words: Column, n: int, stop_words: Sequence[str], first_seen:
     ``first_seen``, to the earlier word.
     """
     kept = F.filter(words, lambda w: ~w.isin(*stop_words))
-    placed = F.array_sort(
-        F.transform(kept, lambda w, i: F.struct(w.alias("word"), i.alias("at")))
-    )
+    if first_seen:
+        placed = F.transform(kept, lambda w, i: F.struct(w.alias("word"), i.alias("at")))
+    else:
+        placed = kept
+
+    def word(run: Column, i: Column) -> Column:
+        return F.get(run, i)["word"] if first_seen else F.get(run, i)
 
     def rank(run: Column) -> Column:
         size = F.size(run)
         starts = F.filter(
             F.sequence(F.lit(0), size - 1),
-            lambda i: (i == 0) | (F.get(run, i)["word"] != F.get(run, i - 1)["word"]),
+            lambda i: (i == 0) | (word(run, i) != word(run, i - 1)),
         )
 
         def count(begin: Column) -> Column:
@@ -72,14 +76,14 @@ def frequent_words(words: Column, n: int, stop_words: Sequence[str], first_seen:
                 lambda p, j: F.struct(
                     (p - F.coalesce(F.get(begin, j + 1), size)).alias("minus_count"),
                     (F.get(run, p)["at"] if first_seen else F.lit(0)).alias("at"),
-                    F.get(run, p)["word"].alias("word"),
+                    word(run, p).alias("word"),
                 ),
             )
-            return F.transform(F.slice(F.array_sort(ranked), 1, n), lambda r: r["word"])
+            return F.transform(F.slice(F.sort_array(ranked), 1, n), lambda r: r["word"])
 
         return F.when(size > 0, let(starts, count)).otherwise(F.array().cast(_NO_WORDS))
 
-    return let(placed, rank)
+    return let(F.sort_array(placed), rank)
 
 
 def extract_keywords(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StructField, StructType
 
+from presswork.functions.frames import plain_text
 from presswork.operators.dedup import MICROS, TTL_SECONDS
 
 STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -60,7 +61,7 @@ class SeenSet(StatefulProcessor):
             at = np.searchsorted(times, ready_at)
         if admitted:
             self.last.update((int(times[admitted[-1]]),))
-        yield frame.iloc[admitted]
+        yield plain_text(frame.iloc[admitted])
 
     def close(self) -> None:
         pass

@@ -17,6 +17,16 @@ def spark():
     spark.stop()
 
 
+@pytest.fixture
+def small_batches(spark):
+    """Several Arrow batches per task, as large tables have."""
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "20")
+    yield
+    spark.conf.set(conf, before)
+
+
 @pytest.fixture
 def one(spark):
     """Value of an expression over a single text column ``x``."""

@@ -36,7 +36,7 @@ def crowd(seed, n=3000):
 
 
 @pytest.mark.parametrize("hot_rows, max_rounds", [(None, 1000), (500, 1000), (0, 1000), (500, 1)])
-def test_expiry_against_brute_force(spark, hot_rows, max_rounds):
+def test_expiry_against_brute_force(spark, small_batches, hot_rows, max_rounds):
     rows = crowd(7)
     out = dedup.admissions(events(spark, rows), "k", "ts", "i", 7 * DAY, hot_rows, max_rounds)
     assert collected(out) == admitted_by_hand(rows, 7 * DAY)
@@ -71,7 +71,7 @@ def test_first_and_unseen(spark):
     assert {r["k"] for r in dedup.unseen(events(spark, rows), seen, "k").collect()} == {"b"}
 
 
-def test_stream_in_several_batches(spark, tmp_path):
+def test_stream_in_several_batches(spark, small_batches, tmp_path):
     rows = crowd(11, 600)
     rows.sort(key=lambda r: (r[1], r[2]))
     schema = events(spark, rows).schema
@@ -91,12 +91,12 @@ def test_stream_in_several_batches(spark, tmp_path):
     assert collected(spark.read.parquet(f"{tmp_path}/out")) == admitted_by_hand(rows, 7 * DAY)
 
 
-def test_stream_carries_columns(spark, tmp_path):
-    rows = [("a", 0, 1), ("a", 1, 2), ("b", 5, 3)]
+def test_stream_carries_columns(spark, small_batches, tmp_path):
+    rows = [("a", i * 3600, i) for i in range(300)] + [("b", 5, 300)]
     df = events(spark, rows).withColumn("text", F.concat(F.lit("t"), "i"))
     df.write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
     with rocksdb_state(spark):
         admitted = admit_stream(stream, "k", "ts", "i", columns=["text"])
         admitted.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
-    assert {(r["i"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {(1, "t1"), (3, "t3")}
+    assert {(r["i"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {(0, "t0"), (168, "t168"), (300, "t300")}

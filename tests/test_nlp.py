@@ -206,7 +206,7 @@ def test_summary_of_long_texts_agrees_with_dense(monkeypatch):
     assert summary._summarizer(2)(parts) == dense
 
 
-def test_enrichment_of_edge_rows(spark):
+def test_enrichment_of_edge_rows(spark, small_batches):
     rows = [("1", "t", "d", "US", None, "Apple is good. " * 30), ("2", "t", "d", "US", None, ""), ("3", "t", "d", "US", None, None), ("4", "t", "d", "US", None, "<p></p>")]
     gold = spark.createDataFrame(rows, "article_id string, clean_title string, domain string, source_country string, published_date date, full_text_payload string")
     docs = {r["article_id"]: r for r in enrich.enrich(gold).collect()}
@@ -296,3 +296,12 @@ def test_summary_against_plain_matrices():
         rank, moved = new, np.linalg.norm(new - rank)
     best = sorted(np.argsort(-np.round(rank, 12), kind="stable")[:2])
     assert summary._summarizer(2)(parts) == " ".join(parts[i] for i in best)
+
+
+def test_text_results_over_many_batches(spark, small_batches):
+    texts = [("cafÃ© good " * (i % 50 + 1) + f"number {i}.",) for i in range(200)]
+    df = spark.createDataFrame(texts, "x string").coalesce(1)
+    out = df.select(
+        enrich.repair_text(F.col("x")).alias("r"), get_sentiment(F.col("x")).alias("s"), summary.summarize(F.col("x")).alias("t")
+    ).collect()
+    assert len(out) == 200 and all("café" in r["r"] and r["s"]["label"] == "Positive" and r["t"] for r in out)

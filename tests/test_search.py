@@ -84,7 +84,7 @@ def test_related(points, rows):
     assert search.related(points, "missing", 3).count() == 0
 
 
-def test_related_batch(points, rows):
+def test_related_batch(points, rows, small_batches):
     targets = points.filter(F.col("article_id").isin("a000", "a001", "a002", "zero"))
     out = search.related_batch(points, targets, 4).orderBy("target_id", "rank").collect()
     vectors = dict((r[0], r[1]) for r in rows)
