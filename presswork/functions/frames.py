@@ -8,8 +8,8 @@ import pandas as pd
 def plain_text(frame: pd.DataFrame) -> pd.DataFrame:
     """The frame with text columns as plain objects.
 
-    Text columns put together from several batches are chunked, which the
-    conversion back to Spark does not accept.
+    Newer pandas keeps text in Arrow arrays, chunked once frames are put together,
+    and the conversion back to Spark does not accept chunks.
     """
     text = [c for c in frame.columns if isinstance(frame[c].dtype, pd.StringDtype)]
     return frame.astype({c: object for c in text})

@@ -149,7 +149,7 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
         wanted_rows = np.asarray(vectors, dtype=np.float64)
         lengths = np.linalg.norm(wanted_rows, axis=1)
         place = {name: i for i, name in enumerate(ids)}
-        found = pd.DataFrame({"target": [], "name": [], "score": []})
+        found = None
         for batch in batches:
             if not len(batch):
                 continue
@@ -159,7 +159,7 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
             block = np.stack(batch["vector"].to_numpy()).astype(np.float64)
             norms = np.linalg.norm(block, axis=1)
             own = {place[n]: j for j, n in enumerate(names) if n in place}
-            frames = [found] if len(found) else []
+            frames = [] if found is None else [found]
             for first in range(0, len(ids), TARGETS_AT_ONCE):
                 some = slice(first, first + TARGETS_AT_ONCE)
                 dots = np.einsum("td,bd->tb", wanted_rows[some], block)
@@ -185,7 +185,10 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
                 .groupby("target", sort=False)
                 .head(limit)
             )
-        found = found[found["score"] > -np.inf]
+        if found is not None:
+            found = found[found["score"] > -np.inf]
+        if found is None or found.empty:
+            return
         yield plain_text(
             pd.DataFrame(
                 {

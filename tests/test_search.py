@@ -93,6 +93,13 @@ def test_related_batch(points, rows, small_batches):
     assert search.related_batch(points, targets.limit(0), 4).count() == 0
 
 
+def test_related_batch_with_empty_partitions(points, rows):
+    few = points.filter("article_id < 'a010'").repartition(32)
+    out = search.related_batch(few, points.filter("article_id = 'a001'"), 3).orderBy("rank").collect()
+    vector = dict((r[0], r[1]) for r in rows)["a001"]
+    assert [r["article_id"] for r in out] == best(rows, vector, lambda r: "a001" != r[0] < "a010", 3)
+
+
 def test_related_batch_refuses_unbounded_targets(points, monkeypatch):
     monkeypatch.setattr(search, "MAX_TARGETS", 10)
     with pytest.raises(ValueError):
