@@ -287,6 +287,7 @@ ORACLES = {
   FROM triaged WHERE word_count < 30""",
     "ingest_events": f"""WITH {EVENT_ROWS} SELECT id, title, source_country, word_count, is_breaking_news,
   summary_snippet, id AS article_id, md5(text) AS text_md5 FROM scraped""",
+    "feed_items": f"WITH {ENTRIES} SELECT url, title, published_at AS published, source_country FROM entries",
     "html_main_text": rf"""WITH kept AS (SELECT page_id, regexp_replace(html, {quoted(DROPPED)}, ' ', 'g') AS h FROM pages),
 main AS (SELECT page_id, coalesce(nullif(array_to_string(regexp_extract_all(h, '(?is)<article\b[^>]*>(.*?)</article>', 1), ' '), ''), h) AS h FROM kept),
 plain AS (SELECT page_id, {decoded("regexp_replace(h, '<[^>]+>', ' ', 'g')")} AS t FROM main),
@@ -311,6 +312,8 @@ SELECT id, trim(lower(regexp_replace(title, '<[^>]+>', '', 'g'))) AS clean_title
     "dedup_ttl": ttl("user_id", "INTERVAL 7 DAY"),
     "dedup_ttl_stream": ttl("user_id", "INTERVAL 7 DAY"),
     "dedup_ttl_crowded": ttl("event_type", "INTERVAL 7 DAY"),
+    "dedup_ttl_rows": f"""WITH admitted AS (SELECT event_id FROM ({ttl("user_id", "INTERVAL 7 DAY")}))
+SELECT event_id, user_id, event_type, value, props FROM events WHERE event_id IN (SELECT event_id FROM admitted)""",
     "dedup_first": """SELECT user_id, event_id, epoch_us(ts) AS ts_us FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
     "dedup_unseen": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
@@ -373,6 +376,8 @@ SELECT word, count(*) AS n FROM words WHERE word NOT IN {words_in(d.STOP_WORDS)}
   sentiment_polarity AS sentiment_score, sentiment_label, detected_language AS language, top_entities AS entities,
   array_to_string(list_slice(string_split(places, '|'), 1, 5), '|') AS locations, keywords,
   md5(substr(title || ' ' || full_text_payload, 1, 2000)) AS input_md5 FROM enriched""",
+    "vec_indexed": f"""WITH {ENRICHED} SELECT article_id, title, category, sentiment_label, detected_language AS language,
+  top_entities AS entities, keywords, 384::INTEGER AS vector_size FROM enriched""",
     "vec_upsert": """SELECT vec_id AS article_id, label FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels)
 UNION ALL SELECT doc_id, (100 + quality)::INTEGER FROM labels""",
     "vec_stats": f"""WITH {LIBRARY} SELECT 'news_articles' AS collection_name, count(*) AS vectors_count,

@@ -35,6 +35,8 @@ from presswork.operators.ranking import number_rows
 from presswork.operators.sentiment import get_sentiment, sentiment_label, sentiment_scores
 from presswork.operators.summary import summarize
 from presswork.plans import articles as fixture
+from presswork.plans import lake
+from presswork.sources.feeds import read_feeds
 from presswork.sources.jsonl import newest_run, save_run
 from presswork.sources.tables import overwrite_table, prepare, read_table, stream_table
 from presswork.sources.topic import from_topic, to_topic
@@ -183,6 +185,22 @@ def ingest_events(spark, sf_dir):
     )
 
 
+def feed_items(spark, sf_dir):
+    """Documents written as one feed folder per country, read back as entries."""
+    root = shared_path(spark, "feeds")
+    items = entries(spark, sf_dir).select(
+        F.col("url").alias("link"), "title", F.col("published").alias("pubDate"),
+        F.col("summary").alias("description"), "source_country",
+    )
+    countries = list(fixture.COUNTRY_OF_LANGUAGE.values())
+    for country in countries:
+        feed = items.filter(F.col("source_country") == country).drop("source_country")
+        feed.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(f"{root}/{country}")
+    return read_feeds(spark, {c: [f"{root}/{c}"] for c in countries}).select(
+        "url", "title", "published", "source_country"
+    )
+
+
 def html_main_text(spark, sf_dir):
     pages = spread(table(spark, sf_dir, "pages"))
     extracted = pages.select("page_id", main_text(F.col("html")).alias("text"))
@@ -293,6 +311,13 @@ def dedup_ttl_stream(spark, sf_dir):
     return _admitted(read_table(spark, out))
 
 
+def dedup_ttl_rows(spark, sf_dir):
+    """Admitted events with all their columns."""
+    events = table(spark, sf_dir, "events")
+    rows = dedup.admit_within_ttl(events, "user_id", "ts", "event_id", WEEK)
+    return rows.select("event_id", "user_id", "event_type", "value", "props")
+
+
 def dedup_first(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     return _admitted(dedup.first_seen(events, "user_id", "ts", "event_id"))
@@ -535,6 +560,18 @@ def vec_points(spark, sf_dir):
     )
 
 
+def vec_indexed(spark, sf_dir):
+    """A saved run indexed into a new collection, as stored payloads."""
+    runs, folder = shared_path(spark, "runs"), shared_path(spark, "collection")
+    save_run(enriched(spark, sf_dir), runs)
+    lake.index_newest_run(spark, runs, folder)
+    return lake.searchable(lake.read_collection(spark, folder)).select(
+        "article_id", "title", "category", "sentiment_label", "language",
+        joined("entities").alias("entities"), joined("keywords").alias("keywords"),
+        F.size("vector").alias("vector_size"),
+    )
+
+
 def vec_upsert(spark, sf_dir):
     """Labels of the embeddings, replaced where the labels table rates the document."""
     stored = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("article_id"), "label")
@@ -692,17 +729,17 @@ def portal_collection_ranks(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        ingest_records, ingest_rejects, ingest_events, html_main_text, page_domains,
+        ingest_records, ingest_rejects, ingest_events, feed_items, html_main_text, page_domains,
         topic_records, topic_to_bronze_stream, topic_to_bronze_batch,
         silver_articles, silver_stream, silver_doc_variant,
-        dedup_ttl, dedup_ttl_crowded, dedup_ttl_stream, dedup_first, dedup_unseen,
+        dedup_ttl, dedup_ttl_rows, dedup_ttl_crowded, dedup_ttl_stream, dedup_first, dedup_unseen,
         gold_nlp_input, gold_search_features, gold_daily_publisher_metrics,
         gold_tables_written, quality_report, country_summary,
         nlp_clean, nlp_language, nlp_translation_route, nlp_entities, nlp_locations,
         nlp_category, nlp_category_scores, nlp_keywords, nlp_keywords_doc,
         nlp_frequent_words, nlp_term_frequency, nlp_sentiment, nlp_sentiment_shares,
         nlp_summary, nlp_documents, nlp_flattened, nlp_saved_run, nlp_report, portal_articles,
-        vec_embed, vec_payload, vec_points, vec_upsert, vec_stats,
+        vec_embed, vec_payload, vec_points, vec_indexed, vec_upsert, vec_stats,
         vec_search, vec_search_filtered, vec_advanced, vec_related, vec_related_fallback,
         vec_related_batch, vec_browse, vec_trending, query_category,
         portal_facets, portal_filtered, portal_kpis, portal_ranked, portal_pages,

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from presswork.schemas import ENRICHED
+from presswork.sources.tables import entry_names
 
 RUN_PREFIX = "enriched_articles_"
 
@@ -25,22 +24,10 @@ def save_run(records: DataFrame, folder: str, now: datetime | None = None) -> st
 def newest_path(spark: SparkSession, folder: str, prefix: str) -> str | None:
     """Path of the newest entry of ``folder`` by name, None when there is none.
 
-    Names sort by time. Only the listing is read, never the content of runs, and
-    what comes back to the driver is one name.
+    Names sort by time; runs themselves are not opened.
     """
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(folder)
-            .select(F.regexp_extract("path", rf"^(.*/{prefix}[^/]*)", 1).alias("run"))
-            .filter("run <> ''")
-        )
-        return files.agg(F.max("run")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    names = [n for n in entry_names(spark, folder) if n.startswith(prefix)]
+    return f"{folder.rstrip('/')}/{max(names)}" if names else None
 
 
 def newest_run(

@@ -38,10 +38,21 @@ def read_table(
         raise
 
 
+def _file_system(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def entry_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly below a folder, one per run or file; none when it is missing."""
+    fs, location = _file_system(spark, folder)
+    if not fs.exists(location):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(location)]
+
+
 def _is_file(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    fs = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, location = _file_system(spark, path)
     return fs.getFileStatus(location).isFile()
 
 
