@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from presswork.schemas import ENRICHED
-from presswork.sources.tables import entry_names
+from presswork.sources.tables import entry_names, is_complete
 
 RUN_PREFIX = "enriched_articles_"
 
@@ -22,12 +22,14 @@ def save_run(records: DataFrame, folder: str, now: datetime | None = None) -> st
 
 
 def newest_path(spark: SparkSession, folder: str, prefix: str) -> str | None:
-    """Path of the newest entry of ``folder`` by name, None when there is none.
+    """Path of the newest complete entry of ``folder`` by name, None without one.
 
-    Names sort by time; runs themselves are not opened.
+    Names sort by time. Runs are not opened, and one whose job broke off is
+    passed over.
     """
-    names = [n for n in entry_names(spark, folder) if n.startswith(prefix)]
-    return f"{folder.rstrip('/')}/{max(names)}" if names else None
+    names = sorted((n for n in entry_names(spark, folder) if n.startswith(prefix)), reverse=True)
+    paths = (f"{folder.rstrip('/')}/{name}" for name in names)
+    return next((p for p in paths if is_complete(spark, p)), None)
 
 
 def newest_run(

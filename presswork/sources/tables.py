@@ -56,6 +56,14 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(location).isFile()
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """A single file, or a folder whose write job has committed."""
+    if _is_file(spark, path):
+        return True
+    fs, marker = _file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
 def stream_table(
     spark: SparkSession,
     path: str,

@@ -156,6 +156,8 @@ def test_newest_run(spark, tmp_path):
     raw = "".join(r["value"] for r in spark.read.text(path).collect())
     assert "alt – é" in raw and '"processed_text":null' in raw
     assert [r["title"] for r in jsonl.newest_run(spark, folder).collect()] == ["neu"]
+    (tmp_path / "runs" / "enriched_articles_20270101_000000.jsonl").mkdir()
+    assert [r["title"] for r in jsonl.newest_run(spark, folder).collect()] == ["neu"]
 
 
 def test_blank_lines_are_skipped(spark, tmp_path):
