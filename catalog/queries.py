@@ -543,7 +543,7 @@ def vec_embed(spark, sf_dir):
 
 
 def vec_payload(spark, sf_dir):
-    rows = vectors.payloads(enriched(spark, sf_dir))
+    rows = vectors.payloads(enriched(spark, sf_dir), vectors.EMBEDDED_CHARS)
     return rows.select(
         "article_id", "title", "domain", "source_country", "published_date", "category",
         "sentiment_score", "sentiment_label", "language", joined("entities").alias("entities"),

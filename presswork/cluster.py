@@ -12,12 +12,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def shared_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster; a temporary one only where none is set."""
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="presswork-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="presswork-"))
+        root = context.getCheckpointDir()
     return root
 
 

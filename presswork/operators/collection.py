@@ -13,14 +13,14 @@ from presswork.functions.models import Loader, apply_model
 from presswork.operators.enrich import document_category, with_optional_fields
 from presswork.schemas import COLLECTION, VECTOR_SIZE
 
-# --- Fixed values: what of a document goes into embedding and payload.
+# --- Fixed values: input of the original model, lists of a payload.
 EMBEDDED_CHARS = 2000
 ENTITY_LIMIT, LOCATION_LIMIT, KEYWORD_LIMIT = 10, 5, 10
 DISTANCE_METRIC = "COSINE"
 
 
-def embedding_input(title: Column, payload: Column, max_chars: int | None = EMBEDDED_CHARS) -> Column:
-    """Title and text, cut to what an embedding model reads (None: whole)."""
+def embedding_input(title: Column, payload: Column, max_chars: int | None = None) -> Column:
+    """Title and text; ``max_chars`` is for models that read no more."""
     text = F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(payload, F.lit("")))
     return text if max_chars is None else F.substring(text, 1, max_chars)
 
@@ -70,8 +70,9 @@ def embed_with(
     return df.withColumn(output, apply_model(whole, embedder, T.ArrayType(T.FloatType()), batch))
 
 
-def payloads(documents: DataFrame) -> DataFrame:
-    """Payload columns of enriched documents, lists cut to what search shows."""
+def payloads(documents: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """Payload columns of enriched documents, lists cut to what search shows, and
+    the text to embed."""
     full = with_optional_fields(documents)
     anonymous = F.concat(F.lit("art_"), F.hex(F.xxhash64("title", "full_text_payload")))
 
@@ -102,16 +103,21 @@ def payloads(documents: DataFrame) -> DataFrame:
             F.slice(F.coalesce("nlp.keyword_extraction.keywords", "nlp.keywords"), 1, KEYWORD_LIMIT),
             F.array().cast("array<string>"),
         ).alias("keywords"),
-        embedding_input(F.col("title"), F.col("full_text_payload")).alias("embedding_input"),
+        embedding_input(F.col("title"), F.col("full_text_payload"), max_chars).alias("embedding_input"),
     )
 
 
-def points(documents: DataFrame, embedder: Loader | None = None, size: int = VECTOR_SIZE) -> DataFrame:
+def points(
+    documents: DataFrame,
+    embedder: Loader | None = None,
+    size: int = VECTOR_SIZE,
+    max_chars: int | None = None,
+) -> DataFrame:
     """Enriched documents -> rows of a collection, keyed by article.
 
     Articles whose embedding fails or has another size are left out.
     """
-    prepared = payloads(documents)
+    prepared = payloads(documents, max_chars)
     embedded = (
         embed_hashed(prepared, "embedding_input", size)
         if embedder is None
