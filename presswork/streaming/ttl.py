@@ -34,13 +34,12 @@ def rocksdb_state(spark: SparkSession):
 class SeenSet(StatefulProcessor):
     """Admits a key when it is new or its last admission has expired."""
 
-    def __init__(self, ttl: int):
-        self.ttl = ttl
+    def __init__(self, ttl: int, keep_ms: int | None = None):
+        self.ttl, self.keep_ms = ttl, keep_ms
 
     def init(self, handle) -> None:
-        self.last = handle.getValueState(
-            "last", StructType([StructField("t", LongType(), True)])
-        )
+        schema = StructType([StructField("t", LongType(), True)])
+        self.last = handle.getValueState("last", schema, self.keep_ms)
 
     def handleInputRows(self, key, rows, timer_values):
         import numpy as np
@@ -74,11 +73,16 @@ def admit_stream(
     row_id: str,
     ttl_seconds: int = TTL_SECONDS,
     columns: Sequence[str] = (),
+    keep_seconds: int | None = None,
 ) -> DataFrame:
     """``key, time, row_id`` and ``columns`` of admitted rows.
 
     Rows of a micro-batch are taken in time order. Limit a trigger with
     ``maxFilesPerTrigger`` to bound a key's share of it.
+
+    ``keep_seconds`` forgets keys after that much clock time, which bounds the
+    state of a stream that runs for ever; choose it well above the expiry, and
+    use a polling trigger (one that stops when its input is read does not end).
     """
     slim = stream.select(
         F.col(key).alias("k"),
@@ -87,10 +91,12 @@ def admit_stream(
         *columns,
     ).filter("k IS NOT NULL AND t IS NOT NULL")
     admitted = slim.groupBy("k").transformWithStateInPandas(
-        statefulProcessor=SeenSet(ttl_seconds * MICROS),
+        statefulProcessor=SeenSet(
+            ttl_seconds * MICROS, None if keep_seconds is None else 1000 * keep_seconds
+        ),
         outputStructType=slim.schema,
         outputMode="Append",
-        timeMode="None",
+        timeMode="None" if keep_seconds is None else "ProcessingTime",
     )
     return admitted.select(
         F.col("k").alias(key),

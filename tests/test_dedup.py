@@ -100,3 +100,20 @@ def test_stream_carries_columns(spark, small_batches, tmp_path):
         admitted = admit_stream(stream, "k", "ts", "i", columns=["text"])
         admitted.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
     assert {(r["i"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {(0, "t0"), (168, "t168"), (300, "t300")}
+
+
+def test_polling_stream_that_forgets_keys(spark, tmp_path):
+    rows = [("a", i * 3600, i) for i in range(300)]
+    events(spark, rows).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(events(spark, rows).schema).parquet(f"{tmp_path}/in")
+    with rocksdb_state(spark):
+        admitted = admit_stream(stream, "k", "ts", "i", keep_seconds=14 * DAY)
+        query = admitted.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/check").trigger(processingTime="1 second").start(f"{tmp_path}/out")
+    try:
+        for _ in range(60):
+            if any(p["numInputRows"] for p in query.recentProgress):
+                break
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    assert {r["i"] for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {0, 168}
