@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,12 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is set."""
+    """Shared folder named by the cluster; a temporary one only within a single process."""
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not root:
+        if not re.match(r"local($|\[)", context.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="presswork-"))
         root = context.getCheckpointDir()
     return root

@@ -1,11 +1,13 @@
+import pytest
+
 from presswork import cluster
 
 
 class Session:
     """A session without a shared folder."""
 
-    def __init__(self, configured=None):
-        self.configured, self.directory = configured, None
+    def __init__(self, configured=None, master="local[2]"):
+        self.configured, self.directory, self.master = configured, None, master
         self.conf = self.sparkContext = self
 
     def get(self, name, default):
@@ -29,6 +31,12 @@ def test_a_temporary_folder_only_without_one():
     assert root and cluster.shared_root(session) == root
 
 
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "yarn", "spark://host:7077"])
+def test_a_cluster_must_name_its_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        cluster.shared_root(Session(master=master))
+
+
 def test_paths_are_fresh(spark):
     paths = {cluster.shared_path(spark, "x") for _ in range(3)}
     assert len(paths) == 3 and all("/presswork/x-" in p for p in paths)
