@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from presswork.llm import line_dedup, packing, pii
+from presswork.llm import line_dedup, near_dup, packing, pii
 
-MODULES = (line_dedup, packing, pii)
+MODULES = (line_dedup, packing, pii, near_dup)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
