@@ -17,6 +17,7 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,8 @@ from presswork.llm.common import TOKENIZERS, table
 
 MAX_LENGTH = 2048
 END_ID = 1
-KNOWN_WORDS = 1_000_000  # words a worker remembers; it starts afresh beyond
+KNOWN_WORDS = 1_500_000  # words a worker remembers; it starts afresh beyond
+TOGETHER = 200  # new words that are encoded as one text
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 
 
@@ -49,21 +51,36 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, encoded as one text and cut where a word begins."""
+        together = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        owner = np.array(together.word_ids)
+        cuts = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
+        if len(cuts) != len(words) + 1:  # a letter turned into more than letters
+            return self._plain(words)
+        ids = array("I", together.ids).tobytes()
+        cuts = (4 * cuts).tolist()
+        return [ids[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def _learn(self, words: list[bytes]) -> None:
         known, fresh, stems = self.known, {}, []
         for w in words:
             # A full stop or comma after a letter is always an own word to the tokenizer.
             stem = w[:-1] if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else w
-            stems.append((w, stem))
+            if stem is not w:
+                stems.append((w, stem))
             if stem not in known:
-                fresh[stem] = None
-        for mark in (b".", b","):
-            fresh.update({mark: None} if mark not in known else {})
-        names = list(fresh)
-        known.update(zip(names, self._plain([w.decode() for w in names]), strict=True))
-        known.update({w: known[stem] + known[w[-1:]] for w, stem in stems if w is not stem})
+                fresh[stem] = stem.decode()
+        fresh.update({mark: mark.decode() for mark in (b".", b",") if mark not in known})
+        letters = [(k, w) for k, w in fresh.items() if w.isalpha()]
+        for a in range(0, len(letters), TOGETHER):
+            names, group = zip(*letters[a : a + TOGETHER], strict=True)
+            known.update(zip(names, self._letters(list(group)), strict=True))
+        others = [(k, w) for k, w in fresh.items() if not w.isalpha()]
+        known.update(zip([k for k, _ in others], self._plain([w for _, w in others]), strict=True))
+        known.update({w: known[stem] + known[w[-1:]] for w, stem in stems})
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -71,7 +88,9 @@ class WordEncoder:
             self.known.clear()
         special = [b"<|" in x for x in texts]
         split = [[] if s else x.lower().split() for x, s in zip(texts, special, strict=True)]
-        missing = set().union(*split).difference(self.known)
+        missing = set()
+        for words in split:
+            missing.update(set(words).difference(self.known))
         if missing:
             self._learn(list(missing))
         get = self.known.__getitem__
