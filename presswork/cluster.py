@@ -36,7 +36,18 @@ def materialize(df: DataFrame, label: str = "stage", partition_by: str | None =
     path = shared_path(df.sparkSession, label)
     writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Remove tables of ``materialize`` that nothing reads any more; other frames stay."""
+    for df in frames:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:

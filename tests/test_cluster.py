@@ -45,3 +45,11 @@ def test_paths_are_fresh(spark):
 def test_materialized_rows_are_read_from_the_written_table(spark):
     out = cluster.materialize(spark.range(5))
     assert out.count() == 5 and out.inputFiles() and cluster.is_small(out, 5) and not cluster.is_small(out, 4)
+
+
+def test_discarded_tables_are_gone(spark, tmp_path):
+    kept, gone = cluster.materialize(spark.range(3)), cluster.materialize(spark.range(4))
+    cluster.discard(gone, None, spark.range(2))
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="FileNotFound|does not exist|not exist"):
+        gone.count()
