@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
-from presswork.llm import language_id, line_dedup, line_frequency, near_dup, packing, pii, sentencepiece_codec
+from presswork.llm import (
+    language_id,
+    licences,
+    line_dedup,
+    line_frequency,
+    mtree,
+    near_dup,
+    packing,
+    pii,
+    quality,
+    sentencepiece_codec,
+)
 
-MODULES = (sentencepiece_codec, line_frequency, language_id, line_dedup, pii, packing, near_dup)
+MODULES = (quality, sentencepiece_codec, line_frequency, mtree, language_id, line_dedup, licences, pii, packing, near_dup)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
