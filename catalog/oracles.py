@@ -69,8 +69,13 @@ SILVER_ROWS = f"""SELECT id, clean_title, md5(clean_content) AS content_md5, wor
   domain, md5(full_text_payload) AS payload_md5, source_country, {stamp('ts')} AS published_at_ts,
   published_date::VARCHAR AS published_date FROM silver"""
 
-ENTRIES = ARTICLES + rf""", entries AS (
-  SELECT *, CASE WHEN lang = 'en' THEN text END AS extracted_text,
+ENTRIES = ARTICLES + r""", entries AS (
+  SELECT doc_id, text, source_country, CASE WHEN doc_id % 19 <> 7 THEN url END AS url,
+         CASE WHEN doc_id % 19 <> 7 THEN id END AS id, CASE WHEN doc_id % 13 <> 5 THEN title END AS raw_title,
+         CASE WHEN doc_id % 13 <> 5 THEN title ELSE 'No Title' END AS title,
+         doc_id % 13 <> 5 AND is_breaking_news AS is_breaking_news,
+         CASE WHEN doc_id % 17 <> 6 THEN published_at ELSE '' END AS published_at,
+         CASE WHEN doc_id % 5 <> 2 THEN text END AS extracted_text,
          trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS stripped
   FROM articles)"""
 
@@ -235,6 +240,10 @@ LIBRARY = f"""library AS (
 rows AS (SELECT *, {LABEL.format('sentiment_score')} AS sentiment_label FROM library)"""
 
 
+PORTAL = ENRICHED + """, rows AS (SELECT article_id, title, source_country, category, sentiment_label,
+  sentiment_polarity AS sentiment_score, detected_language AS language, x AS text FROM enriched)"""
+
+
 def scored(target: str, where: str = "TRUE") -> str:
     return f"""{LIBRARY}, scored AS (SELECT r.*, list_cosine_similarity(r.v, t.v) AS score
   FROM rows r, (SELECT embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id = {target}) t WHERE {where})"""
@@ -255,7 +264,7 @@ FROM chain c JOIN events e ON e.{key} = c.{key} AND e.ts = c.ts GROUP BY c.{key}
 
 EVENT_ROWS = ENTRIES + f""", scraped AS (
   SELECT *, {word_count('text')}::INTEGER AS word_count, substr(text, 1, 500) AS summary_snippet
-  FROM entries WHERE lang = 'en' AND text <> '')"""
+  FROM entries WHERE extracted_text <> '' AND url IS NOT NULL)"""
 
 
 def related(article: int, condition: str, limit: int) -> str:
@@ -282,12 +291,18 @@ JSON_FIELDS = (
 
 ORACLES = {
     "ingest_records": f"""WITH {TRIAGED} SELECT id, title, url, source_country, published_at, word_count,
-  is_breaking_news, summary_snippet, md5(stripped) AS content_md5 FROM triaged WHERE word_count >= 30""",
-    "ingest_rejects": f"""WITH {TRIAGED} SELECT id, url, word_count, 'insufficient text' AS reject_reason
-  FROM triaged WHERE word_count < 30""",
+  is_breaking_news, summary_snippet, md5(stripped) AS content_md5 FROM triaged WHERE word_count >= 30 AND url IS NOT NULL""",
+    "ingest_rejects": f"""WITH {TRIAGED} SELECT id, url, word_count,
+  CASE WHEN url IS NULL THEN 'no link' ELSE 'insufficient text' END AS reject_reason
+  FROM triaged WHERE word_count < 30 OR url IS NULL""",
+    "ingest_invalid": f"""WITH {EVENT_ROWS} SELECT id, concat_ws('|', CASE WHEN id LIKE 'a%' THEN 'title is missing' END,
+  CASE WHEN id LIKE 'b%' THEN 'published_at is missing' END,
+  CASE WHEN id LIKE 'b%' OR id LIKE 'c%' THEN 'word_count is missing' END) AS reasons
+  FROM scraped WHERE regexp_matches(id, '^[abc]')""",
     "ingest_events": f"""WITH {EVENT_ROWS} SELECT id, title, source_country, word_count, is_breaking_news,
   summary_snippet, id AS article_id, md5(text) AS text_md5 FROM scraped""",
-    "feed_items": f"WITH {ENTRIES} SELECT url, title, published_at AS published, source_country FROM entries",
+    "feed_items": f"""WITH {ENTRIES} SELECT url, raw_title AS title, nullif(published_at, '') AS published, source_country
+  FROM entries""",
     "html_main_text": rf"""WITH kept AS (SELECT page_id, regexp_replace(html, {quoted(DROPPED)}, ' ', 'g') AS h FROM pages),
 main AS (SELECT page_id, coalesce(nullif(array_to_string(regexp_extract_all(h, '(?is)<article\b[^>]*>(.*?)</article>', 1), ' '), ''), h) AS h FROM kept),
 plain AS (SELECT page_id, {decoded("regexp_replace(h, '<[^>]+>', ' ', 'g')")} AS t FROM main),
@@ -369,13 +384,14 @@ SELECT word, count(*) AS n FROM words WHERE word NOT IN {words_in(d.STOP_WORDS)}
   category AS predicted_category, sentiment_label, sentiment_polarity, keywords, entities, locations FROM enriched""",
     "nlp_saved_run": f"""WITH {ENRICHED} SELECT category AS predicted_category, detected_language, count(*) AS articles
   FROM enriched GROUP BY 1, 2""",
-    "nlp_report": f"WITH {SILVER} SELECT count(*) AS total, count(*) AS enriched FROM silver",
+    "nlp_report": f"""WITH {ENRICHED} SELECT count(*) AS total,
+  count(*) FILTER (WHERE detected_language <> 'fr' OR length(x) % 2 = 0) AS enriched FROM enriched""",
     "portal_articles": f"""WITH {ENRICHED} SELECT article_id, title, domain, source_country, md5(x) AS text_md5, detected_language,
   FALSE AS translation_applied, category AS predicted_category, keywords, sentiment_label, sentiment_polarity FROM enriched""",
     "vec_payload": f"""WITH {ENRICHED} SELECT article_id, title, domain, source_country, published_date, category,
   sentiment_polarity AS sentiment_score, sentiment_label, detected_language AS language, top_entities AS entities,
   array_to_string(list_slice(string_split(places, '|'), 1, 5), '|') AS locations, keywords,
-  md5(substr(title || ' ' || full_text_payload, 1, 2000)) AS input_md5 FROM enriched""",
+  md5(title || ' ' || full_text_payload) AS input_md5 FROM enriched""",
     "vec_indexed": f"""WITH {ENRICHED} SELECT article_id, title, category, sentiment_label, detected_language AS language,
   top_entities AS entities, keywords, 384::INTEGER AS vector_size FROM enriched""",
     "vec_upsert": """SELECT vec_id AS article_id, label FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels)
@@ -401,38 +417,41 @@ SELECT target_id, article_id, (row_number() OVER (PARTITION BY target_id ORDER B
     "vec_browse": f"""WITH {LIBRARY} SELECT article_id, title, category, source_country FROM rows
 WHERE category = 'Business' AND source_country = 'US' ORDER BY article_id LIMIT 10""",
     "vec_trending": f"""WITH {TEXTS}, {entities_cte()} SELECT text AS entity, count(*) AS n FROM entities
-WHERE position < 10 GROUP BY 1 ORDER BY n DESC, entity LIMIT 10""",
+GROUP BY 1 ORDER BY n DESC, entity LIMIT 10""",
     "query_category": "SELECT conv_id, turn, CASE "
     + " ".join(
         r"WHEN regexp_matches(lower(text), '(?:^|[^\p{L}\p{N}_])(?:" + "|".join(ts) + r")(?:$|[^\p{L}\p{N}_])')" + f" THEN '{c}'" for c, ts in d.QUERY_TERMS.items()
     )
     + " END AS category FROM conversations WHERE role = 'user'",
-    "portal_facets": f"WITH {LIBRARY} "
+    "portal_facets": f"WITH {PORTAL} "
     + " UNION ALL ".join(
         f"SELECT '{f}' AS facet, {c} AS value, count(*) AS articles FROM rows GROUP BY {c}"
         for f, c in (
             ("predicted_category", "category"), ("sentiment_label", "sentiment_label"), ("source_country", "source_country"),
         )
     ),
-    "portal_filtered": f"""WITH {LIBRARY} SELECT article_id, category AS predicted_category, sentiment_label, source_country FROM rows
+    "portal_filtered": f"""WITH {PORTAL} SELECT article_id, category AS predicted_category, sentiment_label, source_country FROM rows
 WHERE category IN ('Technology', 'Sports') AND sentiment_label IN ('Positive', 'Neutral') AND source_country IN ('US', 'FR')""",
-    "portal_kpis": f"""WITH {LIBRARY}, shown AS (SELECT *, category IN ('Technology', 'Business') AND sentiment_label = 'Positive' AS hit FROM rows)
+    "portal_kpis": f"""WITH {PORTAL}, shown AS (SELECT *, category IN ('Technology', 'Business') AND sentiment_label = 'Positive' AS hit FROM rows)
 SELECT count(*)::BIGINT AS total_articles, count(*) FILTER (WHERE hit)::BIGINT AS filtered_articles,
   count(DISTINCT category) AS topics, round(avg(sentiment_score) FILTER (WHERE hit), 2) AS avg_sentiment FROM shown""",
-    "portal_ranked": f"""WITH {scored('0')}, ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, article_id) - 1 AS rank FROM scored)
-SELECT article_id, title, rank, round(score, 6) AS similarity_score FROM ranked WHERE category = 'Technology'""",
-    "portal_pages": f"""WITH {LIBRARY}, placed AS (SELECT article_id, row_number() OVER (ORDER BY sentiment_score DESC, article_id) - 1 AS pos FROM rows)
+    "portal_ranked": f"""WITH {scored('0')}, ranked AS (
+  SELECT article_id, score, row_number() OVER (ORDER BY score DESC, article_id) - 1 AS rank FROM scored),
+{ENRICHED}
+SELECT article_id, enriched.title, rank, round(score, 6) AS similarity_score
+FROM ranked JOIN enriched USING (article_id) WHERE enriched.category = 'Technology'""",
+    "portal_pages": f"""WITH {PORTAL}, placed AS (SELECT article_id, row_number() OVER (ORDER BY sentiment_score DESC, article_id) - 1 AS pos FROM rows)
 SELECT article_id, (pos // 3)::BIGINT AS grid_row, (pos % 3)::BIGINT AS grid_col FROM placed""",
-    "portal_cards": f"""WITH {LIBRARY} SELECT article_id, category AS predicted_category, {COLOR} AS color,
+    "portal_cards": f"""WITH {PORTAL} SELECT article_id, category AS predicted_category, {COLOR} AS color,
   {case_map('sentiment_label', d.SENTIMENT_MARKERS, '')} AS marker,
   CASE WHEN length(text) > 120 THEN substr(text, 1, 120) || '...' ELSE text END AS snippet,
   CASE WHEN sentiment_score > 0.05 THEN 'positive' WHEN sentiment_score < -0.05 THEN 'negative' ELSE 'neutral' END AS band,
   upper(language) AS language FROM rows""",
-    "portal_detail": f"""WITH {LIBRARY} SELECT article_id, title, category AS predicted_category, {COLOR} AS color,
+    "portal_detail": f"""WITH {PORTAL} SELECT article_id, title, category AS predicted_category, {COLOR} AS color,
   upper(language) AS language, CASE WHEN length(text) > 300 THEN substr(text, 1, 300) || '...' ELSE text END AS text_preview,
   CASE WHEN sentiment_score > 0.05 THEN 'positive' WHEN sentiment_score < -0.05 THEN 'negative' ELSE 'neutral' END AS band
-  FROM rows WHERE doc_id = 3""",
-    "portal_keyword": f"""WITH {LIBRARY} SELECT article_id, title FROM rows
+  FROM rows WHERE article_id = (SELECT md5({URL}) FROM documents WHERE doc_id = 3)""",
+    "portal_keyword": f"""WITH {PORTAL} SELECT article_id, title FROM rows
 WHERE contains(lower(title), 'tion the') OR contains(lower(text), 'tion the')""",
     "portal_related": related(3, "category = 'Sports'", 3).format(
         f"article_id, title, category, {COLOR} AS color, sentiment_label AS sentiment, source_country AS country, "

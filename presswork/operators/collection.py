@@ -125,7 +125,7 @@ def points(
     )
     fields = [F.col(f.name) for f in COLLECTION["payload"].dataType.fields]
     rows = embedded.select(
-        F.xxhash64("article_id").alias("point_id"), "vector", F.struct(*fields).alias("payload")
+        F.col("article_id").alias("point_id"), "vector", F.struct(*fields).alias("payload")
     )
     return rows if embedder is None else keep_where(rows, F.size("vector") == size)
 

@@ -14,7 +14,7 @@ from presswork.functions.binding import first_truthy
 from presswork.functions.models import Loader
 from presswork.functions.text import clean_text, count_words
 from presswork.operators.entities import extract_entities, extract_locations
-from presswork.operators.language import detect_language, detect_with, translate
+from presswork.operators.language import FALLBACK, detect_language, translate, try_detect_with
 from presswork.operators.sentiment import get_sentiment
 from presswork.operators.summary import summarize
 from presswork.operators.topics import best_category, category_scores, extract_keywords
@@ -51,18 +51,26 @@ def run_tasks(
     valences: dict[str, float] = d.VALENCES,
     repair: bool = False,
 ) -> DataFrame:
-    """Add the results of all tasks as flat columns. Tasks 4 to 9 see English text."""
+    """Add the results of all tasks as flat columns. Tasks 4 to 9 see English text.
+
+    ``task_errors`` lists the plugged-in models that failed on a row; the row goes on
+    with English as its language, or with its text as it was.
+    """
     source = repair_text(F.col(text)) if repair else F.col(text)
     cleaned = df.withColumn("cleaned_text", clean_text(source)).withColumns(
         {
-            "detected_language": (
+            "_detected": (
                 detect_language(F.col("cleaned_text"))
                 if detector is None
-                else detect_with(F.col("cleaned_text"), detector)
+                else try_detect_with(F.col("cleaned_text"), detector)
             ),
             "cleaned_word_count": count_words(F.col("cleaned_text")),
         }
     )
+    undetected = F.col("_detected").isNull() & F.col("cleaned_text").isNotNull()
+    cleaned = cleaned.withColumns(
+        {"detected_language": F.coalesce("_detected", F.lit(FALLBACK)), "_undetected": undetected}
+    ).drop("_detected")
     routed = translate(cleaned, "cleaned_text", "detected_language", translators)
     english = F.col("translated_text")
     tagged = routed.withColumns(
@@ -79,7 +87,15 @@ def run_tasks(
             "category": best_category(F.col("category_scores")),
         }
     )
-    return located.withColumn("keywords", extract_keywords(english, F.col("category")))
+    failures = [
+        F.when(F.col(flag), F.lit(task)) for flag, task in (("_undetected", "language"), ("translation_failed", "translation"))
+    ]
+    return located.withColumns(
+        {
+            "keywords": extract_keywords(english, F.col("category")),
+            "task_errors": F.array_compact(F.array(*failures)),
+        }
+    ).drop("_undetected", "translation_failed")
 
 
 def nest(tasks: DataFrame) -> DataFrame:
@@ -115,6 +131,7 @@ def nest(tasks: DataFrame) -> DataFrame:
         english.alias("processed_text"),
         nlp.alias("nlp"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processed_at"),
+        "task_errors",
     )
 
 
@@ -124,10 +141,14 @@ def enrich(articles: DataFrame, **options) -> DataFrame:
 
 
 def enrichment_report(documents: DataFrame) -> DataFrame:
-    """Documents seen and documents with results."""
-    return documents.agg(
-        F.count("*").alias("total"), F.count("nlp").alias("enriched")
-    )
+    """Documents seen, and those in which no task failed.
+
+    A task that fails on a text leaves its name in ``task_errors``; documents of older
+    runs have no such field and count as enriched when they have results.
+    """
+    failed = F.size("task_errors") > 0 if "task_errors" in documents.columns else F.lit(False)
+    whole = F.col("nlp").isNotNull() & ~F.coalesce(failed, F.lit(False))
+    return documents.agg(F.count("*").alias("total"), F.count_if(whole).alias("enriched"))
 
 
 def with_optional_fields(documents: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ MIN_WORDS = 30
 def _mean(column: str, places: int = 2) -> Column:
     """Mean of an integer column, rounded as an exact decimal quotient."""
     total = F.sum(column).cast("decimal(28,0)")
-    return F.round(total / F.count(column).cast("decimal(10,0)"), places).cast("double")
+    return F.round(total / F.count(column).cast("decimal(20,0)"), places).cast("double")
 
 
 def long_enough(silver: DataFrame, min_words: int | None) -> DataFrame:
@@ -87,7 +87,7 @@ def quality_report(cleaned: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.coalesce(F.sum(F.col("seen") - F.col("kept")), F.lit(0)).alias("rejected_rows"),
         F.countDistinct(F.when(live, F.col("source_country"))).alias("countries"),
         F.countDistinct(F.when(live, F.col("domain"))).alias("domains"),
-        F.round(total / F.nullif(F.sum("kept"), F.lit(0)).cast("decimal(18,0)"), 2)
+        F.round(total / F.nullif(F.sum("kept"), F.lit(0)).cast("decimal(20,0)"), 2)
         .cast("double")
         .alias("avg_word_count"),
         F.coalesce(F.sum("breaking"), F.lit(0)).alias("breaking_rows"),

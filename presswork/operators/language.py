@@ -40,15 +40,20 @@ def detect_language(text: Column, profiles: dict[str, tuple[str, ...]] = FUNCTIO
     return F.coalesce(let(hits, choose), F.lit(FALLBACK))
 
 
+def try_detect_with(text: Column, load: Loader) -> Column:
+    """Language by a plugged-in model, lower case; null where it fails."""
+    return F.lower(apply_model(text, load, "string"))
+
+
 def detect_with(text: Column, load: Loader) -> Column:
     """Language by a plugged-in model, lower case; ``en`` where it fails."""
-    return F.coalesce(F.lower(apply_model(text, load, "string")), F.lit(FALLBACK))
+    return F.coalesce(try_detect_with(text, load), F.lit(FALLBACK))
 
 
 def translate(
     df: DataFrame, text: str, lang: str, translators: dict[str, Loader] | None = None
 ) -> DataFrame:
-    """Add ``translated_text`` and ``translation_applied``.
+    """Add ``translated_text``, ``translation_applied`` and ``translation_failed``.
 
     ``translators`` holds a model per source language. English, unknown and
     unserved languages keep their text, and so does a text the model fails on.
@@ -61,8 +66,13 @@ def translate(
             model = apply_model(F.when(mine, source), _present(load), "string")
             routed = F.when(mine, model).otherwise(routed)
     if not translators:
-        return df.withColumns({"translated_text": source, "translation_applied": F.lit(False)})
-    translated = df.withColumn("translated_text", F.coalesce(routed, source))
+        return df.withColumns(
+            {"translated_text": source, "translation_applied": F.lit(False), "translation_failed": F.lit(False)}
+        )
+    served = F.col(lang).isin(*[code for code in translators if code != FALLBACK]) & source.isNotNull()
+    translated = df.withColumn("_routed", routed).withColumns(
+        {"translated_text": F.coalesce("_routed", source), "translation_failed": served & F.col("_routed").isNull()}
+    ).drop("_routed")
     applied = (F.col(lang) != FALLBACK) & (F.col("translated_text") != source)
     return translated.withColumn("translation_applied", F.coalesce(applied, F.lit(False)))
 

@@ -8,17 +8,19 @@ task followed by a merge.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from presswork.cluster import is_small
+from presswork.cluster import materialize
 from presswork.functions.binding import non_empty
 from presswork.functions.frames import plain_text
 from presswork.operators.collection import embed_hashed, norm
 from presswork.schemas import VECTOR_SIZE
 
-MAX_TARGETS = 10_000
+TARGETS_PER_BLOCK = 10_000
 TARGETS_AT_ONCE = 256
 
 
@@ -127,26 +129,34 @@ def related(
 
 
 def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) -> DataFrame:
-    """``target_id, article_id, similarity_score, rank`` for a page of articles.
+    """``target_id, article_id, similarity_score, rank`` for any number of articles.
 
-    ``targets`` (``article_id, vector``) is checked to be small and travels with
-    the tasks as one matrix. Every task keeps its best ``limit`` per target, so
-    the shuffle carries candidates, not pairs. Ask for larger sets page by page.
+    ``targets`` (``article_id, vector``) is stored once and worked through in blocks
+    of about ``TARGETS_PER_BLOCK``; a block travels with the tasks as one matrix.
+    Every task keeps its best ``limit`` per target, so the shuffle carries
+    candidates, not pairs.
     """
-    if not is_small(targets, MAX_TARGETS):
-        raise ValueError(f"more than {MAX_TARGETS} targets: ask page by page")
-    wanted = targets.select("article_id", "vector").collect()
+    stored = materialize(targets.select("article_id", "vector"), "targets")
+    blocks = max(1, -(-stored.count() // TARGETS_PER_BLOCK))
+    block = F.pmod(F.xxhash64("article_id"), F.lit(blocks))
+    parts = [_nearest(collection, stored.filter(block == i).collect(), limit) for i in range(blocks)]
+    partial = reduce(DataFrame.unionByName, parts)
+    order = Window.partitionBy("target_id").orderBy(F.desc("similarity_score"), "article_id")
+    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+
+
+def _nearest(collection: DataFrame, wanted: list, limit: int) -> DataFrame:
+    """The best ``limit`` rows of every task for each target of one block."""
     ids = [r["article_id"] for r in wanted]
-    vectors = [list(r["vector"]) for r in wanted]
+    vectors = np.array([r["vector"] for r in wanted], dtype=np.float64)
     key_type = collection.schema["article_id"].dataType.simpleString()
 
     def nearest(batches):
-        import numpy as np
         import pandas as pd
 
         if not ids:
             return
-        wanted_rows = np.asarray(vectors, dtype=np.float64)
+        wanted_rows = vectors
         lengths = np.linalg.norm(wanted_rows, axis=1)
         place = {name: i for i, name in enumerate(ids)}
         found = None
@@ -162,7 +172,7 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
             frames = [] if found is None else [found]
             for first in range(0, len(ids), TARGETS_AT_ONCE):
                 some = slice(first, first + TARGETS_AT_ONCE)
-                dots = np.einsum("td,bd->tb", wanted_rows[some], block)
+                dots = wanted_rows[some] @ block.T
                 scale = np.outer(lengths[some], norms)
                 scores = np.divide(dots, scale, out=np.zeros_like(dots), where=scale > 0)
                 for i, j in own.items():
@@ -200,9 +210,7 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
         )
 
     schema = f"target_id {key_type}, article_id {key_type}, similarity_score double"
-    partial = collection.select("article_id", "vector").mapInPandas(nearest, schema)
-    order = Window.partitionBy("target_id").orderBy(F.desc("similarity_score"), "article_id")
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+    return collection.select("article_id", "vector").mapInPandas(nearest, schema)
 
 
 def trending(collection: DataFrame, limit: int = 10) -> DataFrame:

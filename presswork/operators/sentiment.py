@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,59 +19,7 @@ QUESTION, QUESTIONS = 0.18, 0.96
 ALPHA = 15.0
 THRESHOLD = 0.05
 
-SCORES = "compound double, positive double, neutral double, negative double"
-
-
-def _scorer(valences: dict[str, float]):
-    degrees = {w: STEP for w in d.STRENGTHENERS} | {w: -STEP for w in d.WEAKENERS}
-    negations = frozenset(d.NEGATIONS)
-    token = re.compile(r"\w+(?:['’-]\w+)*")
-
-    def score(text: str) -> tuple[float, float, float, float]:
-        words = token.findall(text)
-        lowered = [w.lower().replace("'", "").replace("’", "") for w in words]
-        hits = [i for i, w in enumerate(lowered) if w in valences and w not in degrees]
-        if not hits:
-            return 0.0, 0.0, 1.0 if words else 0.0, 0.0
-        shouted = sum(len(w) > 1 and w.isupper() for w in words)
-        emphatic = 0 < shouted < len(words)
-        turn = lowered.index("but") if "but" in lowered else None
-
-        values = []
-        for i in hits:
-            value = valences[lowered[i]]
-            if emphatic and len(words[i]) > 1 and words[i].isupper():
-                value += CAPITALS if value > 0 else -CAPITALS
-            sign = 1.0 if value > 0 else -1.0
-            for distance, damping in enumerate(DAMPING, start=1):
-                if distance > i:
-                    break
-                before = lowered[i - distance]
-                if before not in valences:
-                    value += sign * degrees.get(before, 0.0) * damping
-            for before in lowered[max(0, i - 3) : i]:
-                if before in negations:
-                    value *= NEGATION
-            if turn is not None:
-                value *= BEFORE_BUT if i < turn else AFTER_BUT
-            values.append(value)
-
-        total = sum(values)
-        marks = min(text.count("!"), MAX_EXCLAMATIONS) * EXCLAMATION
-        asked = text.count("?")
-        if asked > 1:
-            marks += asked * QUESTION if asked <= 3 else QUESTIONS
-        total += marks if total > 0 else -marks if total < 0 else 0.0
-        compound = round(total / (total * total + ALPHA) ** 0.5, 4)
-
-        up = sum(v + 1 for v in values if v > 0)
-        down = sum(v - 1 for v in values if v < 0)
-        up, down = (up + marks, down) if up > -down else (up, down - marks) if up < -down else (up, down)
-        flat = len(words) - sum(v != 0 for v in values)
-        whole = up - down + flat
-        return compound, round(up / whole, 3), round(flat / whole, 3), round(-down / whole, 3)
-
-    return score
+TOKEN = r"[\p{L}\p{N}_]+(?:['’-][\p{L}\p{N}_]+)*"
 
 
 def sentiment_label(compound: Column) -> Column:
@@ -85,16 +30,102 @@ def sentiment_label(compound: Column) -> Column:
     )
 
 
+def _words(text: Column, valences: dict[str, float]) -> Column:
+    """Words of a text: spelling, valence, step as a degree word, negation, capitals."""
+    degrees = {w: STEP for w in d.STRENGTHENERS} | {w: -STEP for w in d.WEAKENERS}
+
+    def known(table: dict[str, float], word: Column) -> Column:
+        pairs = F.create_map(*[F.lit(x) for item in table.items() for x in item])
+        return F.when(word.isin(*table), F.try_element_at(pairs, word))
+
+    def word(token: Column) -> Column:
+        shouted = (F.length(token) > 1) & (token == F.upper(token)) & (token != F.lower(token))
+        return let(
+            F.translate(F.lower(token), "'’", ""),
+            lambda w: F.struct(
+                w.alias("word"),
+                known(valences, w).alias("valence"),
+                known(degrees, w).alias("step"),
+                w.isin(*d.NEGATIONS).alias("negation"),
+                shouted.alias("shouted"),
+            ),
+        )
+
+    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), word)
+
+
+def _values(words: Column) -> Column:
+    """Weighted valences of the words in the lexicon."""
+    shouted = F.size(F.filter(words, lambda w: w["shouted"]))
+    emphatic = (shouted > 0) & (shouted < F.size(words))
+    turn = F.array_position(F.transform(words, lambda w: w["word"]), "but")
+
+    def value(hit: Column) -> Column:
+        own, i = hit["own"], hit["i"]
+        sign = F.when(own["valence"] > 0, 1.0).otherwise(-1.0)
+        out = own["valence"] + F.when(emphatic & own["shouted"], sign * CAPITALS).otherwise(0.0)
+        before = [F.get(words, i - n) for n in range(1, len(DAMPING) + 1)]
+        for w, damping in zip(before, DAMPING, strict=True):
+            out += F.coalesce(F.when(w["valence"].isNull(), sign * w["step"] * damping), F.lit(0.0))
+        for w in before:
+            out *= F.when(w["negation"], NEGATION).otherwise(1.0)
+        # Positions count from 1; 0 means that there is no such word.
+        return out * F.when(turn == 0, 1.0).when(i + 1 < turn, BEFORE_BUT).otherwise(AFTER_BUT)
+
+    placed = F.transform(words, lambda w, i: F.struct(w.alias("own"), i.alias("i")))
+    hits = F.filter(placed, lambda x: x["own"]["valence"].isNotNull() & x["own"]["step"].isNull())
+    return F.transform(hits, value)
+
+
 def sentiment_scores(text: Column, valences: dict[str, float] = d.VALENCES) -> Column:
     """Struct of compound score in [-1, 1] and the three shares."""
 
-    @F.pandas_udf(SCORES)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        score = _scorer(valences)
-        rows = [score(t or "") for t in texts]
-        return pd.DataFrame(rows, columns=["compound", "positive", "neutral", "negative"])
-
-    return run(text)
+    def add(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+    def count(mark: str) -> Column:
+        return F.length(whole) - F.length(F.replace(whole, F.lit(mark), F.lit("")))
+
+    whole = F.coalesce(text, F.lit(""))
+    asked = count("?")
+    marks = F.least(count("!"), F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION + F.when(
+        asked > 3, QUESTIONS
+    ).when(asked > 1, asked * QUESTION).otherwise(0.0)
+
+    def sums(words: Column) -> Column:
+        return let(
+            _values(words),
+            lambda v: F.struct(
+                F.size(words).alias("words"),
+                F.size(v).alias("hits"),
+                add(v).alias("total"),
+                add(F.transform(F.filter(v, lambda x: x > 0), lambda x: x + 1)).alias("up"),
+                add(F.transform(F.filter(v, lambda x: x < 0), lambda x: x - 1)).alias("down"),
+                (F.size(words) - F.size(F.filter(v, lambda x: x != 0))).alias("flat"),
+                marks.alias("marks"),
+            ),
+        )
+
+    def scores(s: Column) -> Column:
+        total = s["total"] + F.signum(s["total"]) * s["marks"]
+        up = s["up"] + F.when(s["up"] > -s["down"], s["marks"]).otherwise(0.0)
+        down = s["down"] - F.when(s["up"] < -s["down"], s["marks"]).otherwise(0.0)
+        parts = up - down + s["flat"]
+        found = F.struct(
+            F.round(total / F.sqrt(total * total + ALPHA), 4).alias("compound"),
+            F.round(F.try_divide(up, parts), 3).alias("positive"),
+            F.round(F.try_divide(s["flat"], parts), 3).alias("neutral"),
+            F.round(F.try_divide(F.abs(down), parts), 3).alias("negative"),
+        )
+        none = F.struct(
+            F.lit(0.0).alias("compound"),
+            F.lit(0.0).alias("positive"),
+            F.when(s["words"] > 0, 1.0).otherwise(0.0).alias("neutral"),
+            F.lit(0.0).alias("negative"),
+        )
+        return F.when(s["hits"] > 0, found).otherwise(none)
+
+    return let(let(_words(whole, valences), sums), scores)
 
 
 def get_sentiment(text: Column, valences: dict[str, float] = d.VALENCES) -> Column:

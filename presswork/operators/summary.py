@@ -15,8 +15,7 @@ THRESHOLD = 0.1
 EPSILON = 0.1
 FALLBACK_CHARS = 200
 
-# Texts up to this many sentence-by-term (and sentence-by-sentence) cells use matrices.
-DENSE_CELLS = 4_000_000
+BLOCK_CELLS = 1_000_000  # sentence pairs, and products of terms, that are worked on together
 MAX_STEPS = 1000
 
 SENTENCE_END = r"(?<=[.!?])\s+(?=[\"“'(]?[\p{Lu}\p{Nd}])"
@@ -48,50 +47,52 @@ def _summarizer(count: int):
         norm = np.sqrt(np.bincount(row, value * value, minlength=len(bags)))[row]
         return row, term, np.divide(value, norm, out=np.zeros_like(value), where=norm > 0), width
 
-    def link_rows(row, term, value, nodes, width):
-        """One sentence after the other: the sentences more similar than the threshold."""
+    def link_blocks(row, term, value, nodes, width):
+        """Blocks of sentences ``a..b`` and which sentences each is more similar to than the threshold.
+
+        A block is as large as its cells and products allow; every sum is taken in
+        the order of the terms, so blocks do not change results.
+        """
         order = np.argsort(term, kind="stable")
         owner, weight = row[order], value[order]
         begin = np.searchsorted(term[order], np.arange(width + 1))
         first = np.searchsorted(row, np.arange(nodes + 1))
-        for i in range(nodes):
-            likeness = np.zeros(nodes)
-            for j in range(first[i], first[i + 1]):
-                span = slice(begin[term[j]], begin[term[j] + 1])
-                likeness[owner[span]] += value[j] * weight[span]
-            yield likeness > THRESHOLD
+        met = begin[term + 1] - begin[term]
+        work = np.append(0, np.cumsum(met))[first]
+        a = 0
+        while a < nodes:
+            b = min(a + max(1, BLOCK_CELLS // nodes), int(np.searchsorted(work, work[a] + BLOCK_CELLS, side="right")) - 1)
+            b = max(a + 1, b)
+            e = slice(first[a], first[b])
+            counts = met[e]
+            at = np.arange(counts.sum()) + np.repeat(begin[term[e]] - (np.cumsum(counts) - counts), counts)
+            cells = np.repeat(row[e] - a, counts) * nodes + owner[at]
+            likeness = np.bincount(cells, np.repeat(value[e], counts) * weight[at], minlength=(b - a) * nodes)
+            yield a, b, (likeness > THRESHOLD).reshape(b - a, nodes)
+            a = b
 
     def central(parts):
         """Stationary weight of every sentence on the graph of similar ones.
 
-        Equal sentences are one node with a number of copies. The links of a long
-        text are found anew in each step instead of kept: memory grows with the
-        text, not with the pairs of its sentences.
+        Equal sentences are one node with a number of copies. Links are found anew
+        in each step, block by block: memory grows with the text, not with the
+        pairs of its sentences.
         """
         nodes = {}
         owner = [nodes.setdefault(tuple(sorted(token.findall(p.lower()))), len(nodes)) for p in parts]
         copies = np.bincount(owner).astype(float)
         n = len(nodes)
         row, term, value, width = weights(list(nodes), copies)
-        links = None
-        if n * max(width, n) <= DENSE_CELLS:
-            table = np.zeros((n, width))
-            table[row, term] = value
-            links = (table @ table.T > THRESHOLD).astype(float)
-            degree = np.maximum(links @ copies, 1.0)
         rank = np.full(n, 1.0 / len(parts))
         for _ in range(MAX_STEPS):
-            if links is not None:
-                new = (copies * rank / degree) @ links
-            else:
-                new = np.zeros(n)
-                for i, linked in enumerate(link_rows(row, term, value, n, width)):
-                    new[linked] += copies[i] * rank[i] / max(copies[linked].sum(), 1.0)
+            new = np.zeros(n)
+            for a, b, linked in link_blocks(row, term, value, n, width):
+                new += (copies[a:b] * rank[a:b] / np.maximum(linked @ copies, 1.0)) @ linked
             moved = np.sqrt(copies @ (new - rank) ** 2)
             rank = new
             if moved <= EPSILON:
-                break
-        return rank[owner]
+                return rank[owner]
+        raise ValueError("the ranks of the sentences do not settle")
 
     def summarize(parts) -> str:
         if len(parts) > count:
@@ -118,7 +119,7 @@ def summarize(text: Column, sentence_count: int = 2) -> Column:
                 return None
             try:
                 return summarizer(list(parts))
-            except (ValueError, FloatingPointError, MemoryError):
+            except (ValueError, FloatingPointError):
                 return None
 
         return pd.Series([one(p) for p in texts], dtype=object)

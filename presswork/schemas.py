@@ -98,6 +98,7 @@ ENRICHED = _struct(
     processed_at=_S,
     predicted_category=_S,
     category=_S,
+    task_errors=_STRINGS,
 )
 
 PAYLOAD = _struct(
@@ -118,7 +119,7 @@ PAYLOAD = _struct(
 # A vector collection: one row per point, keyed by the article.
 COLLECTION = T.StructType(
     [
-        T.StructField("point_id", _L, True),
+        T.StructField("point_id", _S, True),
         T.StructField("vector", T.ArrayType(T.FloatType()), True),
         T.StructField("payload", PAYLOAD, True),
     ]

@@ -15,7 +15,7 @@ RUN_PREFIX = "enriched_articles_"
 
 def save_run(records: DataFrame, folder: str, now: datetime | None = None) -> str:
     """Write one run; null fields are kept and text is not escaped to ASCII."""
-    stamp = (now or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
+    stamp = (now or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S_%f")
     path = f"{folder.rstrip('/')}/{RUN_PREFIX}{stamp}.jsonl"
     records.write.option("ignoreNullFields", "false").json(path)
     return path

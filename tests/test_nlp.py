@@ -195,15 +195,30 @@ def test_summary_keeps_text_order_and_ties(one):
     assert one(summary.summarize, same) == "Alpha beta gamma delta. Alpha beta gamma delta."
 
 
-def test_summary_of_long_texts_agrees_with_dense(monkeypatch):
+def test_summary_does_not_depend_on_blocks(monkeypatch):
     import random
 
     rng = random.Random(3)
     vocabulary = [f"{a}{b}" for a in "bcdfg" for b in ("ame", "ilo", "unt", "ek")]
     parts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(2, 9))) + "." for _ in range(60)]
-    dense = summary._summarizer(2)(parts)
-    monkeypatch.setattr(summary, "DENSE_CELLS", 0)
-    assert summary._summarizer(2)(parts) == dense
+    whole = summary._summarizer(2)(parts)
+    for cells in (1, 7, 500):
+        monkeypatch.setattr(summary, "BLOCK_CELLS", cells)
+        assert summary._summarizer(2)(parts) == whole
+
+
+def test_failing_models_are_counted(spark):
+    def odd(texts):
+        if any(len(t) % 2 for t in texts if t):
+            raise ValueError("odd")
+        return ["FR" for _ in texts]
+
+    rows = [(str(n), "t", "d", "US", None, "x" * n) for n in range(1, 7)]
+    gold = spark.createDataFrame(rows, "article_id string, clean_title string, domain string, source_country string, published_date date, full_text_payload string")
+    docs = enrich.enrich(gold, detector=lambda: odd)
+    errors = {r["article_id"]: r["task_errors"] for r in docs.collect()}
+    assert errors == {str(n): ["language"] if n % 2 else [] for n in range(1, 7)}
+    assert tuple(enrich.enrichment_report(docs).first()) == (6, 3)
 
 
 def test_enrichment_of_edge_rows(spark, small_batches):

@@ -100,10 +100,12 @@ def test_related_batch_with_empty_partitions(points, rows):
     assert [r["article_id"] for r in out] == best(rows, vector, lambda r: "a001" != r[0] < "a010", 3)
 
 
-def test_related_batch_refuses_unbounded_targets(points, monkeypatch):
-    monkeypatch.setattr(search, "MAX_TARGETS", 10)
-    with pytest.raises(ValueError):
-        search.related_batch(points, points, 3)
+def test_related_batch_in_blocks(points, monkeypatch):
+    whole = search.related_batch(points, points, 3)
+    monkeypatch.setattr(search, "TARGETS_PER_BLOCK", 10)
+    blocks = search.related_batch(points, points, 3)
+    key = lambda r: (r["target_id"], r["rank"], r["article_id"])
+    assert sorted(map(key, blocks.collect())) == sorted(map(key, whole.collect()))
 
 
 def test_browse_and_trending(points, rows):
