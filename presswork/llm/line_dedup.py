@@ -32,6 +32,7 @@ NO_ID = -(2**63)
 LINE = "k1 long, k2 long, doc long, content long, pos int, n_lines int"
 DECIDED = "doc long, content long, pos int, n_lines int, state int, k1 long, k2 long, part int, n_docs long, first_doc long, last_doc long, from_pos int"
 DROP, OPEN, SUMMARY = 0, 1, 2
+SALT = 32
 
 
 def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -178,7 +179,9 @@ def dropped_lines(lines: DataFrame, min_docs: int = 10, keep_first: bool = False
         .filter(F.col("total") >= min_docs)
     )
     pending = decided.filter(F.col("state") == OPEN).select("k1", "k2", "doc", "content", "pos", "n_lines")
-    found = pending.join(totals, ["k1", "k2"])
+    # A line that a third of the corpus holds meets its total in several tasks.
+    salted = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    found = pending.withColumn("salt", F.pmod(F.xxhash64("doc", "pos"), F.lit(SALT)).cast("int")).join(salted, ["k1", "k2", "salt"])
     if keep_first:
         found = found.filter((F.col("doc") != F.col("opening_doc")) | (F.col("pos") != F.col("opening_pos")))
     return final.unionByName(found.select("doc", "content", "pos", "n_lines"))
