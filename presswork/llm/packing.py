@@ -88,13 +88,15 @@ class WordEncoder:
             self.known.clear()
         special = [b"<|" in x for x in texts]
         split = [[] if s else x.lower().split() for x, s in zip(texts, special, strict=True)]
-        missing = set()
-        for words in split:
-            missing.update(set(words).difference(self.known))
+        get = self.known.get
+        found = [list(map(get, words)) for words in split]
+        open_ = [k for k, ids in enumerate(found) if None in ids]
+        missing = {w for k in open_ for w, ids in zip(split[k], found[k], strict=True) if ids is None}
         if missing:
             self._learn(list(missing))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
+            for k in open_:
+                found[k] = [get(w) if ids is None else ids for w, ids in zip(split[k], found[k], strict=True)]
+        out = [b"".join(ids) for ids in found]
         for i in np.flatnonzero(special):
             out[i] = self._plain([texts[i].decode()])[0]
         return out
