@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from presswork.llm import (
+    importance,
     language_id,
     licences,
     line_dedup,
@@ -15,6 +16,6 @@ from presswork.llm import (
     sentencepiece_codec,
 )
 
-MODULES = (quality, sentencepiece_codec, line_frequency, mtree, language_id, line_dedup, licences, pii, packing, near_dup)
+MODULES = (quality, sentencepiece_codec, line_frequency, mtree, language_id, line_dedup, licences, pii, packing, near_dup, importance)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
