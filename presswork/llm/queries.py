@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from presswork.llm import (
+    alignment,
     importance,
     language_id,
     licences,
@@ -13,9 +14,10 @@ from presswork.llm import (
     packing,
     pii,
     quality,
+    reputation,
     sentencepiece_codec,
 )
 
-MODULES = (quality, sentencepiece_codec, line_frequency, mtree, language_id, line_dedup, licences, pii, packing, near_dup, importance)
+MODULES = (quality, sentencepiece_codec, line_frequency, mtree, language_id, line_dedup, licences, pii, packing, near_dup, alignment, importance, reputation)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
