@@ -34,6 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.cluster import materialize
 from presswork.llm.common import byte_slices, table
 from presswork.operators.ranking import number_rows
 
@@ -200,7 +201,9 @@ def resample(
     highest scores are drawn.
     """
     gains = bucket_gains(bucket_counts(docs, text, buckets), bucket_counts(target, text, buckets), buckets)
-    scored = weighed(docs, gains, doc_id, text).withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
+    # Ranges are found from a sample, which would work out all weights once more.
+    weights = materialize(weighed(docs, gains, doc_id, text), "weights")
+    scored = weights.withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
     enough = F.col("n_words") >= least_words
     placed = number_rows(scored, (~enough).cast("int"), F.col("score").desc(), F.col("doc_id"), name="place", start=1)
     eligible = placed.agg(F.count_if(enough)).first()[0]
