@@ -41,7 +41,8 @@ from presswork.cluster import materialize
 from presswork.llm.common import byte_slices, expand, table
 
 LANE = 64  # chunks of a lane
-KNOWN_CHUNKS = 600_000  # that a worker remembers; it starts afresh beyond
+KNOWN_CHUNKS = 300_000  # that a worker remembers; beyond, only the more frequent ones stay
+SLICE = 2 << 20  # bytes of text that are aligned together
 LONG_CHUNK = 10_000
 TOGETHER = 2_000  # chunks that are encoded as one text
 LATIN = "ɐ"  # below: letters on which all pattern libraries agree
@@ -125,13 +126,27 @@ class Memory:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteTokens(path_a), PieceTokens(path_b)
-        self.forget()
+        self._start()
 
     def forget(self) -> None:
+        """Keep the more frequent chunks, half as many as the bound at most."""
+        often = np.argsort(-self.seen, kind="stable")[: KNOWN_CHUNKS // 2]
+        kept = np.sort(often[self.seen[often] > 1])
+        chunks = list(self.known)
+        self.known = {chunks[i]: n for n, i in enumerate(kept.tolist())}
+        for side, first in enumerate(self.first):
+            counts = first[kept + 1] - first[kept]
+            self.ids[side] = self.ids[side][expand(first[kept], counts)]
+            self.first[side] = np.append(0, np.cumsum(counts))
+        self.good, self.open, self.empty = self.good[kept], self.open[kept], self.empty[kept]
+        self.seen = np.zeros(len(kept), np.int64)
+
+    def _start(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
         self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]  # of each chunk, and the end
         self.good, self.open, self.empty = (np.zeros(0, bool) for _ in range(3))
+        self.seen = np.zeros(0, np.int64)  # occurrences since the last time something was forgotten
 
     def learn(self, chunks: list[str]) -> None:
         texts = [(" " + c).encode() for c in chunks]
@@ -171,6 +186,7 @@ class Memory:
         owner, number = flat(found) if again else (owner, number)
         bad = np.zeros(len(texts), bool)
         bad[owner[~self.good[number]]] = True
+        self.seen = np.bincount(number, minlength=len(self.known)) + np.pad(self.seen, (0, len(self.known) - len(self.seen)))
         kept = ~bad[owner]
         return owner[kept], number[kept]
 
@@ -217,11 +233,11 @@ def lockstep(end_a: np.ndarray, end_b: np.ndarray, first_a: np.ndarray, first_b:
         both = at_a == at_b
         cut_a[a[both]] = True
         cut_b[b[both]] = True
-        a, b = a + (at_a <= at_b), b + (at_b <= at_a)
+        a, b = a + (at_a <= at_b).astype(a.dtype), b + (at_b <= at_a).astype(b.dtype)
         going = a < stop
         if not going.all():
             a, b, stop = a[going], b[going], stop[going]
-    none = [np.zeros(0, np.int64)]
+    none = [first_a]
     return np.concatenate(links_a or none), np.concatenate(links_b or none), cut_a, cut_b
 
 
@@ -281,7 +297,9 @@ def align_texts(texts: list[str], known: Memory, names: np.ndarray) -> tuple[dic
     place = np.arange(len(owner)) - np.searchsorted(owner, owner)
     lanes = np.flatnonzero(place % LANE == 0)
     stop = np.append(chunk_first[0][lanes[1:]], len(ids[0])) if len(lanes) else lanes
-    link_a, link_b, cut_a, cut_b = lockstep(end_a, end_b, chunk_first[0][lanes], chunk_first[1][lanes], stop)
+    narrow = np.int32 if len(end_a) == 0 or end_a[-1] < 1 << 31 else np.int64
+    pointers = (end_a, end_b, chunk_first[0][lanes], chunk_first[1][lanes], stop)
+    link_a, link_b, cut_a, cut_b = lockstep(*(x.astype(narrow) for x in pointers))
     token_owner = np.repeat(np.arange(n), of_text[0])
     links_of = token_owner[link_a]
     letters, sizes = spelled(ids[0], ids[1], cut_a, cut_b, len(known.a.bytes), names)
@@ -305,7 +323,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", t
         slice_id = TaskContext.get().partitionId() << 32
         known, names = memory(path_a, path_b)
         for batch in batches:
-            for start, stop in byte_slices(batch.column(1)):
+            for start, stop in byte_slices(batch.column(1), SLICE):
                 rows = batch.slice(start, stop - start)
                 counts, owner, pair, groups = align_texts([x or "" for x in rows.column(1).to_pylist()], known, names)
                 found = pa.array(pair).dictionary_encode()

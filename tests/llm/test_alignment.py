@@ -110,9 +110,12 @@ def test_lockstep_of_lanes(sizes, random):
 
 
 def test_memory_starts_afresh(monkeypatch):
-    monkeypatch.setattr(al, "KNOWN_CHUNKS", 5)
-    check(TEXTS)
-    check(["some other words than before", "and more"])
+    monkeypatch.setattr(al, "KNOWN_CHUNKS", 20)
+    for _ in range(3):
+        check(TEXTS)
+        check(["some other words than before", "and more more words than that"])
+    KNOWN.split(["x"])
+    assert len(KNOWN.known) <= 20
 
 
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=50))
