@@ -289,6 +289,9 @@ JSON_FIELDS = (
     "is_breaking_news", "summary_snippet", "full_content", "article_id", "extracted_text", "ingest_timestamp",
 )
 
+FIRST_EVENTS = """SELECT user_id, event_id, epoch_us(ts) AS ts_us FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1"""
+
 ORACLES = {
     "ingest_records": f"""WITH {TRIAGED} SELECT id, title, url, source_country, published_at, word_count,
   is_breaking_news, summary_snippet, md5(stripped) AS content_md5 FROM triaged WHERE word_count >= 30 AND url IS NOT NULL""",
@@ -326,11 +329,12 @@ SELECT id, trim(lower(regexp_replace(title, '<[^>]+>', '', 'g'))) AS clean_title
   {stamp('ts')} AS published_at_ts FROM counted WHERE word_count > 5""",
     "dedup_ttl": ttl("user_id", "INTERVAL 7 DAY"),
     "dedup_ttl_stream": ttl("user_id", "INTERVAL 7 DAY"),
+    "dedup_ttl_late": ttl("user_id", "INTERVAL 7 DAY"),
     "dedup_ttl_crowded": ttl("event_type", "INTERVAL 7 DAY"),
     "dedup_ttl_rows": f"""WITH admitted AS (SELECT event_id FROM ({ttl("user_id", "INTERVAL 7 DAY")}))
 SELECT event_id, user_id, event_type, value, props FROM events WHERE event_id IN (SELECT event_id FROM admitted)""",
-    "dedup_first": """SELECT user_id, event_id, epoch_us(ts) AS ts_us FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
+    "dedup_first": FIRST_EVENTS,
+    "dedup_first_stream": FIRST_EVENTS,
     "dedup_unseen": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "gold_nlp_input": f"""WITH {SILVER} SELECT id AS article_id, clean_title, md5(clean_content) AS content_md5,
   md5(full_text_payload) AS payload_md5, domain, source_country, {stamp('ts')} AS published_at_ts,

@@ -41,7 +41,7 @@ from presswork.sources.jsonl import newest_run, save_run
 from presswork.sources.tables import entry_names, overwrite_table, prepare, read_table, stream_table
 from presswork.sources.topic import from_topic, to_topic
 from presswork.streaming.layers import bronze_to_silver, topic_to_bronze
-from presswork.streaming.ttl import admit_stream, rocksdb_state
+from presswork.streaming.ttl import admit_stream, first_seen_stream, rocksdb_state
 
 SEARCHED_LABEL = "Technology"
 WEEK = 604_800
@@ -289,9 +289,9 @@ def dedup_ttl(spark, sf_dir):
 
 
 def dedup_ttl_crowded(spark, sf_dir):
-    """Few keys with very many rows each, worked off slot by slot."""
+    """Few keys with very many rows each, which fill many ranges."""
     events = table(spark, sf_dir, "events")
-    admitted = dedup.admissions(events, "event_type", "ts", "event_id", WEEK, hot_rows=1)
+    admitted = dedup.admissions(events, "event_type", "ts", "event_id", WEEK)
     return admitted.select(
         "event_type", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us")
     )
@@ -314,6 +314,32 @@ def dedup_ttl_stream(spark, sf_dir):
     return _admitted(read_table(spark, out))
 
 
+def dedup_ttl_late(spark, sf_dir):
+    """Events that come late: half of them only after all others, then the end of the stream.
+
+    A watermark holds from the micro-batch after, so one more row follows the end.
+    """
+    prepare(spark)
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    first, last = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    span = (last - first) // 1_000_000 + 1
+    end = spark.range(1).select(
+        F.lit(-1).cast("long").alias("user_id"),
+        F.timestamp_micros(F.lit(last + 1_000_000 * (2 * span + WEEK))).alias("ts"),
+        F.lit(-1).cast("long").alias("event_id"),
+    )
+    late = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 1
+    source, out, log = (shared_path(spark, name) for name in ("late-events", "admitted", "admitted-checkpoint"))
+    for arriving in (events.filter(~late), events.filter(late).unionByName(end), end):
+        arriving.write.mode("append").parquet(source)
+        stream = stream_table(spark, source, events.schema)
+        with rocksdb_state(spark):
+            admitted = admit_stream(stream, "user_id", "ts", "event_id", WEEK, late_seconds=span, wait=True)
+            sink = admitted.writeStream.format("parquet").option("checkpointLocation", log)
+            sink.trigger(availableNow=True).start(out).awaitTermination()
+    return _admitted(read_table(spark, out)).filter("user_id <> -1")
+
+
 def dedup_ttl_rows(spark, sf_dir):
     """Admitted events with all their columns."""
     events = table(spark, sf_dir, "events")
@@ -326,6 +352,18 @@ def dedup_first(spark, sf_dir):
     return _admitted(dedup.first_seen(events, "user_id", "ts", "event_id"))
 
 
+def dedup_first_stream(spark, sf_dir):
+    """The stored events, which are in time order, as a stream."""
+    prepare(spark)
+    path = f"{sf_dir}/events.parquet"
+    out = shared_path(spark, "first")
+    stream = stream_table(spark, path, read_table(spark, path).schema).select("user_id", "ts", "event_id")
+    sink = first_seen_stream(stream, "user_id", "ts", 520 * WEEK).writeStream.format("parquet")
+    sink = sink.option("checkpointLocation", shared_path(spark, "first-checkpoint"))
+    sink.trigger(availableNow=True).start(out).awaitTermination()
+    return _admitted(read_table(spark, out))
+
+
 def dedup_unseen(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return dedup.unseen(docs, table(spark, sf_dir, "labels"), "doc_id")
@@ -748,7 +786,7 @@ QUERIES = {
         ingest_records, ingest_rejects, ingest_events, ingest_invalid, feed_items, html_main_text, page_domains,
         topic_records, topic_to_bronze_stream, topic_to_bronze_batch,
         silver_articles, silver_stream, silver_doc_variant,
-        dedup_ttl, dedup_ttl_rows, dedup_ttl_crowded, dedup_ttl_stream, dedup_first, dedup_unseen,
+        dedup_ttl, dedup_ttl_rows, dedup_ttl_crowded, dedup_ttl_stream, dedup_ttl_late, dedup_first, dedup_first_stream, dedup_unseen,
         gold_nlp_input, gold_search_features, gold_daily_publisher_metrics,
         gold_tables_written, quality_report, country_summary,
         nlp_clean, nlp_language, nlp_translation_route, nlp_entities, nlp_locations,

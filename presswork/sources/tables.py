@@ -111,17 +111,16 @@ def append_stream(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     every: str | None = None,
-    files_per_partition: int = 4,
 ):
     """Start an append sink. Without ``every`` it stops when the input is read.
 
-    A partitioned sink gathers the rows of a partition in at most
-    ``files_per_partition`` tasks: few files per micro-batch, and a partition with
-    a large part of the rows still has several writers.
+    The rows of each micro-batch are rebalanced on the partition columns, as in
+    ``overwrite_table``: small partitions share a writer, and a large one gets as
+    many as its bytes ask for (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
+    The sink's own log makes a repeated micro-batch add nothing.
     """
     if partition_by:
-        share = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        df = df.repartition(*partition_by, share)
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")

@@ -1,11 +1,11 @@
-"""Expiring de-duplication of a stream, one small state per key."""
+"""Expiring de-duplication of a stream, in event time, with a bounded state per key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StructField, StructType
@@ -15,6 +15,9 @@ from presswork.operators.dedup import MICROS, TTL_SECONDS
 
 STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+MILLI = 1000
+#: Watermarks start in 1970 and would drop older rows: they run this much ahead.
+AHEAD = 150 * 366 * 86_400 * MICROS
 
 
 @contextmanager
@@ -31,36 +34,127 @@ def rocksdb_state(spark: SparkSession):
             spark.conf.set(STORE_CONF, before)
 
 
+def _ahead(micros: Column) -> Column:
+    """Time for the watermark, within what frames in tasks can hold."""
+    first, last = (F.lit(year).cast("timestamp") for year in ("1970-01-02", "2250-01-01"))
+    return F.greatest(first, F.least(last, F.timestamp_micros(micros + AHEAD)))
+
+
+def _thinned(run, ready_at: int, ttl: int):
+    """Rows of a sorted run that may still be admitted, if none may before ``ready_at``.
+
+    The next admission is the run's first row from then on, or one before it that is yet
+    to come; none other follows it earlier than an expiry after ``ready_at``.
+    """
+    import numpy as np
+
+    times = run["t"].to_numpy()
+    first, after = np.searchsorted(times, [ready_at, ready_at + ttl])
+    return run.iloc[np.r_[first : min(first + 1, after), after : len(times)]]
+
+
+def _admitted(run, ready_at: int | None, ttl: int):
+    """Admitted rows of a sorted run."""
+    import numpy as np
+
+    times = run["t"].to_numpy()
+    at, rows = 0 if ready_at is None else np.searchsorted(times, ready_at), []
+    while at < len(times):
+        rows.append(at)
+        at = np.searchsorted(times, times[at] + ttl)
+    return run.iloc[rows]
+
+
 class SeenSet(StatefulProcessor):
-    """Admits a key when it is new or its last admission has expired."""
+    """Admits a key when it is new or its last admission has expired.
 
-    def __init__(self, ttl: int, keep_ms: int | None = None):
-        self.ttl, self.keep_ms = ttl, keep_ms
+    Rows come in frames; each is sorted and thinned before the next is looked at, so what is
+    held of a crowded key is only what may be admitted. A timer forgets the key once the
+    watermark has passed its expiry: whatever comes later is admitted anyway.
+    """
+
+    def __init__(self, ttl: int, fields: StructType, wait: bool):
+        self.ttl, self.fields, self.wait = ttl, fields, wait
 
     def init(self, handle) -> None:
-        schema = StructType([StructField("t", LongType(), True)])
-        self.last = handle.getValueState("last", schema, self.keep_ms)
+        self.handle = handle
+        self.last = handle.getValueState("last", StructType([StructField("t", LongType(), True)]))
+        self.waiting = handle.getListState("waiting", self.fields) if self.wait else None
+
+    def _ready_at(self) -> int | None:
+        return self.last.get()[0] + self.ttl if self.last.exists() else None
+
+    def _merged(self, frames, ready_at: int | None):
+        """All frames as one sorted run of rows that may be admitted; nothing if there are none."""
+        import pandas as pd
 
-    def handleInputRows(self, key, rows, timer_values):
-        import numpy as np
+        run = None
+        for frame in frames:
+            run = frame if run is None else pd.concat([run, frame])
+            run = run.sort_values(["t", "i"], kind="stable", ignore_index=True)
+            if ready_at is not None:
+                run = _thinned(run, ready_at, self.ttl)
+        return run if run is not None and len(run) else None
+
+    def _wake(self, micros: int) -> None:
+        """Come back once the watermark has passed a time."""
+        self.handle.registerTimer((micros + AHEAD) // MILLI + 1)
+
+    def _passed(self, timers) -> int | None:
+        """Time before which no row comes any more, once there is a watermark."""
+        return timers.getCurrentWatermarkInMs() * MILLI - AHEAD if timers.getCurrentWatermarkInMs() > 0 else None
+
+    def _note(self, admitted) -> None:
+        if len(admitted):
+            latest = int(admitted["t"].iloc[-1])
+            self.last.update((latest,))
+            self._wake(latest + self.ttl)
+
+    def _store(self, run) -> None:
+        names = [f.name for f in self.fields]
+        self.waiting.put([tuple(x.item() if hasattr(x, "item") else x for x in row) for row in run[names].itertuples(index=False)])
+        self._wake(int(run["t"].iloc[0]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        ready_at = self._ready_at()
+        if not self.wait:
+            run = self._merged(rows, ready_at)
+            if run is not None:
+                admitted = _admitted(run, ready_at, self.ttl)
+                self._note(admitted)
+                yield plain_text(admitted)
+            return
+        floor = max((x for x in (ready_at, self._passed(timerValues)) if x is not None), default=None)
+        run = self._merged((f for part in (self._held(key), rows) for f in part), floor)
+        if run is not None:
+            self._store(run)
+
+    def _held(self, key):
+        """Waiting rows as a frame with the key, if there are any."""
         import pandas as pd
 
-        ready_at = self.last.get()[0] + self.ttl if self.last.exists() else None
-        # What a stored admission still covers is dropped as it arrives.
-        frames = [f if ready_at is None else f[f["t"] >= ready_at] for f in rows]
-        frame = pd.concat(frames).sort_values(["t", "i"], kind="stable")
-        times = frame["t"].to_numpy()
-        if ready_at is None:
-            ready_at = times[0]
-        admitted = []
-        at = np.searchsorted(times, ready_at)
-        while at < len(times):
-            admitted.append(at)
-            ready_at = times[at] + self.ttl
-            at = np.searchsorted(times, ready_at)
-        if admitted:
-            self.last.update((int(times[admitted[-1]]),))
-        yield plain_text(frame.iloc[admitted])
+        held = list(self.waiting.get()) if self.waiting.exists() else []
+        if held:
+            yield pd.DataFrame(held, columns=[f.name for f in self.fields]).assign(k=key[0])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed, ready_at = self._passed(timerValues), self._ready_at()
+        run = next(iter(self._held(key)), None) if self.wait else None
+        if run is not None:
+            due = run["t"].to_numpy() < passed
+            admitted = _admitted(run[due], ready_at, self.ttl)
+            self._note(admitted)
+            ready_at = self._ready_at()
+            left = run[~due] if ready_at is None else _thinned(run[~due], max(ready_at, passed), self.ttl)
+            self.waiting.clear()
+            if len(left):
+                self._store(left)
+            if len(admitted):
+                yield plain_text(admitted[["k", *[f.name for f in self.fields]]])
+                return
+            run = left if len(left) else None
+        if run is None and ready_at is not None and ready_at <= passed:
+            self.last.clear()
 
     def close(self) -> None:
         pass
@@ -73,30 +167,32 @@ def admit_stream(
     row_id: str,
     ttl_seconds: int = TTL_SECONDS,
     columns: Sequence[str] = (),
-    keep_seconds: int | None = None,
+    late_seconds: int | None = None,
+    wait: bool = False,
 ) -> DataFrame:
     """``key, time, row_id`` and ``columns`` of admitted rows.
 
-    Rows of a micro-batch are taken in time order. Limit a trigger with
-    ``maxFilesPerTrigger`` to bound a key's share of it.
+    Rows may come ``late_seconds`` (by default one expiry) after newer ones; what is older
+    than that is dropped. Without ``wait`` rows are admitted as they come, those of a
+    micro-batch in time order. With it they wait until no older one can come, so that rows
+    in any order pass as the batch job lets them; rows at the very end of the
+    stream stay until the watermark has passed them.
 
-    ``keep_seconds`` forgets keys after that much clock time, which bounds the
-    state of a stream that runs for ever; choose it well above the expiry, and
-    use a polling trigger (one that stops when its input is read does not end).
+    The state is one time per key (and the rows that wait) and goes once the watermark
+    has passed the key's expiry.
     """
+    late = ttl_seconds if late_seconds is None else late_seconds
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
     slim = stream.select(
-        F.col(key).alias("k"),
-        F.unix_micros(F.col(time).cast("timestamp")).alias("t"),
-        F.col(row_id).alias("i"),
-        *columns,
-    ).filter("k IS NOT NULL AND t IS NOT NULL")
+        F.col(key).alias("k"), micros.alias("t"), F.col(row_id).alias("i"), *columns, _ahead(micros).alias("at")
+    ).withWatermark("at", f"{late} seconds").filter("k IS NOT NULL AND t IS NOT NULL")
+    fields = StructType([f for f in slim.schema if f.name not in ("k", "at")])
+    seen = SeenSet(ttl_seconds * MICROS, fields, wait)
     admitted = slim.groupBy("k").transformWithStateInPandas(
-        statefulProcessor=SeenSet(
-            ttl_seconds * MICROS, None if keep_seconds is None else 1000 * keep_seconds
-        ),
-        outputStructType=slim.schema,
+        statefulProcessor=seen,
+        outputStructType=StructType([slim.schema["k"], *fields]),
         outputMode="Append",
-        timeMode="None" if keep_seconds is None else "ProcessingTime",
+        timeMode="EventTime",
     )
     return admitted.select(
         F.col("k").alias(key),
@@ -104,3 +200,14 @@ def admit_stream(
         F.col("i").alias(row_id),
         *columns,
     )
+
+
+def first_seen_stream(stream: DataFrame, key: str, time: str, late_seconds: int) -> DataFrame:
+    """The first row of every key to come; further ones for at least ``late_seconds`` are dropped.
+
+    So are rows older than the watermark. A key is forgotten once the watermark is that
+    much beyond it. Where rows come in time order, the first ones are those by time.
+    """
+    ahead = _ahead(F.unix_micros(F.col(time).cast("timestamp")))
+    timed = stream.withColumn("_at", ahead).withWatermark("_at", f"{late_seconds} seconds")
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_at")

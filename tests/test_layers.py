@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from presswork.operators import gold, records, silver
 from presswork.schemas import ARTICLE_EVENT, BRONZE
 from presswork.sources import feeds, jsonl, tables
+from presswork.sources.tables import append_stream
 from presswork.sources.topic import from_topic, to_topic
 from presswork.streaming.layers import bronze_stream, bronze_to_silver, topic_to_bronze
 
@@ -224,3 +225,22 @@ def test_topic_stream(spark, tmp_path):
     out = tables.read_table(spark, f"{tmp_path}/bronze")
     assert out.columns == [f.name for f in BRONZE.fields]
     assert [r["id"] for r in out.filter("id IS NOT NULL").collect()] == ["1"]
+
+
+def test_crowded_partition_has_writers_for_its_bytes_and_batches_repeat(spark, tmp_path):
+    conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    crowded = F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(99)).alias("p")
+    spark.range(200_000).select(crowded, F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(6).write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    spark.conf.set(conf, "1m")
+    try:
+        for _ in range(2):
+            append_stream(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/check", ["p"]).awaitTermination()
+            files = {p.name: len(list(p.glob("*.parquet"))) for p in tmp_path.glob("out/p=*")}
+            # The micro-batch is lost from the log of the stream, not from that of the sink.
+            for commit in tmp_path.glob("check/commits/*"):
+                commit.unlink()
+    finally:
+        spark.conf.unset(conf)
+    assert files["p=99"] > 4 and min(files.values()) == 1
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 200_000
