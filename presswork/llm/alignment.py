@@ -38,24 +38,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.cluster import materialize
-from presswork.llm.common import byte_slices, expand, table
+from presswork.llm.common import LATIN, byte_of_letter, byte_slices, expand, table
 
 LANE = 64  # chunks of a lane
 KNOWN_CHUNKS = 300_000  # that a worker remembers; beyond, only the more frequent ones stay
 SLICE = 2 << 20  # bytes of text that are aligned together
 LONG_CHUNK = 10_000
 TOGETHER = 2_000  # chunks that are encoded as one text
-LATIN = "ɐ"  # below: letters on which all pattern libraries agree
 RESULT = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def byte_of_letter() -> dict[str, int]:
-    """The letter by which a byte-level vocabulary spells each byte."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class ByteTokens:
     """Byte-level tokenizer of a ``tokenizers`` file.
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = os.path.dirname(public_tokenizers.path(""))
 SLICE_BYTES = 4 << 20
+LATIN = "ɐ"  # below: letters on which all pattern libraries agree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,3 +78,10 @@ def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     before = np.cumsum(counts) - counts
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, counts)
+
+
+def byte_of_letter() -> dict[str, int]:
+    """The letter by which a byte-level vocabulary spells each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}

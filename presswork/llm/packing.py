@@ -15,6 +15,7 @@ packed one by one; an empty table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from array import array
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presswork.cluster import materialize
-from presswork.llm.common import TOKENIZERS, table
+from presswork.llm.common import LATIN, TOKENIZERS, byte_of_letter, table
 
 MAX_LENGTH = 2048
 END_ID = 1
@@ -35,6 +36,41 @@ TOGETHER = 200  # new words that are encoded as one text
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 
 
+class WordMerges:
+    """Ids of lower-cased words of Latin letters, by the merges of the tokenizer's file.
+
+    Such a word is one word to the tokenizer as well. A zero byte stands for its end, which
+    merges with the last letter before anything else does, as ids come in merge order.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path) as file:
+            model = json.load(file)["model"]
+        letters, end = byte_of_letter(), model["end_of_word_suffix"]
+        ranks = {}
+        for piece, i in model["vocab"].items():
+            stem = piece.removesuffix(end)
+            if all(c in letters for c in stem):
+                ranks[bytes(letters[c] for c in stem) + b"\0" * (stem != piece)] = i
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(merged) or any(ranks[bytes([b, 0])] > merged[0] for b in range(1, 256)):
+            raise ValueError(f"{path}: ids are not in the order of merges")
+        self.fast = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+        self.ends = np.zeros(max(ranks.values()) + 1, bool)
+        self.ends[[i for b, i in ranks.items() if b[-1:] == b"\0"]] = True
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each word."""
+        if not words:
+            return []
+        ids = self.fast.encode_to_numpy("\0".join(words) + "\0").astype("<u4")
+        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+
 class WordEncoder:
     """Ids of whole texts, with the ids of each word remembered.
 
@@ -49,6 +85,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.merges = WordMerges(path)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -74,6 +111,8 @@ class WordEncoder:
             if stem not in known:
                 fresh[stem] = stem.decode()
         fresh.update({mark: mark.decode() for mark in (b".", b",") if mark not in known})
+        latin = [k for k, w in fresh.items() if w.isalpha() and max(w) < LATIN and "İ" not in w]
+        known.update(zip(latin, self.merges.encode([fresh.pop(k).lower() for k in latin]), strict=True))
         letters = [(k, w) for k, w in fresh.items() if w.isalpha()]
         for a in range(0, len(letters), TOGETHER):
             names, group = zip(*letters[a : a + TOGETHER], strict=True)

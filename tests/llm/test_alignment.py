@@ -11,13 +11,14 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from presswork.llm import alignment as al
+from presswork.llm.common import byte_of_letter
 
 A, B = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 KNOWN, NAMES = al.memory(A, B)
 TOKENIZER = Tokenizer.from_file(A)
 TOKENIZER.encode_special_tokens = True
 PIECES = sentencepiece.SentencePieceProcessor(model_file=B)
-LETTERS = al.byte_of_letter()
+LETTERS = byte_of_letter()
 
 
 def tokens(text):

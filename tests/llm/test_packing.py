@@ -43,6 +43,18 @@ def test_ids_are_the_tokenizers_own():
         assert list(np.frombuffer(ids, "<u4")) == plain.encode(text or "", add_special_tokens=False).ids
 
 
+def test_merges_are_the_tokenizers_own():
+    """Every word of the vocabulary, and made ones of many merges."""
+    plain = pk.encoder(PATH).tokenizer
+    stems = [p.removesuffix("</w>") for p in plain.get_vocab()]
+    words = [w for w in stems if w.isalpha() and w.isascii()]
+    words += [a + b for a, b in zip(words, words[::-1], strict=True)] + ["über" + w + "ñé" for w in words[:3000]] + ["a" * n for n in range(1, 40)]
+    words = [w.lower() for w in words]
+    got = pk.WordMerges(PATH).encode(words)
+    for word, ids, want in zip(words, got, plain.encode_batch(words, add_special_tokens=False), strict=True):
+        assert list(np.frombuffer(ids, "<u4")) == want.ids, word
+
+
 def test_pieces_cover_all_ids_once(documents, stored, spark, small_batches):
     texts = TEXTS + [f"text {i} " * (i % 40) for i in range(300)]
     rows = pk.op9_packing(spark, stored(documents=documents(texts).repartition(4))).collect()
