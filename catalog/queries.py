@@ -118,9 +118,24 @@ def collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return library(spark, sf_dir).drop("text", "doc_id")
 
 
+#: Portal tables that this application has built, by the folder of their tables.
+PORTALS: dict[tuple[str, str], str] = {}
+
+
 def portal_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Portal rows of all enriched documents."""
-    return enrich.portal_rows(enriched(spark, sf_dir))
+    """Portal rows of all documents, enriched and stored when first asked for.
+
+    As a portal does, the queries share one stored run; the first one builds it.
+    """
+    built = (spark.sparkContext.applicationId, sf_dir)
+    if built in PORTALS:
+        try:
+            return read_table(spark, PORTALS[built])
+        except FileNotFoundError:
+            pass  # cleared away meanwhile
+    PORTALS[built] = shared_path(spark, "portal")
+    lake.build_portal(enriched(spark, sf_dir), PORTALS[built])
+    return read_table(spark, PORTALS[built])
 
 
 def article_vector(spark: SparkSession, sf_dir: str, vec_id: int) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,59 +31,86 @@ def sentiment_label(compound: Column) -> Column:
     )
 
 
-def _words(text: Column, valences: dict[str, float]) -> Column:
-    """Words of a text: spelling, valence, step as a degree word, negation, capitals."""
-    degrees = {w: STEP for w in d.STRENGTHENERS} | {w: -STEP for w in d.WEAKENERS}
-
-    def known(table: dict[str, float], word: Column) -> Column:
-        pairs = F.create_map(*[F.lit(x) for item in table.items() for x in item])
-        return F.when(word.isin(*table), F.try_element_at(pairs, word))
-
-    def word(token: Column) -> Column:
-        shouted = (F.length(token) > 1) & (token == F.upper(token)) & (token != F.lower(token))
-        return let(
-            F.translate(F.lower(token), "'’", ""),
-            lambda w: F.struct(
-                w.alias("word"),
-                known(valences, w).alias("valence"),
-                known(degrees, w).alias("step"),
-                w.isin(*d.NEGATIONS).alias("negation"),
-                shouted.alias("shouted"),
-            ),
-        )
-
-    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), word)
-
+SUMS = "struct<words:int,hits:int,total:double,up:double,down:double,flat:int>"
 
-def _values(words: Column) -> Column:
-    """Weighted valences of the words in the lexicon."""
-    shouted = F.size(F.filter(words, lambda w: w["shouted"]))
-    emphatic = (shouted > 0) & (shouted < F.size(words))
-    turn = F.array_position(F.transform(words, lambda w: w["word"]), "but")
 
-    def value(hit: Column) -> Column:
-        own, i = hit["own"], hit["i"]
-        sign = F.when(own["valence"] > 0, 1.0).otherwise(-1.0)
-        out = own["valence"] + F.when(emphatic & own["shouted"], sign * CAPITALS).otherwise(0.0)
-        before = [F.get(words, i - n) for n in range(1, len(DAMPING) + 1)]
-        for w, damping in zip(before, DAMPING, strict=True):
-            out += F.coalesce(F.when(w["valence"].isNull(), sign * w["step"] * damping), F.lit(0.0))
-        for w in before:
-            out *= F.when(w["negation"], NEGATION).otherwise(1.0)
-        # Positions count from 1; 0 means that there is no such word.
-        return out * F.when(turn == 0, 1.0).when(i + 1 < turn, BEFORE_BUT).otherwise(AFTER_BUT)
+def _sums(text: Column, valences: dict[str, float]) -> Column:
+    """Weighted valences of a text's words: counts, total, and sums by sign.
 
-    placed = F.transform(words, lambda w, i: F.struct(w.alias("own"), i.alias("i")))
-    hits = F.filter(placed, lambda x: x["own"]["valence"].isNotNull() & x["own"]["step"].isNull())
-    return F.transform(hits, value)
+    The words of a batch of texts are numbered, and only distinct ones are looked up, so the
+    cost does not depend on the size of the lexicon. What follows are array operations over
+    all lexicon words of the batch and the words before them.
+    """
+    degrees = {w: STEP for w in d.STRENGTHENERS} | {w: -STEP for w in d.WEAKENERS}
+    negations, pattern = frozenset(d.NEGATIONS), TOKEN
+    dropped = str.maketrans("", "", "'’")
+
+    @F.arrow_udf(SUMS)
+    def of(texts: pa.Array) -> pa.Array:
+        import numpy as np
+        import regex
+
+        find = regex.compile(pattern).findall
+        listed = [find(t) for t in texts.to_pylist()]
+        sizes = np.array([len(x) for x in listed], np.int64)
+        found = pa.array([t for tokens in listed for t in tokens], pa.string()).dictionary_encode()
+        distinct = found.dictionary.to_pylist()
+        words = [t.lower().translate(dropped) for t in distinct]
+
+        def each(values, kind=float):
+            return np.array(values, kind)[number] if len(number) else np.zeros(0, kind)
+
+        number = found.indices.to_numpy()
+        valence = each([valences.get(w, np.nan) for w in words])
+        step = each([degrees.get(w, np.nan) for w in words])
+        negation = each([w in negations for w in words], bool)
+        shouted = each([len(t) > 1 and t == t.upper() != t.lower() for t in distinct], bool)
+        is_but = each([w == "but" for w in words], bool)
+
+        n = len(sizes)
+        owner, first = np.repeat(np.arange(n), sizes), np.cumsum(sizes) - sizes
+        loud = np.bincount(owner[shouted], minlength=n)
+        emphatic = (loud > 0) & (loud < sizes)
+        turn = np.full(n, len(number))
+        turns = np.flatnonzero(is_but)[::-1]
+        turn[owner[turns]] = turns  # the first of a text is written last
+
+        hit = np.flatnonzero(~np.isnan(valence) & np.isnan(step))
+        of_text, own = owner[hit], valence[hit]
+        sign = np.where(own > 0, 1.0, -1.0)
+        out = own + np.where(emphatic[of_text] & shouted[hit], sign * CAPITALS, 0.0)
+        for distance, damping in enumerate(DAMPING, 1):
+            inside = hit - distance >= first[of_text]
+            before = np.where(inside, hit - distance, 0)
+            degree = inside & np.isnan(valence[before]) & ~np.isnan(step[before])
+            out = out + np.where(degree, sign * np.nan_to_num(step[before]) * damping, 0.0)
+        # One factor after another, as the method multiplies.
+        for distance in range(1, len(DAMPING) + 1):
+            inside = hit - distance >= first[of_text]
+            before = np.where(inside, hit - distance, 0)
+            out = np.where(inside & negation[before], out * NEGATION, out)
+        turned = turn[of_text] < len(number)
+        out = out * np.where(~turned, 1.0, np.where(hit < turn[of_text], BEFORE_BUT, AFTER_BUT))
+
+        def add(rows, values):
+            return np.bincount(of_text[rows], values[rows], minlength=n)
+
+        columns = {
+            "words": sizes.astype(np.int32),
+            "hits": np.bincount(of_text, minlength=n).astype(np.int32),
+            "total": np.bincount(of_text, out, minlength=n),
+            "up": add(out > 0, out + 1),
+            "down": add(out < 0, out - 1),
+            "flat": (sizes - np.bincount(of_text[out != 0], minlength=n)).astype(np.int32),
+        }
+        return pa.StructArray.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
+
+    return of(text)
 
 
 def sentiment_scores(text: Column, valences: dict[str, float] = d.VALENCES) -> Column:
     """Struct of compound score in [-1, 1] and the three shares."""
 
-    def add(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-
     def count(mark: str) -> Column:
         return F.length(whole) - F.length(F.replace(whole, F.lit(mark), F.lit("")))
 
@@ -92,24 +120,11 @@ def sentiment_scores(text: Column, valences: dict[str, float] = d.VALENCES) -> C
         asked > 3, QUESTIONS
     ).when(asked > 1, asked * QUESTION).otherwise(0.0)
 
-    def sums(words: Column) -> Column:
-        return let(
-            _values(words),
-            lambda v: F.struct(
-                F.size(words).alias("words"),
-                F.size(v).alias("hits"),
-                add(v).alias("total"),
-                add(F.transform(F.filter(v, lambda x: x > 0), lambda x: x + 1)).alias("up"),
-                add(F.transform(F.filter(v, lambda x: x < 0), lambda x: x - 1)).alias("down"),
-                (F.size(words) - F.size(F.filter(v, lambda x: x != 0))).alias("flat"),
-                marks.alias("marks"),
-            ),
-        )
-
-    def scores(s: Column) -> Column:
-        total = s["total"] + F.signum(s["total"]) * s["marks"]
-        up = s["up"] + F.when(s["up"] > -s["down"], s["marks"]).otherwise(0.0)
-        down = s["down"] - F.when(s["up"] < -s["down"], s["marks"]).otherwise(0.0)
+    def scores(bound: Column) -> Column:
+        s, marks = bound["sums"], bound["marks"]
+        total = s["total"] + F.signum(s["total"]) * marks
+        up = s["up"] + F.when(s["up"] > -s["down"], marks).otherwise(0.0)
+        down = s["down"] - F.when(s["up"] < -s["down"], marks).otherwise(0.0)
         parts = up - down + s["flat"]
         found = F.struct(
             F.round(total / F.sqrt(total * total + ALPHA), 4).alias("compound"),
@@ -125,7 +140,7 @@ def sentiment_scores(text: Column, valences: dict[str, float] = d.VALENCES) -> C
         )
         return F.when(s["hits"] > 0, found).otherwise(none)
 
-    return let(let(_words(whole, valences), sums), scores)
+    return let(F.struct(_sums(whole, valences).alias("sums"), marks.alias("marks")), scores)
 
 
 def get_sentiment(text: Column, valences: dict[str, float] = d.VALENCES) -> Column:

@@ -46,6 +46,14 @@ def build_enriched(
     return overwrite_table(flat, f"{gold_root}/{ENRICHED_TABLE}", partition_by)
 
 
+def build_portal(documents: DataFrame, path: str) -> int:
+    """Portal rows of enriched documents as a table of their own, kept by country.
+
+    The portal's queries read its columns; nothing is enriched when they run.
+    """
+    return overwrite_table(enrich.portal_rows(documents), path, ["source_country"])
+
+
 def read_collection(spark: SparkSession, folder: str) -> DataFrame:
     """The newest state of a collection; empty before the first index run."""
     newest = newest_path(spark, folder, POINTS_PREFIX)
