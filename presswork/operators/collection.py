@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -70,9 +72,9 @@ def embed_with(
     return df.withColumn(output, apply_model(whole, embedder, T.ArrayType(T.FloatType()), batch))
 
 
-def payloads(documents: DataFrame, max_chars: int | None = None) -> DataFrame:
+def payloads(documents: DataFrame, max_chars: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Payload columns of enriched documents, lists cut to what search shows, and
-    the text to embed."""
+    the text to embed; columns to ``carry`` along stay as they are."""
     full = with_optional_fields(documents)
     anonymous = F.concat(F.lit("art_"), F.hex(F.xxhash64("title", "full_text_payload")))
 
@@ -104,6 +106,7 @@ def payloads(documents: DataFrame, max_chars: int | None = None) -> DataFrame:
             F.array().cast("array<string>"),
         ).alias("keywords"),
         embedding_input(F.col("title"), F.col("full_text_payload"), max_chars).alias("embedding_input"),
+        *carry,
     )
 
 
@@ -112,12 +115,14 @@ def points(
     embedder: Loader | None = None,
     size: int = VECTOR_SIZE,
     max_chars: int | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Enriched documents -> rows of a collection, keyed by article.
 
-    Articles whose embedding fails or has another size are left out.
+    Articles whose embedding fails or has another size are left out. Columns to ``carry``
+    along follow.
     """
-    prepared = payloads(documents, max_chars)
+    prepared = payloads(documents, max_chars, carry)
     embedded = (
         embed_hashed(prepared, "embedding_input", size)
         if embedder is None
@@ -125,7 +130,7 @@ def points(
     )
     fields = [F.col(f.name) for f in COLLECTION["payload"].dataType.fields]
     rows = embedded.select(
-        F.col("article_id").alias("point_id"), "vector", F.struct(*fields).alias("payload")
+        F.col("article_id").alias("point_id"), "vector", F.struct(*fields).alias("payload"), *carry
     )
     return rows if embedder is None else keep_where(rows, F.size("vector") == size)
 

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.cluster import shared_path
+from presswork.cluster import materialize
 from presswork.operators import collection, enrich, gold
 from presswork.schemas import COLLECTION
-from presswork.sources.jsonl import newest_path, newest_run, save_run
+from presswork.sources.buckets import clear_buckets, read_buckets, upsert_buckets
+from presswork.sources.jsonl import newest_run, save_run
 from presswork.sources.tables import overwrite_table, read_table
 
 NLP_INPUT = "nlp_input_articles"
 SEARCH_FEATURES = "search_recommender_features"
 PUBLISHER_METRICS = "daily_publisher_metrics"
 ENRICHED_TABLE = "nlp_enriched_articles"
-POINTS_PREFIX = "points_"
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, int]:
@@ -56,33 +54,23 @@ def build_portal(documents: DataFrame, path: str) -> int:
 
 def read_collection(spark: SparkSession, folder: str) -> DataFrame:
     """The newest state of a collection; empty before the first index run."""
-    newest = newest_path(spark, folder, POINTS_PREFIX)
-    return collection.empty_collection(spark) if newest is None else read_table(spark, newest, schema=COLLECTION)
-
-
-def _write_collection(points: DataFrame, folder: str) -> None:
-    # A state never overwrites the one it was made from.
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
-    overwrite_table(points, f"{folder}/{POINTS_PREFIX}{stamp}")
+    return read_buckets(spark, folder, COLLECTION)
 
 
 def index_newest_run(spark: SparkSession, runs: str, folder: str, embedder=None) -> int:
     """Upsert the newest run into the collection; number of articles indexed.
 
-    The points are embedded once, into a table of their own.
+    The points are embedded once, into a table of their own. Of repeated articles the
+    last in the run counts, and only the buckets that get any are written anew.
     """
-    documents = newest_run(spark, runs, missing_ok=True)
-    staged = shared_path(spark, "points")
-    indexed = overwrite_table(
-        collection.points(documents, embedder).dropDuplicates(["point_id"]), staged
-    )
-    batch = read_table(spark, staged, schema=COLLECTION)
-    _write_collection(collection.upsert(read_collection(spark, folder), batch, "point_id"), folder)
-    return indexed
+    documents = newest_run(spark, runs, missing_ok=True, place="_place")
+    points = materialize(collection.points(documents, embedder, carry=["_place"]), "points")
+    upsert_buckets(points, folder, "point_id", "_place")
+    return points.select("point_id").distinct().count()
 
 
 def clear_collection(spark: SparkSession, folder: str) -> None:
-    _write_collection(collection.empty_collection(spark), folder)
+    clear_buckets(spark, folder)
 
 
 def searchable(points: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from presswork.schemas import ENRICHED
@@ -37,11 +38,18 @@ def newest_run(
     folder: str,
     schema: StructType = ENRICHED,
     missing_ok: bool = False,
+    place: str | None = None,
 ) -> DataFrame:
-    """Documents of the newest run; blank lines are skipped."""
+    """Documents of the newest run; blank lines are skipped.
+
+    ``place`` names a column for the position of a line in the run: file, block, line.
+    """
     newest = newest_path(spark, folder, RUN_PREFIX)
     if newest is not None:
-        return spark.read.schema(schema).json(newest)
+        run = spark.read.schema(schema).json(newest)
+        line = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+        return run if place is None else run.select("*", line.alias(place))
     if missing_ok:
-        return spark.createDataFrame([], schema)
+        none = spark.createDataFrame([], schema)
+        return none if place is None else none.withColumn(place, F.lit(0))
     raise FileNotFoundError(f"no runs in {folder}")

@@ -51,6 +51,12 @@ def entry_names(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(location)]
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder with all that is in it."""
+    fs, location = _file_system(spark, path)
+    fs.delete(location, True)
+
+
 def _is_file(spark: SparkSession, path: str) -> bool:
     fs, location = _file_system(spark, path)
     return fs.getFileStatus(location).isFile()

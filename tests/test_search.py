@@ -3,9 +3,11 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from presswork.operators import collection, enrich, portal, ranking, search
 from presswork.plans import lake
+from presswork.sources import buckets
 from presswork.sources.jsonl import newest_run
 
 CATEGORIES = ["Technology", "Sports", "Business"]
@@ -225,3 +227,43 @@ def test_lake_jobs(spark, tmp_path):
 
 def test_nothing_to_index(spark, tmp_path):
     assert lake.index_newest_run(spark, f"{tmp_path}/runs", f"{tmp_path}/points") == 0
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    folder, schema = f"{tmp_path}/table", StructType.fromDDL("k string, v int")
+    rows = spark.createDataFrame([(f"k{i}", i, 0) for i in range(300)], "k string, v int, n int")
+    assert buckets.read_buckets(spark, folder, schema).count() == 0
+    assert len(buckets.upsert_buckets(rows, folder, "k", "n", buckets=16)) == 16
+    batch = spark.createDataFrame([("k7", 70, 1), ("k7", 71, 2), ("new", 5, 1)], rows.schema)
+    touched = buckets.upsert_buckets(batch, folder, "k", "n")
+    assert len(touched) <= 2
+    first, second = sorted(p.name for p in tmp_path.glob("table/data/*"))
+    got = {r["k"]: r["v"] for r in buckets.read_buckets(spark, folder, schema).collect()}
+    assert got == {f"k{i}": i for i in range(300)} | {"k7": 71, "new": 5}
+    # The merge reads the touched buckets, and the new state keeps the files of the others.
+    assert {p.name for p in tmp_path.glob(f"table/data/{second}/bucket=*")} == {f"bucket={b}" for b in touched}
+    read = buckets.read_buckets(spark, folder, schema, touched).inputFiles()
+    assert read and all(second in f for f in read)
+    assert any(first in f for f in buckets.read_buckets(spark, folder, schema).inputFiles())
+
+
+def test_old_states_expire(spark, tmp_path):
+    folder, schema = f"{tmp_path}/table", StructType.fromDDL("k int, v int")
+    for v in range(5):
+        rows = spark.createDataFrame([(k, v, 0) for k in range(20)], "k int, v int, n int")
+        buckets.upsert_buckets(rows, folder, "k", "n", buckets=2, keep=2)
+        (tmp_path / "table/data/state_0_broken").mkdir()
+    assert len(buckets.states(spark, folder)) == 2 and len(list(tmp_path.glob("table/data/*"))) == 3
+    assert {r["v"] for r in buckets.read_buckets(spark, folder, schema).collect()} == {4}
+    assert buckets.upsert_buckets(rows.limit(0), folder, "k", "n") == []
+    buckets.clear_buckets(spark, folder)
+    assert buckets.read_buckets(spark, folder, schema).count() == 0
+
+
+def test_last_of_repeated_articles_is_indexed(spark, tmp_path):
+    lines = ['{"article_id": "a", "title": "%s", "full_text_payload": "text"}' % t for t in ("first", "second", "third")]
+    run = tmp_path / "runs" / "enriched_articles_20260101_000000.jsonl"
+    run.parent.mkdir()
+    run.write_text("\n".join(lines) + "\n")
+    assert lake.index_newest_run(spark, f"{tmp_path}/runs", f"{tmp_path}/points") == 1
+    assert [r["title"] for r in lake.searchable(lake.read_collection(spark, f"{tmp_path}/points")).collect()] == ["third"]
