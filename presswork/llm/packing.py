@@ -15,8 +15,10 @@ packed one by one; an empty table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -33,6 +35,8 @@ MAX_LENGTH = 2048
 END_ID = 1
 KNOWN_WORDS = 1_500_000  # words a worker remembers; it starts afresh beyond
 TOGETHER = 200  # new words that are encoded as one text
+#: Lines of letters that both pattern libraries and Python lower-case alike.
+LATIN_WORDS = re.compile("^[" + "".join(c for c in map(chr, range(ord(LATIN))) if c.isalpha() and c != "İ") + "]+$", re.MULTILINE)
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 
 
@@ -102,24 +106,23 @@ class WordEncoder:
         return [ids[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def _learn(self, words: list[bytes]) -> None:
-        known, fresh, stems = self.known, {}, []
-        for w in words:
-            # A full stop or comma after a letter is always an own word to the tokenizer.
-            stem = w[:-1] if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else w
-            if stem is not w:
-                stems.append((w, stem))
-            if stem not in known:
-                fresh[stem] = stem.decode()
-        fresh.update({mark: mark.decode() for mark in (b".", b",") if mark not in known})
-        latin = [k for k, w in fresh.items() if w.isalpha() and max(w) < LATIN and "İ" not in w]
-        known.update(zip(latin, self.merges.encode([fresh.pop(k).lower() for k in latin]), strict=True))
-        letters = [(k, w) for k, w in fresh.items() if w.isalpha()]
-        for a in range(0, len(letters), TOGETHER):
-            names, group = zip(*letters[a : a + TOGETHER], strict=True)
-            known.update(zip(names, self._letters(list(group)), strict=True))
-        others = [(k, w) for k, w in fresh.items() if not w.isalpha()]
-        known.update(zip([k for k, _ in others], self._plain([w for _, w in others]), strict=True))
-        known.update({w: known[stem] + known[w[-1:]] for w, stem in stems})
+        texts = b"\n".join(words).decode().split("\n")
+        # A full stop or comma after a letter is always an own word to the tokenizer.
+        stems = [t[:-1] if t[-1] in ".," and t[-2:-1].isalpha() and t[-2:-1].isascii() else t for t in texts]
+        fresh = {*stems, ".", ","}
+        latin = LATIN_WORDS.findall("\n".join(fresh))
+        ids = dict(zip(latin, self.merges.encode("\0".join(latin).lower().split("\0") if latin else []), strict=True))
+        rest = fresh.difference(latin)
+        letters = [w for w in rest if w.isalpha()]
+        for i in range(0, len(letters), TOGETHER):
+            group = letters[i : i + TOGETHER]
+            ids.update(zip(group, self._letters(group), strict=True))
+        others = [w for w in rest if not w.isalpha()]
+        ids.update(zip(others, self._plain(others), strict=True))
+        self.known.update(
+            (word, ids[stem] if len(stem) == len(text) else ids[stem] + ids[text[-1]])
+            for word, text, stem in zip(words, texts, stems, strict=True)
+        )
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -127,15 +130,11 @@ class WordEncoder:
             self.known.clear()
         special = [b"<|" in x for x in texts]
         split = [[] if s else x.lower().split() for x, s in zip(texts, special, strict=True)]
-        get = self.known.get
-        found = [list(map(get, words)) for words in split]
-        open_ = [k for k, ids in enumerate(found) if None in ids]
-        missing = {w for k in open_ for w, ids in zip(split[k], found[k], strict=True) if ids is None}
+        missing = set(itertools.chain.from_iterable(split)).difference(self.known)
         if missing:
             self._learn(list(missing))
-            for k in open_:
-                found[k] = [get(w) if ids is None else ids for w, ids in zip(split[k], found[k], strict=True)]
-        out = [b"".join(ids) for ids in found]
+        known = self.known.__getitem__
+        out = [b"".join(map(known, words)) for words in split]
         for i in np.flatnonzero(special):
             out[i] = self._plain([texts[i].decode()])[0]
         return out
