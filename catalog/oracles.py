@@ -463,3 +463,6 @@ WHERE contains(lower(title), 'tion the') OR contains(lower(text), 'tion the')"""
     ),
     "portal_collection_ranks": f"""WITH {scored('4')} SELECT article_id, row_number() OVER (ORDER BY score DESC, article_id) - 1 AS rank FROM scored""",
 }
+
+# The stored index gives what a scan of the collection does.
+ORACLES |= {f"{name}_stored": ORACLES[name] for name in ("vec_search", "vec_related", "vec_advanced")}

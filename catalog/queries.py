@@ -29,6 +29,7 @@ from presswork.operators import (
     search,
     silver,
     topics,
+    vector_index,
 )
 from presswork.operators.entities import extract_entities, extract_locations, verify_locations
 from presswork.operators.ranking import number_rows
@@ -118,24 +119,38 @@ def collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return library(spark, sf_dir).drop("text", "doc_id")
 
 
-#: Portal tables that this application has built, by the folder of their tables.
-PORTALS: dict[tuple[str, str], str] = {}
+#: Tables that this application has built, by what they are and the folder they are made from.
+BUILT: dict[tuple[str, str, str], str] = {}
+
+
+def built_once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of a table that queries share; the first one to ask for it has it built."""
+    wanted = (spark.sparkContext.applicationId, sf_dir, name)
+    if wanted not in BUILT or not entry_names(spark, BUILT[wanted]):
+        path = shared_path(spark, name)
+        build(path)
+        BUILT[wanted] = path
+    return BUILT[wanted]
 
 
 def portal_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Portal rows of all documents, enriched and stored when first asked for.
+    """Portal rows of all documents, from one stored run, as a portal keeps it."""
+    prepare(spark)
+    path = built_once(spark, sf_dir, "portal", lambda path: lake.build_portal(enriched(spark, sf_dir), path))
+    return read_table(spark, path)
+
+
+def stored_index(spark: SparkSession, sf_dir: str) -> vector_index.Index:
+    """The collection, stored for search."""
+    prepare(spark)
+    path = built_once(spark, sf_dir, "index", lambda path: vector_index.build_index(collection(spark, sf_dir), path))
+    return vector_index.Index.open(spark, path)
 
-    As a portal does, the queries share one stored run; the first one builds it.
-    """
-    built = (spark.sparkContext.applicationId, sf_dir)
-    if built in PORTALS:
-        try:
-            return read_table(spark, PORTALS[built])
-        except FileNotFoundError:
-            pass  # cleared away meanwhile
-    PORTALS[built] = shared_path(spark, "portal")
-    lake.build_portal(enriched(spark, sf_dir), PORTALS[built])
-    return read_table(spark, PORTALS[built])
+
+def given_vector(spark: SparkSession, sf_dir: str, vec_id: int) -> list[float]:
+    """Stored vector as numbers."""
+    rows = table(spark, sf_dir, "embeddings").filter(F.col("vec_id") == vec_id)
+    return rows.select("embedding").first()[0]
 
 
 def article_vector(spark: SparkSession, sf_dir: str, vec_id: int) -> Column:
@@ -657,6 +672,12 @@ def vec_search(spark, sf_dir):
     return hits.select("article_id", "title", "category", "source_country", score())
 
 
+def vec_search_stored(spark, sf_dir):
+    """The same search over the stored index, which opens only folders that can hold a hit."""
+    hits = stored_index(spark, sf_dir).search(given_vector(spark, sf_dir, 0), limit=10)
+    return hits.select("article_id", "title", "category", "source_country", score())
+
+
 def vec_search_filtered(spark, sf_dir):
     hits = search.hybrid_search(
         collection(spark, sf_dir), article_vector(spark, sf_dir, 1),
@@ -680,6 +701,18 @@ def vec_related(spark, sf_dir):
     return hits.select("article_id", "title", "category", score())
 
 
+def vec_related_stored(spark, sf_dir):
+    hits = stored_index(spark, sf_dir).related(article_key(spark, sf_dir, 3), limit=5, category_bias="Sports")
+    return hits.select("article_id", "title", "category", score())
+
+
+def vec_advanced_stored(spark, sf_dir):
+    hits = stored_index(spark, sf_dir).search(
+        given_vector(spark, sf_dir, 2), country=["FR", "DE"], sentiment="Negative", min_score=0.05, limit=10
+    )
+    return hits.select("article_id", "category", "source_country", score())
+
+
 def vec_related_fallback(spark, sf_dir):
     hits = search.related(
         collection(spark, sf_dir), article_key(spark, sf_dir, 3), limit=5, category_bias="Weather"
@@ -809,7 +842,8 @@ QUERIES = {
         nlp_frequent_words, nlp_term_frequency, nlp_sentiment, nlp_sentiment_shares,
         nlp_summary, nlp_documents, nlp_flattened, nlp_saved_run, nlp_report, portal_articles,
         vec_embed, vec_payload, vec_points, vec_indexed, vec_upsert, vec_stats,
-        vec_search, vec_search_filtered, vec_advanced, vec_related, vec_related_fallback,
+        vec_search, vec_search_stored, vec_search_filtered, vec_advanced, vec_advanced_stored,
+        vec_related, vec_related_stored, vec_related_fallback,
         vec_related_batch, vec_browse, vec_trending, query_category,
         portal_facets, portal_filtered, portal_kpis, portal_ranked, portal_pages,
         portal_cards, portal_detail, portal_keyword, portal_related, portal_search, portal_collection_ranks,

@@ -139,7 +139,11 @@ def related_batch(collection: DataFrame, targets: DataFrame, limit: int = 3) ->
     stored = materialize(targets.select("article_id", "vector"), "targets")
     blocks = max(1, -(-stored.count() // TARGETS_PER_BLOCK))
     block = F.pmod(F.xxhash64("article_id"), F.lit(blocks))
-    parts = [_nearest(collection, stored.filter(block == i).collect(), limit) for i in range(blocks)]
+    parts = []
+    for i in range(blocks):
+        # One block is in the driver at a time: its candidates are written before the next comes.
+        found = _nearest(collection, stored.filter(block == i).collect(), limit)
+        parts.append(found if blocks == 1 else materialize(found, "nearest"))
     partial = reduce(DataFrame.unionByName, parts)
     order = Window.partitionBy("target_id").orderBy(F.desc("similarity_score"), "article_id")
     return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)

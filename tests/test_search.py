@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from presswork.operators import collection, enrich, portal, ranking, search
+from presswork.operators import collection, enrich, portal, ranking, search, vector_index
 from presswork.plans import lake
 from presswork.sources import buckets
 from presswork.sources.jsonl import newest_run
@@ -267,3 +267,54 @@ def test_last_of_repeated_articles_is_indexed(spark, tmp_path):
     run.write_text("\n".join(lines) + "\n")
     assert lake.index_newest_run(spark, f"{tmp_path}/runs", f"{tmp_path}/points") == 1
     assert [r["title"] for r in lake.searchable(lake.read_collection(spark, f"{tmp_path}/points")).collect()] == ["third"]
+
+
+@pytest.fixture(scope="module")
+def index(spark, points, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("index"))
+    assert vector_index.build_index(points, folder, centres=8) == points.count()
+    return vector_index.Index.open(spark, folder)
+
+
+@pytest.mark.parametrize("query", [QUERY, [1.0, 0.5, 0.0, 0.25], [-1.0, 0, 0, 0], [0.0] * 4])
+def test_stored_search_equals_a_scan(index, rows, query):
+    hits = index.search(query, limit=9).collect()
+    assert [r["article_id"] for r in hits] == best(rows, query, lambda r: True, 9)
+    hits = index.search(query, "Sports", "FR", "Negative", limit=4).collect()
+    assert [r["article_id"] for r in hits] == best(rows, query, lambda r: r[3:6] == ("Sports", "FR", "Negative"), 4)
+    hits = index.search(query, country=["US", "DE"], min_score=0.2, limit=500).collect()
+    assert all(r["similarity_score"] >= 0.2 for r in hits)
+    assert [r["article_id"] for r in hits] == best(rows, query, lambda r: r[4] in ("US", "DE"), 500)[: len(hits)]
+    assert index.search(query, "Weather").count() == 0
+
+
+def test_stored_neighbours(index, points):
+    for bias in (None, "Sports", "Weather"):
+        want = search.related(points, "a004", 5, bias).collect()
+        assert [r["article_id"] for r in index.related("a004", 5, bias).collect()] == [r["article_id"] for r in want]
+    assert index.related("missing").count() == 0
+
+
+def test_folders_that_cannot_hold_a_hit_stay_closed(spark, tmp_path, monkeypatch):
+    """Vectors in twenty bundles: a search for one opens a few folders only."""
+    rng = np.random.default_rng(4)
+    middle = rng.normal(size=(20, 16))
+    rows = [(f"a{i}", (middle[i % 20] + rng.normal(size=16) / 20).tolist(), "Sports") for i in range(600)]
+    df = spark.createDataFrame(rows, "article_id string, vector array<float>, category string")
+    wide = df.withColumns({c: F.lit(None).cast("string") for c in ("title", "source_country", "sentiment_label")})
+    vector_index.build_index(wide, str(tmp_path), centres=20)
+    index, opened = vector_index.Index.open(spark, str(tmp_path)), []
+    read = vector_index.Index.rows
+    monkeypatch.setattr(vector_index.Index, "rows", lambda self, folders: opened.append(len(folders)) or read(self, folders))
+    query = middle[3].tolist()
+    hits = index.search(query, limit=5)
+    assert [r["article_id"] for r in hits.collect()] == [r["article_id"] for r in search.hybrid_search(wide, search.literal_vector(query), limit=5).collect()]
+    assert len(index.folders) >= 10 and max(opened) <= 4
+    assert "PartitionFilters: [" in hits._jdf.queryExecution().toString() and "cluster" in hits._jdf.queryExecution().toString()
+    stored = index.rows(index.folders)
+    assert stored.agg(F.max(F.abs(F.col("length") - collection.norm(F.col("vector"))))).first()[0] == 0
+
+
+def test_empty_index(spark, points, tmp_path):
+    assert vector_index.build_index(points.limit(0), str(tmp_path)) == 0
+    assert vector_index.Index.open(spark, str(tmp_path)).search(QUERY).count() == 0
