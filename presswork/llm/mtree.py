@@ -14,12 +14,14 @@ broadcast) and, within a pivot, to slices of a few thousand by hash; each slice
 tree, written once as a table of pages. A query first visits the tree of its own place,
 which bounds its k-th best product; then only the trees of pivots whose ball can hold
 better. Queries go in blocks, so neither trees nor queries of one group are unbounded.
-Equal vectors are one entry with the k + 1 least ids, and equal queries one search.
+Equal vectors are one entry with the k + 1 least ids, and equal queries one search, which
+looks for k rows more than there are of the query's own id.
 
 Defined cases: rows with a null id or vector, or a null or non-finite component, take no
-part, nor do those with a component beyond ``LARGEST`` as an integer; of vectors of
-different length the shorter counts as filled up with 0; of several rows with one id, the
-one whose vector has the least digest takes part; other columns are ignored.
+part; of vectors of different length the shorter counts as filled up with 0; rows that
+share an id are candidates one by one, for rows of other ids, and as queries share
+one list; a vector so long that a product might not fit 64 bits is an error; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +40,8 @@ from presswork.cluster import materialize
 from presswork.llm.common import table
 
 SCALE = 1024
-LARGEST = 1 << 27
+PACKED = "<i8"
+LARGEST = 1 << 62  # squared length; products of shorter vectors are exact in 64 bits
 K = 10
 MAX_PIVOTS = 1024
 PER_PIVOT = 4096  # vectors per pivot, on average, until there are MAX_PIVOTS of them
@@ -49,7 +52,7 @@ SLACK = 1e-7  # of the largest lengths, for rounding in distances
 
 
 def integers(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``vec_id, key, v, norm`` of the rows that take part; ``v`` is packed 32-bit integers."""
+    """``vec_id, key, v, norm`` of the rows that take part; ``v`` is packed 64-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,13 +60,16 @@ def integers(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
             for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if i is None or not x.is_valid or x.values.null_count:
                     continue
-                with np.errstate(over="ignore"):
-                    v = np.floor(SCALE * x.values.to_numpy(zero_copy_only=False).astype(np.float64))
-                if not np.isfinite(v).all() or (np.abs(v) > LARGEST).any():
+                v = x.values.to_numpy(zero_copy_only=False).astype(np.float64)
+                if not np.isfinite(v).all():
                     continue
-                v = np.trim_zeros(v.astype("<i4"), "b")
+                with np.errstate(over="ignore"):
+                    v = np.floor(SCALE * v)
+                    if (v**2).sum() >= LARGEST:
+                        raise ValueError(f"products of vector {i} may not fit 64 bits")
+                v = np.trim_zeros(v.astype(PACKED), "b")
                 ids.append(i), packed.append(v.tobytes()), keys.append(hashlib.md5(v.tobytes()).digest())
-                norms.append(int((v.astype(np.int64) ** 2).sum()))
+                norms.append(int((v**2).sum()))
             columns = [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary()), pa.array(norms, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "key", "v", "norm"])
 
@@ -75,7 +81,7 @@ def matrix(packed, width: int) -> np.ndarray:
     """Rows of packed integers, filled up with zeros."""
     out = np.zeros((len(packed), width), np.int64)
     for row, x in zip(out, packed, strict=True):
-        v = np.frombuffer(x, "<i4")
+        v = np.frombuffer(x, PACKED)
         row[: len(v)] = v
     return out
 
@@ -228,20 +234,20 @@ def tree_pages(placed: DataFrame, space: Space) -> DataFrame:
     return placed.groupBy("tree").applyInPandas(build, PAGES)
 
 
-def visits(queries: DataFrame, pages: DataFrame, space: Space, k: int, blocks: int) -> DataFrame:
-    """``key, vec_id, score`` rows of every ``tree, key, v, bound`` visit."""
+def visits(queries: DataFrame, pages: DataFrame, space: Space, blocks: int) -> DataFrame:
+    """``key, vec_id, score`` rows of every ``tree, key, v, need, bound`` visit; ``need`` at most."""
 
     def search(asked: pd.DataFrame, pages_: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(asked) and len(pages_):
             tree = Tree(pages_, space)
-            for key, v, bound in zip(asked["key"], matrix(asked["v"], space.width), asked["bound"], strict=True):
-                found = tree.search(v, k, int(bound) if bound else None)
+            for key, v, need, bound in zip(asked["key"], matrix(asked["v"], space.width), asked["need"], asked["bound"], strict=True):
+                found = tree.search(v, int(need), int(bound) if bound else None)
                 rows += [(key, vec_id, product) for product, vec_id in found]
         return pd.DataFrame(rows, columns=["key", "vec_id", "score"])
 
     block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
-    left = queries.withColumn("block", block).select("tree", "block", "key", "v", F.col("bound").cast("string").alias("bound"))
+    left = queries.withColumn("block", block).select("tree", "block", "key", "v", "need", F.col("bound").cast("string").alias("bound"))
     right = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     both = left.groupBy("tree", "block").cogroup(right.groupBy("tree", "block"))
     return both.applyInPandas(search, "key binary, vec_id long, score long")
@@ -259,16 +265,22 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id",
     ``is_query`` is a condition on ``vec_id``.
     """
     spark = rows.sparkSession
-    one = integers(rows, vec_id, embedding).groupBy("vec_id").agg(F.min(F.struct("key", "v", "norm")).alias("x"))
-    stored = materialize(one.select("vec_id", "x.*"), "integers")
+    # Rows of equal id and vector: more than k of them are never needed.
+    same = integers(rows, vec_id, embedding).groupBy("vec_id", "key")
+    same = same.agg(F.first("v").alias("v"), F.first("norm").alias("norm"), F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("times"))
+    stored = materialize(same, "integers")
     size = stored.agg(F.max("norm").alias("norm"), F.max(F.length("v")).alias("bytes")).first()
-    space = Space(size["norm"] or 0, max(1, (size["bytes"] or 0) // 4))
+    space = Space(size["norm"] or 0, max(1, (size["bytes"] or 0) // np.dtype(PACKED).itemsize))
     # Equal vectors: one entry with the k + 1 least ids, of which one may be the query's own.
     few = best_rows(stored, "key", k + 1, F.lit(0))
-    entries = materialize(few.groupBy("key").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids")), "entries")
+    ids = F.sort_array(F.flatten(F.collect_list(F.array_repeat("vec_id", F.col("times")))))
+    entries = materialize(few.groupBy("key").agg(F.first("v").alias("v"), ids.alias("ids")), "entries")
     n = entries.count()
-    asked = stored.filter(is_query).select(F.col("vec_id").alias("query_id"), "key")
-    searches = materialize(asked.select("key").distinct().join(entries.select("key", "v"), "key"), "searches")
+    queries = stored.filter(is_query)
+    own = queries.groupBy("vec_id").agg(F.sum("times").alias("own"))
+    need = queries.join(own, "vec_id").groupBy("key").agg((F.max("own") + k).alias("need"))
+    asked = queries.select(F.col("vec_id").alias("query_id"), "key", F.explode(F.sequence(F.lit(1), "times")).alias("copy"))
+    searches = materialize(need.join(entries.select("key", "v"), "key"), "searches")
     blocks = max(1, -(-searches.count() // QUERIES_PER_BLOCK))
     wanted = max(1, min(MAX_PIVOTS, -(-n // PER_PIVOT)))
     sample = entries.select("v").orderBy(F.xxhash64("key")).limit(wanted).collect()
@@ -295,10 +307,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id",
     pages = materialize(tree_pages(dealt.select("tree", "v", "ids"), space), "pages")
     # The own tree first: it bounds the search.
     home = searches.join(dealt.select("key", "tree"), "key").withColumn("bound", F.lit(None).cast("long"))
-    home = materialize(home.select("key", "v", "tree", "bound"), "home")
-    near = materialize(visits(home, pages, space, k + 1, blocks), "found")
+    home = materialize(home.select("key", "v", "need", "tree", "bound"), "home")
+    near = materialize(visits(home, pages, space, blocks), "found")
     bounds = near.groupBy("key").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n"))
-    bounded = home.drop("bound").join(bounds, "key", "left").select("key", "v", "tree", F.when(F.col("n") > k, F.col("bound")).alias("bound"))
+    bounded = home.drop("bound").join(bounds, "key", "left").select("key", "v", "need", "tree", F.when(F.col("n") >= F.col("need"), F.col("bound")).alias("bound"))
     reach = spark.sparkContext.broadcast((space, pivots, radius, first))
 
     @F.arrow_udf("array<int>")
@@ -315,9 +327,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id",
         return pa.array(out, pa.list_(pa.int32()))
 
     rest = bounded.withColumn("tree", F.explode(others("v", "tree", "bound")))
-    far = visits(rest, pages, space, k + 1, blocks)
-    found = best_rows(near.unionByName(far), "key", k + 1, F.desc("score")).drop("_place")
-    # Every query row gets its search's rows but its own, and k of them.
+    far = visits(rest, pages, space, blocks)
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))
+    found = near.unionByName(far).withColumn("_place", place).join(need, "key").filter(F.col("_place") <= F.col("need")).drop("_place", "need")
+    # Every query row gets its search's rows but those of its id, and k of them.
     mine = asked.join(found, "key").filter(F.col("vec_id") != F.col("query_id"))
     return best_rows(mine, "query_id", k, F.desc("score")).select("query_id", F.col("_place").cast("int").alias("rank"), "vec_id", "score")
 

@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -48,7 +49,7 @@ def test_tree_finds_all_and_saves_distances():
     pages = pd.DataFrame(
         {
             "page": i,
-            "vectors": [x[j].astype("<i4").tobytes() for j in p["rows"]],
+            "vectors": [x[j].astype(mt.PACKED).tobytes() for j in p["rows"]],
             "to_parent": p["to_parent"].tobytes(),
             "radius": p["radius"].tobytes() if "child" in p else None,
             "child": p["child"].tobytes() if "child" in p else None,
@@ -86,7 +87,7 @@ def test_covering_radii_and_parent_distances():
 
 def test_defined_cases(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 2.0]), (1, [1.0]), (2, None), (3, [nan, 1.0]), (4, [inf]), (5, []), (6, [3.0, 0.0, 0.0]), (None, [9.0]), (7, [1e30]), (0, [1.0, 2.0])]
+    rows = [(0, [1.0, 2.0]), (1, [1.0]), (2, None), (3, [nan, 1.0]), (4, [inf]), (5, []), (6, [3.0, 0.0, 0.0]), (None, [9.0])]
     df = frame(spark, rows).withColumns({"key": mt.F.lit(1), "score": mt.F.lit(2)})
     df = df.unionByName(spark.createDataFrame([(8, None)], "vec_id long, x long").selectExpr("vec_id", "array(cast(null as double)) as embedding", "1 as key", "2 as score"))
     got = as_tuples(mt.top_k(df, mt.F.lit(True), k=10))
@@ -94,3 +95,24 @@ def test_defined_cases(spark):
     assert got == brute([(i, np.array(v)) for i, v in parts.items()], lambda i: True, 10)
     assert mt.top_k(df.limit(0), mt.F.lit(True)).count() == 0
     assert mt.top_k(df.filter("vec_id = 1"), mt.F.lit(True)).count() == 0
+
+
+def test_long_vectors_take_part(spark):
+    """A component of 200,000 is a candidate like any other; beyond 64 bits nothing is dropped in silence."""
+    rows = [(100, [3.0, 1.0]), (1, [2.0, 0.5]), (2, [200_000.0, -7.0]), (3, [-1e5, 1e6])]
+    ints = [(i, np.floor(1024 * np.array(v)).astype(np.int64)) for i, v in rows]
+    assert as_tuples(mt.top_k(frame(spark, rows), mt.F.lit(True), k=3)) == brute(ints, lambda i: True, 3)
+    with pytest.raises(Exception, match="64 bits"):
+        mt.top_k(frame(spark, [*rows, (7, [1e30])]), mt.F.lit(True)).count()
+
+
+def test_rows_that_share_an_id(spark, stored):
+    """As the SQL has it: every row is a candidate for rows of other ids, and copies of a query share a list."""
+    rng = np.random.default_rng(5)
+    rows = [(int(i), rng.integers(-3, 4, 3).astype(float)) for i in rng.choice([0, 100, 200, 1, 2, 3, 4, 5, 6], 120)]
+    rows += [(100, np.array([1.0, 1.0, 1.0]))] * 25 + [(7, np.array([2.0, 2.0, 2.0]))] * 30
+    folder = stored(embeddings=frame(spark, rows))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet/*.parquet'")
+    want = sorted((q, r, i, s) for q, r, i, s in con.execute(mt.OP4_SQL).fetchall())
+    assert as_tuples(mt.op4_mtree(spark, folder)) == want
