@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.cluster import materialize
-from presswork.llm.common import table
+from presswork.llm.common import table, unused
 
 NO_ID = -(2**63)
 LINE = "k1 long, k2 long, doc long, content long, pos int, n_lines int"
@@ -203,10 +203,11 @@ def keep_bitmaps(dropped: DataFrame) -> DataFrame:
     return gone.select("doc", "content", F.size("gone").cast("long").alias("n_dropped"), bitmap("gone", "n_lines").alias("keep_bits"))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text", doc_id: str = "doc_id", counts: bool = True) -> DataFrame:
     """``docs`` with only the kept lines in ``text``, and ``n_lines`` and ``n_dropped`` added.
 
-    Columns of these two names that ``docs`` already has are replaced.
+    Columns of these two names that ``docs`` already has are replaced; without ``counts``
+    nothing is added and all columns stay.
     """
 
     @F.pandas_udf("string")
@@ -221,26 +222,21 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text", doc_i
         return pd.Series([one(w, b) for w, b in zip(texts, bits, strict=True)], dtype=object)
 
     whole = F.coalesce(F.col(text), F.lit(""))
-    left = docs.drop("n_lines", "n_dropped").withColumns(
-        {"_doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), "_content": F.xxhash64(whole)}
-    )
-    right = bitmaps.select(F.col("doc").alias("_doc"), F.col("content").alias("_content"), F.col("n_dropped").alias("_gone"), F.col("keep_bits").alias("_bits"))
-    both = left.join(right, ["_doc", "_content"], "left")
+    doc, content, gone, bits = (unused(docs, name) for name in ("doc", "content", "gone", "bits"))
+    left = docs.withColumns({doc: F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), content: F.xxhash64(whole)})
+    right = bitmaps.select(F.col("doc").alias(doc), F.col("content").alias(content), F.col("n_dropped").alias(gone), F.col("keep_bits").alias(bits))
+    both = left.join(right, [doc, content], "left")
     newlines = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit("")))
-    out = both.withColumns(
-        {
-            "n_lines": (newlines + 1).cast("long"),
-            "n_dropped": F.coalesce("_gone", F.lit(0).cast("long")),
-            text: F.when(F.col("_bits").isNull(), F.col(text)).otherwise(kept(F.when(F.col("_bits").isNotNull(), whole), "_bits")),
-        }
-    )
-    return out.drop("_doc", "_content", "_gone", "_bits")
+    results = {text: F.when(F.col(bits).isNull(), F.col(text)).otherwise(kept(F.when(F.col(bits).isNotNull(), whole), F.col(bits)))}
+    if counts:
+        results |= {"n_lines": (newlines + 1).cast("long"), "n_dropped": F.coalesce(F.col(gone), F.lit(0).cast("long"))}
+    return both.withColumns(results).drop(doc, content, gone, bits)
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False, counts: bool = True) -> DataFrame:
     """Documents without the lines that at least ``min_docs`` documents hold."""
     lines = materialize(line_keys(docs, min_chars), "lines")
-    return apply_bitmaps(docs, keep_bitmaps(dropped_lines(lines, min_docs, keep_first)))
+    return apply_bitmaps(docs, keep_bitmaps(dropped_lines(lines, min_docs, keep_first)), counts=counts)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,3 +72,19 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_columns_of_the_caller_stay(spark):
+    """No stage stumbles over a column of its own making, or replaces it."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(texts())]
+    names = ["_id", "_doc", "_node", "_language", "n_lines", "n_dropped", "spans", "part", "row", "doc", "content", "gone", "bits", "node", "language", "key", "salt"]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    docs = plain.select("*", *[(plain.doc_id * (k + 2)).alias(n) for k, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(r[n] == r["doc_id"] * (k + 2) for r in got for k, n in enumerate(names)), name
+        assert sorted((r["doc_id"], r["text"]) for r in got) == sorted((r["doc_id"], r["text"]) for r in stage(spark, plain, "").collect())
+        docs, plain = out.persist(), out.select(plain.columns).persist()
+    assert packing.pack_documents(docs).count() == packing.pack_documents(plain).count()
