@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from presswork.cluster import materialize
 from presswork.llm import language_id, line_dedup, near_dup, packing, pii
+from presswork.llm.common import unused
 
 LEAST_SCORE = 0.5  # of the predicted language
 
@@ -22,13 +23,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Texts that are null or without letters go, and those without a likely language.
     """
     likely = language_id.predicted(spark, F.col("text"), language_id.learn(docs))
-    kept = (F.col("_language.lang") != language_id.UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE)
-    return docs.withColumn("_language", likely).filter(kept).select(docs.columns)
+    found = unused(docs, "language")
+    kept = (F.col(found)["lang"] != language_id.UNKNOWN) & (F.col(found)["score"] >= LEAST_SCORE)
+    return docs.withColumn(found, likely).filter(kept).select(docs.columns)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that at least ten documents hold go; an emptied document stays as empty text."""
-    return line_dedup.dedup_lines(docs).select(docs.columns)
+    return line_dedup.dedup_lines(docs, counts=False).select(docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
