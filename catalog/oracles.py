@@ -390,6 +390,8 @@ SELECT word, count(*) AS n FROM words WHERE word NOT IN {words_in(d.STOP_WORDS)}
   FROM enriched GROUP BY 1, 2""",
     "nlp_report": f"""WITH {ENRICHED} SELECT count(*) AS total,
   count(*) FILTER (WHERE detected_language <> 'fr' OR length(x) % 2 = 0) AS enriched FROM enriched""",
+    "nlp_errors": f"""WITH {ENRICHED} SELECT 'translation' AS task, 'ValueError: odd length' AS reason, count(*) AS articles
+FROM enriched WHERE detected_language = 'fr' AND length(x) % 2 = 1 GROUP BY ALL""",
     "portal_articles": f"""WITH {ENRICHED} SELECT article_id, title, domain, source_country, md5(x) AS text_md5, detected_language,
   FALSE AS translation_applied, category AS predicted_category, keywords, sentiment_label, sentiment_polarity FROM enriched""",
     "vec_payload": f"""WITH {ENRICHED} SELECT article_id, title, domain, source_country, published_date, category,

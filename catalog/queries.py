@@ -597,6 +597,12 @@ def nlp_report(spark, sf_dir):
     return enrich.enrichment_report(enrich.enrich(articles, translators={"fr": _even_texts_only}))
 
 
+def nlp_errors(spark, sf_dir):
+    """Tasks that failed in that run, and why."""
+    articles = gold.nlp_input_articles(silver_table(spark, sf_dir), min_words=None)
+    return enrich.error_report(enrich.enrich(articles, translators={"fr": _even_texts_only}))
+
+
 def _even_texts_only():
     def translated(texts):
         if any(len(t) % 2 for t in texts):
@@ -840,7 +846,7 @@ QUERIES = {
         nlp_clean, nlp_language, nlp_translation_route, nlp_entities, nlp_locations,
         nlp_category, nlp_category_scores, nlp_keywords, nlp_keywords_doc,
         nlp_frequent_words, nlp_term_frequency, nlp_sentiment, nlp_sentiment_shares,
-        nlp_summary, nlp_documents, nlp_flattened, nlp_saved_run, nlp_report, portal_articles,
+        nlp_summary, nlp_documents, nlp_flattened, nlp_saved_run, nlp_report, nlp_errors, portal_articles,
         vec_embed, vec_payload, vec_points, vec_indexed, vec_upsert, vec_stats,
         vec_search, vec_search_stored, vec_search_filtered, vec_advanced, vec_advanced_stored,
         vec_related, vec_related_stored, vec_related_fallback,

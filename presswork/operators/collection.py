@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presswork.functions.binding import keep_where, let
-from presswork.functions.models import Loader, apply_model
+from presswork.functions.models import Loader, try_model
 from presswork.operators.enrich import document_category, with_optional_fields
 from presswork.schemas import COLLECTION, VECTOR_SIZE
 
@@ -60,16 +60,18 @@ def embed_hashed(df: DataFrame, text: str, size: int = VECTOR_SIZE, output: str
 
 
 def embed_with(
-    df: DataFrame, text: str, load: Loader, batch: int = 256, output: str = "vector"
+    df: DataFrame, text: str, load: Loader, batch: int = 256, output: str = "vector", error: str | None = None
 ) -> DataFrame:
-    """Vectors of a plugged-in model; null where it fails on a text."""
+    """Vectors of a plugged-in model; null where it fails on a text, and then ``error`` says why."""
 
     def embedder():
         model = load()
         return lambda texts: [[float(x) for x in v] for v in model(texts)]
 
     whole = F.coalesce(F.col(text), F.lit(""))
-    return df.withColumn(output, apply_model(whole, embedder, T.ArrayType(T.FloatType()), batch))
+    tried = df.withColumn("_tried", try_model(whole, embedder, T.ArrayType(T.FloatType()), batch))
+    results = {output: F.col("_tried.value")} | ({} if error is None else {error: F.col("_tried.error")})
+    return tried.withColumns(results).drop("_tried")
 
 
 def payloads(documents: DataFrame, max_chars: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
@@ -116,23 +118,32 @@ def points(
     size: int = VECTOR_SIZE,
     max_chars: int | None = None,
     carry: Sequence[str] = (),
+    failed: str | None = None,
 ) -> DataFrame:
     """Enriched documents -> rows of a collection, keyed by article.
 
-    Articles whose embedding fails or has another size are left out. Columns to ``carry``
-    along follow.
+    Articles whose embedding fails or has another size are left out, unless a column for
+    the reason is named: then they stay, without a vector. Columns to ``carry`` along follow.
     """
     prepared = payloads(documents, max_chars, carry)
     embedded = (
         embed_hashed(prepared, "embedding_input", size)
         if embedder is None
-        else embed_with(prepared, "embedding_input", embedder)
+        else embed_with(prepared, "embedding_input", embedder, error="_error")
     )
     fields = [F.col(f.name) for f in COLLECTION["payload"].dataType.fields]
     rows = embedded.select(
-        F.col("article_id").alias("point_id"), "vector", F.struct(*fields).alias("payload"), *carry
-    )
-    return rows if embedder is None else keep_where(rows, F.size("vector") == size)
+        F.col("article_id").alias("point_id"), "vector", F.struct(*fields).alias("payload"), *carry,
+        *([] if embedder is None else ["_error"]),
+    )
+    if embedder is None:
+        return rows if failed is None else rows.withColumn(failed, F.lit(None).cast("string"))
+    fits = F.coalesce(F.size("vector") == size, F.lit(False))
+    if failed is None:
+        return keep_where(rows, fits).drop("_error")
+    other_size = F.concat(F.size("vector").cast("string"), F.lit(" components"))
+    reason = F.when(fits, None).otherwise(F.coalesce("_error", other_size, F.lit("no result")))
+    return rows.withColumns({failed: reason, "vector": F.when(fits, F.col("vector"))}).drop(*({"_error"} - {failed}))
 
 
 def empty_collection(spark: SparkSession) -> DataFrame:

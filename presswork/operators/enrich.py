@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presswork import dictionaries as d
-from presswork.functions.binding import first_truthy
+from presswork.functions.binding import first_truthy, non_empty
 from presswork.functions.models import Loader
 from presswork.functions.text import clean_text, count_words
 from presswork.operators.entities import extract_entities, extract_locations
 from presswork.operators.language import FALLBACK, detect_language, translate, try_detect_with
 from presswork.operators.sentiment import get_sentiment
-from presswork.operators.summary import summarize
+from presswork.operators.summary import try_summarize
 from presswork.operators.topics import best_category, category_scores, extract_keywords
 from presswork.schemas import ENTITIES, LOCATIONS, NLP
 
@@ -53,23 +53,23 @@ def run_tasks(
 ) -> DataFrame:
     """Add the results of all tasks as flat columns. Tasks 4 to 9 see English text.
 
-    ``task_errors`` lists the plugged-in models that failed on a row; the row goes on
-    with English as its language, or with its text as it was.
+    ``task_errors`` lists the tasks that failed on a row, ``error_reasons`` says why; the row
+    goes on with English as its language, its text as it was, or the head of it as summary.
     """
     source = repair_text(F.col(text)) if repair else F.col(text)
     cleaned = df.withColumn("cleaned_text", clean_text(source)).withColumns(
         {
             "_detected": (
-                detect_language(F.col("cleaned_text"))
+                F.struct(detect_language(F.col("cleaned_text")).alias("value"), F.lit(None).cast("string").alias("error"))
                 if detector is None
                 else try_detect_with(F.col("cleaned_text"), detector)
             ),
             "cleaned_word_count": count_words(F.col("cleaned_text")),
         }
     )
-    undetected = F.col("_detected").isNull() & F.col("cleaned_text").isNotNull()
+    undetected = F.col("_detected.value").isNull() & F.col("cleaned_text").isNotNull()
     cleaned = cleaned.withColumns(
-        {"detected_language": F.coalesce("_detected", F.lit(FALLBACK)), "_undetected": undetected}
+        {"detected_language": F.coalesce("_detected.value", F.lit(FALLBACK)), "_undetected": undetected, "_language_error": F.col("_detected.error")}
     ).drop("_detected")
     routed = translate(cleaned, "cleaned_text", "detected_language", translators)
     english = F.col("translated_text")
@@ -78,7 +78,7 @@ def run_tasks(
             "ner_entities": extract_entities(english, gazetteer),
             "category_scores": category_scores(english),
             "sentiment": get_sentiment(english, valences),
-            "summary_text": summarize(english),
+            "_summary": try_summarize(english),
         }
     )
     located = tagged.withColumns(
@@ -87,15 +87,19 @@ def run_tasks(
             "category": best_category(F.col("category_scores")),
         }
     )
-    failures = [
-        F.when(F.col(flag), F.lit(task)) for flag, task in (("_undetected", "language"), ("translation_failed", "translation"))
-    ]
+    failed = (
+        ("language", F.col("_undetected"), F.col("_language_error")),
+        ("translation", F.col("translation_failed"), F.col("translation_error")),
+        ("summary", F.col("_summary.error").isNotNull(), F.col("_summary.error")),
+    )
     return located.withColumns(
         {
+            "summary_text": F.col("_summary.summary"),
             "keywords": extract_keywords(english, F.col("category")),
-            "task_errors": F.array_compact(F.array(*failures)),
+            "task_errors": F.array_compact(F.array(*[F.when(flag, F.lit(task)) for task, flag, _ in failed])),
+            "error_reasons": F.array_compact(F.array(*[F.when(flag, F.coalesce(reason, F.lit("no result"))) for _, flag, reason in failed])),
         }
-    ).drop("_undetected", "translation_failed")
+    ).drop("_undetected", "_language_error", "_summary", "translation_failed", "translation_error")
 
 
 def nest(tasks: DataFrame) -> DataFrame:
@@ -132,6 +136,7 @@ def nest(tasks: DataFrame) -> DataFrame:
         nlp.alias("nlp"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processed_at"),
         "task_errors",
+        "error_reasons",
     )
 
 
@@ -151,6 +156,12 @@ def enrichment_report(documents: DataFrame) -> DataFrame:
     return documents.agg(F.count("*").alias("total"), F.count_if(whole).alias("enriched"))
 
 
+def error_report(documents: DataFrame) -> DataFrame:
+    """``task, reason, articles`` of all failures."""
+    failures = F.explode(non_empty(F.arrays_zip(F.col("task_errors").alias("task"), F.col("error_reasons").alias("reason"))))
+    return documents.select(failures.alias("failure")).groupBy("failure.task", "failure.reason").agg(F.count("*").alias("articles"))
+
+
 def with_optional_fields(documents: DataFrame) -> DataFrame:
     """Documents whose ``nlp`` has every declared field, absent ones null."""
     present = set(documents.schema["nlp"].dataType.names)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from presswork.dictionaries import FUNCTION_WORDS
 from presswork.functions.binding import let
-from presswork.functions.models import Loader, apply_model
+from presswork.functions.models import Loader, try_model, try_models
 
 FALLBACK = "en"
 
@@ -41,53 +41,43 @@ def detect_language(text: Column, profiles: dict[str, tuple[str, ...]] = FUNCTIO
 
 
 def try_detect_with(text: Column, load: Loader) -> Column:
-    """Language by a plugged-in model, lower case; null where it fails."""
-    return F.lower(apply_model(text, load, "string"))
+    """Struct of the language by a plugged-in model, lower case, and why there is none."""
+    return let(try_model(text, load, "string"), lambda r: F.struct(F.lower(r["value"]).alias("value"), r["error"].alias("error")))
 
 
 def detect_with(text: Column, load: Loader) -> Column:
     """Language by a plugged-in model, lower case; ``en`` where it fails."""
-    return F.coalesce(try_detect_with(text, load), F.lit(FALLBACK))
+    return F.coalesce(try_detect_with(text, load)["value"], F.lit(FALLBACK))
 
 
 def translate(
     df: DataFrame, text: str, lang: str, translators: dict[str, Loader] | None = None
 ) -> DataFrame:
-    """Add ``translated_text``, ``translation_applied`` and ``translation_failed``.
+    """Add ``translated_text``, ``translation_applied``, ``translation_failed`` and ``translation_error``.
 
-    ``translators`` holds a model per source language. English, unknown and
-    unserved languages keep their text, and so does a text the model fails on.
+    ``translators`` holds a model per source language; a text passes once, to the model
+    of its own. English, unknown and unserved languages keep their text, and so does a
+    text the model fails on.
     """
     source = F.col(text)
-    routed = F.lit(None).cast("string")
-    for code, load in (translators or {}).items():
-        if code != FALLBACK:
-            mine = F.col(lang) == code
-            model = apply_model(F.when(mine, source), _present(load), "string")
-            routed = F.when(mine, model).otherwise(routed)
-    if not translators:
+    served = {code: load for code, load in (translators or {}).items() if code != FALLBACK}
+    if not served:
         return df.withColumns(
-            {"translated_text": source, "translation_applied": F.lit(False), "translation_failed": F.lit(False)}
+            {
+                "translated_text": source,
+                "translation_applied": F.lit(False),
+                "translation_failed": F.lit(False),
+                "translation_error": F.lit(None).cast("string"),
+            }
         )
-    served = F.col(lang).isin(*[code for code in translators if code != FALLBACK]) & source.isNotNull()
+    mine = F.col(lang).isin(*served) & source.isNotNull()
+    routed = try_models(F.when(mine, source), F.when(mine, F.col(lang)), served, "string")
     translated = df.withColumn("_routed", routed).withColumns(
-        {"translated_text": F.coalesce("_routed", source), "translation_failed": served & F.col("_routed").isNull()}
+        {
+            "translated_text": F.coalesce("_routed.value", source),
+            "translation_failed": F.coalesce(mine, F.lit(False)) & F.col("_routed.value").isNull(),
+            "translation_error": F.col("_routed.error"),
+        }
     ).drop("_routed")
     applied = (F.col(lang) != FALLBACK) & (F.col("translated_text") != source)
     return translated.withColumn("translation_applied", F.coalesce(applied, F.lit(False)))
-
-
-def _present(load: Loader) -> Loader:
-    """A model that is shown only the texts of its language."""
-
-    def loader():
-        model = load()
-
-        def run(texts):
-            mine = [t for t in texts if t is not None]
-            done = iter(model(mine) if mine else [])
-            return [None if t is None else next(done) for t in texts]
-
-        return run
-
-    return loader

@@ -5,8 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from presswork.functions.binding import let
 from presswork.functions.text import count_words
 
 # --- Fixed values: texts kept whole, similarity that links, accuracy, fallback.
@@ -103,28 +103,37 @@ def _summarizer(count: int):
     return summarize
 
 
-def summarize(text: Column, sentence_count: int = 2) -> Column:
-    """The most central sentences in text order; short texts are their own summary.
+def try_summarize(text: Column, sentence_count: int = 2) -> Column:
+    """Struct of the ``summary`` and, where the sentences could not be ranked, the ``error``.
 
-    A text that cannot be ranked is cut after 200 characters. Sentences are
-    split on the JVM; Python only ranks those of one article at a time.
+    Such a text is cut after 200 characters. Sentences are split on the JVM; Python only
+    ranks those of one article at a time.
     """
 
-    @F.pandas_udf(T.StringType())
-    def run(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<summary:string,error:string>")
+    def run(texts: pd.Series) -> pd.DataFrame:
         summarizer = _summarizer(sentence_count)
 
         def one(parts):
             if parts is None:
-                return None
+                return None, None
             try:
-                return summarizer(list(parts))
-            except (ValueError, FloatingPointError):
-                return None
+                return summarizer(list(parts)), None
+            except (ValueError, FloatingPointError) as error:
+                return None, f"{type(error).__name__}: {error}"
 
-        return pd.Series([one(p) for p in texts], dtype=object)
+        return pd.DataFrame([one(p) for p in texts], columns=["summary", "error"], dtype=object)
 
     short = count_words(text) < SHORT_WORDS
-    ranked = run(F.when(~short, sentences(text)))
     cut = F.concat(F.substring(text, 1, FALLBACK_CHARS), F.lit("..."))
-    return F.when(short, text).otherwise(F.coalesce(ranked, cut))
+
+    def chosen(ranked: Column) -> Column:
+        summary = F.when(short, text).otherwise(F.coalesce(ranked["summary"], cut))
+        return F.struct(summary.alias("summary"), ranked["error"].alias("error"))
+
+    return let(run(F.when(~short, sentences(text))), chosen)
+
+
+def summarize(text: Column, sentence_count: int = 2) -> Column:
+    """The most central sentences in text order; short texts are their own summary."""
+    return try_summarize(text, sentence_count)["summary"]

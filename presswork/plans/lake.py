@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from presswork.cluster import materialize
 from presswork.operators import collection, enrich, gold
@@ -15,6 +16,7 @@ NLP_INPUT = "nlp_input_articles"
 SEARCH_FEATURES = "search_recommender_features"
 PUBLISHER_METRICS = "daily_publisher_metrics"
 ENRICHED_TABLE = "nlp_enriched_articles"
+FAILURES = "failed"
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, int]:
@@ -61,11 +63,15 @@ def index_newest_run(spark: SparkSession, runs: str, folder: str, embedder=None)
     """Upsert the newest run into the collection; number of articles indexed.
 
     The points are embedded once, into a table of their own. Of repeated articles the
-    last in the run counts, and only the buckets that get any are written anew.
+    last in the run counts, and only the buckets that get any are written anew. Articles
+    that could not be embedded are listed, with the reason, in the folder's ``failed`` table.
     """
     documents = newest_run(spark, runs, missing_ok=True, place="_place")
-    points = materialize(collection.points(documents, embedder, carry=["_place"]), "points")
+    tried = materialize(collection.points(documents, embedder, carry=["_place"], failed="_failed"), "points")
+    points = tried.filter("_failed IS NULL").drop("_failed")
     upsert_buckets(points, folder, "point_id", "_place")
+    failures = tried.filter("_failed IS NOT NULL").select("point_id", F.col("_failed").alias("reason"))
+    overwrite_table(failures, f"{folder}/{FAILURES}")
     return points.select("point_id").distinct().count()
 
 

@@ -99,6 +99,7 @@ ENRICHED = _struct(
     predicted_category=_S,
     category=_S,
     task_errors=_STRINGS,
+    error_reasons=_STRINGS,
 )
 
 PAYLOAD = _struct(

@@ -219,6 +219,7 @@ def test_failing_models_are_counted(spark):
     errors = {r["article_id"]: r["task_errors"] for r in docs.collect()}
     assert errors == {str(n): ["language"] if n % 2 else [] for n in range(1, 7)}
     assert tuple(enrich.enrichment_report(docs).first()) == (6, 3)
+    assert [tuple(r) for r in enrich.error_report(docs).collect()] == [("language", "ValueError: odd", 3)]
 
 
 def test_enrichment_of_edge_rows(spark, small_batches):
@@ -286,6 +287,31 @@ def test_failed_embeddings_are_left_out(spark):
 
     out = collection.points(enrich.enrich(gold), load).collect()
     assert [r["payload"]["article_id"] for r in out] == ["1"] and len(out[0]["vector"]) == 384
+    tried = collection.points(enrich.enrich(gold), load, failed="why").collect()
+    assert {r["point_id"]: r["why"] for r in tried} == {"1": None, "2": "1 components"}
+
+
+def test_each_text_passes_its_own_model(spark):
+    """One pass over texts and languages; a model is loaded only where it is asked for."""
+    rows = [(i, t, c) for i, (t, c) in enumerate([("a", "fr"), ("b", "de"), ("c", "en"), (None, "fr"), ("bad", "de"), ("d", None)])]
+    df = spark.createDataFrame(rows, "i int, x string, lang string").coalesce(1)
+
+    def marked(code):
+        def run(texts):
+            assert None not in texts
+            if "bad" in texts:
+                raise KeyError("bad")
+            return [f"{code}:{t}" for t in texts]
+
+        return lambda: run
+
+    def unloadable():
+        raise RuntimeError("never asked for")
+
+    out = language.translate(df, "x", "lang", {"fr": marked("fr"), "de": marked("de"), "it": unloadable}).orderBy("i").collect()
+    assert [r["translated_text"] for r in out] == ["fr:a", "de:b", "c", None, "bad", "d"]
+    assert [r["translation_error"] for r in out] == [None] * 4 + ["KeyError: 'bad'", None]
+    assert [r["translation_failed"] for r in out] == [False] * 4 + [True, False]
 
 
 def test_summary_against_plain_matrices():
