@@ -140,7 +140,7 @@ contained AS (SELECT k, string_agg(term, '|' ORDER BY r) AS words FROM contained
     )
 
 
-def entities_cte() -> str:
+def entities_cte(places: str = words_in(d.GAZETTEER)) -> str:
     def tail(heads):
         return quoted(" (?:" + "|".join(heads) + ")$")
 
@@ -155,7 +155,7 @@ named AS (SELECT k, pos, m, regexp_full_match(m, {quoted(e.DATE)}) AS is_date,
   FROM mention_rows WHERE regexp_matches(m, '^[\p{{Lu}}$€£¥0-9].*[^ ]$|^\p{{Lu}}$')),
 labelled AS (SELECT k, pos, m AS text,
   CASE WHEN is_date THEN 'DATE' WHEN is_percent THEN 'PERCENT' WHEN is_money THEN 'MONEY'
-    WHEN lower(name) IN {words_in(d.GAZETTEER)} THEN 'GPE'
+    WHEN lower(name) IN {places} THEN 'GPE'
     WHEN regexp_matches(name, {tail(d.LOCATION_HEADS)}) THEN 'LOC'
     WHEN regexp_matches(name, {event}) AND (contains(name, ' ') OR name = 'Olympics') THEN 'EVENT'
     WHEN regexp_matches(name, {tail(d.ORGANIZATION_HEADS)}) OR lower(name) IN {words_in(d.ORGANIZATIONS)} THEN 'ORG'
@@ -366,6 +366,9 @@ SELECT doc_id, cleaned_text, {word_count('cleaned_text')}::INTEGER AS word_count
   lang = 'fr' AS translation_applied, md5(CASE WHEN lang = 'fr' THEN '[fr] ' ELSE '' END || x) AS translated_md5
   FROM texts JOIN langs USING (k)""",
     "nlp_entities": f"""WITH {TEXTS}, {entities_cte()} SELECT k AS doc_id, position, text AS entity, label FROM entities""",
+    "nlp_entities_table": rf"""WITH {TEXTS},
+gazetteer AS (SELECT DISTINCT unnest(regexp_extract_all(lower(x), '\p{{L}}{{4,}}')) AS name FROM texts),
+{entities_cte("(SELECT name FROM gazetteer)")} SELECT k AS doc_id, position, text AS entity, label FROM entities""",
     "nlp_locations": f"""WITH {TEXTS}, {entities_cte()}, gazetteer(name) AS {values((g,) for g in d.GAZETTEER)}
 SELECT k AS doc_id, position, text AS location,
   lower(text) IN (SELECT name FROM gazetteer) OR lower(text) IN (SELECT 'src ' || source FROM documents) AS verified

@@ -31,7 +31,12 @@ from presswork.operators import (
     topics,
     vector_index,
 )
-from presswork.operators.entities import extract_entities, extract_locations, verify_locations
+from presswork.operators.entities import (
+    extract_entities,
+    extract_locations,
+    verify_locations,
+    with_known_places,
+)
 from presswork.operators.ranking import number_rows
 from presswork.operators.sentiment import get_sentiment, sentiment_label, sentiment_scores
 from presswork.operators.summary import summarize
@@ -491,6 +496,18 @@ def nlp_entities(spark, sf_dir):
     )
 
 
+def nlp_entities_table(spark, sf_dir):
+    """Entities by a gazetteer table: all words of four letters or more."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}"), F.lit(0))
+    names = docs.select(F.explode(words).alias("name"))
+    known = with_known_places(docs, "text", names, "places")
+    entities = extract_entities(F.col("text"), F.col("places"))
+    return known.select("doc_id", F.posexplode(non_empty(entities)).alias("position", "e")).select(
+        "doc_id", "position", F.col("e.text").alias("entity"), F.col("e.label").alias("label")
+    )
+
+
 def nlp_locations(spark, sf_dir):
     """Every entity of a person or place label taken as a place, flagged by a table."""
     places = F.transform("entities", lambda e: F.struct(e["text"].alias("text"), F.lit("LOC").alias("label")))
@@ -843,7 +860,7 @@ QUERIES = {
         dedup_ttl, dedup_ttl_rows, dedup_ttl_crowded, dedup_ttl_stream, dedup_ttl_late, dedup_first, dedup_first_stream, dedup_unseen,
         gold_nlp_input, gold_search_features, gold_daily_publisher_metrics,
         gold_tables_written, quality_report, country_summary,
-        nlp_clean, nlp_language, nlp_translation_route, nlp_entities, nlp_locations,
+        nlp_clean, nlp_language, nlp_translation_route, nlp_entities, nlp_entities_table, nlp_locations,
         nlp_category, nlp_category_scores, nlp_keywords, nlp_keywords_doc,
         nlp_frequent_words, nlp_term_frequency, nlp_sentiment, nlp_sentiment_shares,
         nlp_summary, nlp_documents, nlp_flattened, nlp_saved_run, nlp_report, nlp_errors, portal_articles,

@@ -13,7 +13,7 @@ from presswork import dictionaries as d
 from presswork.functions.binding import first_truthy, non_empty
 from presswork.functions.models import Loader
 from presswork.functions.text import clean_text, count_words
-from presswork.operators.entities import extract_entities, extract_locations
+from presswork.operators.entities import extract_entities, extract_locations, with_known_places
 from presswork.operators.language import FALLBACK, detect_language, translate, try_detect_with
 from presswork.operators.sentiment import get_sentiment
 from presswork.operators.summary import try_summarize
@@ -47,12 +47,14 @@ def run_tasks(
     text: str = "full_text_payload",
     detector: Loader | None = None,
     translators: dict[str, Loader] | None = None,
-    gazetteer: Sequence[str] = d.GAZETTEER,
+    gazetteer: Sequence[str] | DataFrame = d.GAZETTEER,
     valences: dict[str, float] = d.VALENCES,
     repair: bool = False,
 ) -> DataFrame:
     """Add the results of all tasks as flat columns. Tasks 4 to 9 see English text.
 
+    ``gazetteer`` is a short list of lower-cased names, or a table of any size (``name``).
+
     ``task_errors`` lists the tasks that failed on a row, ``error_reasons`` says why; the row
     goes on with English as its language, its text as it was, or the head of it as summary.
     """
@@ -72,10 +74,13 @@ def run_tasks(
         {"detected_language": F.coalesce("_detected.value", F.lit(FALLBACK)), "_undetected": undetected, "_language_error": F.col("_detected.error")}
     ).drop("_detected")
     routed = translate(cleaned, "cleaned_text", "detected_language", translators)
-    english = F.col("translated_text")
+    english, places = F.col("translated_text"), gazetteer
+    if isinstance(gazetteer, DataFrame):
+        routed = with_known_places(routed, "translated_text", gazetteer, "_places")
+        places = F.col("_places")
     tagged = routed.withColumns(
         {
-            "ner_entities": extract_entities(english, gazetteer),
+            "ner_entities": extract_entities(english, places),
             "category_scores": category_scores(english),
             "sentiment": get_sentiment(english, valences),
             "_summary": try_summarize(english),
@@ -83,7 +88,7 @@ def run_tasks(
     )
     located = tagged.withColumns(
         {
-            "extracted_locations": extract_locations(F.col("ner_entities"), gazetteer),
+            "extracted_locations": extract_locations(F.col("ner_entities"), places),
             "category": best_category(F.col("category_scores")),
         }
     )
@@ -99,7 +104,7 @@ def run_tasks(
             "task_errors": F.array_compact(F.array(*[F.when(flag, F.lit(task)) for task, flag, _ in failed])),
             "error_reasons": F.array_compact(F.array(*[F.when(flag, F.coalesce(reason, F.lit("no result"))) for _, flag, reason in failed])),
         }
-    ).drop("_undetected", "_language_error", "_summary", "translation_failed", "translation_error")
+    ).drop("_places", "_undetected", "_language_error", "_summary", "translation_failed", "translation_error")
 
 
 def nest(tasks: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork import dictionaries as d
+from presswork.cluster import materialize
 from presswork.functions.binding import non_empty
 from presswork.schemas import ENTITIES
 
@@ -28,14 +29,16 @@ LEAD = "(?:" + "|".join(d.LEADING_WORDS) + ") "
 MENTION = rf"(?=[\p{{Lu}}0-9])(?<![\p{{L}}\p{{Nd}}])(?:{DATE}|{PERCENT}|{LEAD}|{NAME})|{MONEY}"
 
 CURRENCIES = ("$", "€", "£", "¥")
+SALT = 16
+Known = Callable[[Column], Column]
 
 
-def _label(name: Column, gazetteer: Sequence[str]) -> Column:
+def _label(name: Column, is_place: Known) -> Column:
     known = F.lower(name)
     several = name.contains(" ")
     head = F.substring_index(name, " ", -1)
     return (
-        F.when(known.isin(*gazetteer), "GPE")
+        F.when(is_place(known), "GPE")
         .when(several & head.isin(*d.LOCATION_HEADS), "LOC")
         .when((several & head.isin(*d.EVENT_HEADS)) | (name == "Olympics"), "EVENT")
         .when((several & head.isin(*d.ORGANIZATION_HEADS)) | known.isin(*d.ORGANIZATIONS), "ORG")
@@ -44,9 +47,9 @@ def _label(name: Column, gazetteer: Sequence[str]) -> Column:
     )
 
 
-def _entity(mention: Column, gazetteer: Sequence[str]) -> Column:
+def _entity(mention: Column, is_place: Known) -> Column:
     def named(name: Column) -> Column:
-        return F.struct(name.alias("text"), _label(name, gazetteer).alias("label"))
+        return F.struct(name.alias("text"), _label(name, is_place).alias("label"))
 
     def fixed(label: str) -> Column:
         return F.struct(mention.alias("text"), F.lit(label).alias("label"))
@@ -60,32 +63,62 @@ def _entity(mention: Column, gazetteer: Sequence[str]) -> Column:
     )
 
 
-def extract_entities(text: Column, gazetteer: Sequence[str] = d.GAZETTEER) -> Column:
+def _among(gazetteer: Sequence[str] | Column) -> Known:
+    """Test for lower-cased names: a short list, or an array column of a row's known names."""
+    if isinstance(gazetteer, Column):
+        return lambda name: F.coalesce(F.array_contains(gazetteer, name), F.lit(False))
+    return lambda name: name.isin(*gazetteer)
+
+
+def mentions(text: Column) -> Column:
+    """Dates, amounts and capitalised runs in text order."""
+    matches = F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
+    return F.filter(matches, lambda m: ~m.endswith(" "))
+
+
+def extract_entities(text: Column, gazetteer: Sequence[str] | Column = d.GAZETTEER) -> Column:
     """Entities in text order: dates, percentages, money, places and names.
 
     A run of capitalised words after any function words is a name; a single
-    capitalised word counts only when a list knows it or it is an acronym. ``gazetteer`` is a short list; pass a table of any size to
-    ``verify_locations`` instead of lengthening it.
+    capitalised word counts only when a list knows it or it is an acronym. ``gazetteer``
+    is a short list, or the column that ``with_known_places`` makes of a table.
     """
-    matches = F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
-    mentions = F.filter(matches, lambda m: ~m.endswith(" "))
-    found = F.transform(mentions, lambda m: _entity(m, gazetteer))
+    is_place = _among(gazetteer)
+    found = F.transform(mentions(text), lambda m: _entity(m, is_place))
     kept = F.filter(found, lambda e: e["label"].isNotNull())
     return F.coalesce(kept, F.array().cast(ENTITIES))
 
 
-def extract_locations(entities: Column, gazetteer: Sequence[str] = d.GAZETTEER) -> Column:
+def extract_locations(entities: Column, gazetteer: Sequence[str] | Column = d.GAZETTEER) -> Column:
     """GPE and LOC entities with a flag for names the gazetteer knows."""
+    is_place = _among(gazetteer)
     places = F.filter(entities, lambda e: e["label"].isin("GPE", "LOC"))
     return F.transform(
         places,
         lambda e: F.struct(
             e["text"].alias("text"),
-            F.lower(e["text"]).isin(*gazetteer).alias("verified_location"),
+            is_place(F.lower(e["text"])).alias("verified_location"),
         ),
     )
 
 
+def with_known_places(df: DataFrame, text: str, gazetteer: DataFrame, output: str) -> DataFrame:
+    """``df`` with the names of a gazetteer table (``name``, lower case) that each text mentions.
+
+    The rows are stored once with a number. Each row's distinct mentions meet the table in a
+    join that is salted by row, so neither the table's size nor a name that fills many
+    texts matters; what comes back is a short array per row.
+    """
+    stored = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "mentioning")
+    lowered = F.array_distinct(F.transform(mentions(F.col(text)), F.lower))
+    mentioned = stored.select("_row", F.explode(non_empty(lowered)).alias("name"))
+    mentioned = mentioned.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALT)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+    names = gazetteer.select("name").filter("name IS NOT NULL").distinct().withColumn("_salt", salts)
+    found = mentioned.join(names, ["name", "_salt"]).groupBy("_row").agg(F.collect_set("name").alias(output))
+    return stored.join(found, "_row", "left").drop("_row")
+
+
 def verify_locations(df: DataFrame, key: str, entities: str, gazetteer: DataFrame) -> DataFrame:
     """``key, locations`` against a gazetteer table (``name``, lower case).
 

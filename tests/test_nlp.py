@@ -346,3 +346,15 @@ def test_text_results_over_many_batches(spark, small_batches):
         enrich.repair_text(F.col("x")).alias("r"), get_sentiment(F.col("x")).alias("s"), summary.summarize(F.col("x")).alias("t")
     ).collect()
     assert len(out) == 200 and all("café" in r["r"] and r["s"]["label"] == "Positive" and r["t"] for r in out)
+
+
+def test_gazetteer_table_equals_list(spark, small_batches):
+    """All tasks with the gazetteer as a table of 100,000 names, null and repeated ones among them."""
+    texts = ["Paris met Old Town in New York. Zürich, Paris and Atlantis. On 3 May 2024 $5 million.", "", None, "Nothing here", "Paris " * 300]
+    rows = [(str(i), "t", "d", "US", None, t) for i, t in enumerate(texts)]
+    gold = spark.createDataFrame(rows, "article_id string, clean_title string, domain string, source_country string, published_date date, full_text_payload string")
+    known = ["paris", "new york", "atlantis"]
+    table = spark.range(100_000).selectExpr("concat('place ', id) AS name").unionByName(spark.createDataFrame([(x,) for x in [*known, None, "paris"]], "name string"))
+    columns = ["article_id", "ner_entities", "extracted_locations"]
+    by_list, by_table = (sorted(enrich.run_tasks(gold, gazetteer=g).select(columns).collect(), key=lambda r: r[0]) for g in (known, table))
+    assert by_table == by_list and by_list[0]["extracted_locations"]
