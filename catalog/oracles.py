@@ -7,6 +7,7 @@ come from the library; the rules around them are spelled out here again.
 from __future__ import annotations
 
 from presswork import dictionaries as d
+from presswork.functions.text import BLOCK, LINK
 from presswork.operators import entities as e
 from presswork.operators import sentiment as s
 
@@ -284,6 +285,21 @@ DROPPED = (
     r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<nav\b.*?</nav>"
     r"|<head\b.*?</head>|<footer\b.*?</footer>"
 )
+
+
+def page_text(html: str) -> str:
+    """Main text of the pages: articles, or else the blocks that are not mostly links."""
+    return rf"""WITH kept AS (SELECT page_id, regexp_replace({html}, {quoted(DROPPED)}, ' ', 'g') AS h FROM pages),
+blocks AS (SELECT page_id, h, list_filter(string_split_regex(h, {quoted(BLOCK)}), lambda b:
+    2 * length(regexp_replace(array_to_string(regexp_extract_all(b, {quoted(LINK)}, 1), ''), '<[^>]+>', '', 'g'))
+    <= length(regexp_replace(b, '<[^>]+>', '', 'g'))) AS own FROM kept),
+main AS (SELECT page_id, coalesce(nullif(array_to_string(regexp_extract_all(h, '(?is)<article\b[^>]*>(.*?)</article>', 1), ' '), ''),
+  array_to_string(own, ' ')) AS h FROM blocks),
+plain AS (SELECT page_id, {decoded("regexp_replace(h, '<[^>]+>', ' ', 'g')")} AS t FROM main),
+done AS (SELECT page_id, trim(regexp_replace(t, '[\s\p{{Z}}]+', ' ', 'g')) AS text FROM plain)
+SELECT page_id, text, {word_count('text')}::INTEGER AS words FROM done"""
+
+
 JSON_FIELDS = (
     "id", "title", "url", "source_country", "content", "published_at", "word_count",
     "is_breaking_news", "summary_snippet", "full_content", "article_id", "extracted_text", "ingest_timestamp",
@@ -306,11 +322,8 @@ ORACLES = {
   summary_snippet, id AS article_id, md5(text) AS text_md5 FROM scraped""",
     "feed_items": f"""WITH {ENTRIES} SELECT url, raw_title AS title, nullif(published_at, '') AS published, source_country
   FROM entries""",
-    "html_main_text": rf"""WITH kept AS (SELECT page_id, regexp_replace(html, {quoted(DROPPED)}, ' ', 'g') AS h FROM pages),
-main AS (SELECT page_id, coalesce(nullif(array_to_string(regexp_extract_all(h, '(?is)<article\b[^>]*>(.*?)</article>', 1), ' '), ''), h) AS h FROM kept),
-plain AS (SELECT page_id, {decoded("regexp_replace(h, '<[^>]+>', ' ', 'g')")} AS t FROM main),
-done AS (SELECT page_id, trim(regexp_replace(t, '[\s\p{{Z}}]+', ' ', 'g')) AS text FROM plain)
-SELECT page_id, text, {word_count('text')}::INTEGER AS words FROM done""",
+    "html_main_text": page_text("html"),
+    "html_blocks_text": page_text(r"regexp_replace(html, '(?i)</?article\b[^>]*>', ' ', 'g')"),
     "page_domains": r"SELECT page_id, regexp_extract(url, 'https?://(?:www\.)?([^/]+)', 1) AS domain FROM pages",
     "topic_records": f"""WITH {EVENT_ROWS}, events_out AS (
   SELECT *, text AS body, text AS full_content, id AS article_id, NULL::VARCHAR AS ingest_timestamp FROM scraped)
@@ -425,6 +438,8 @@ SELECT target_id, article_id, (row_number() OVER (PARTITION BY target_id ORDER B
   round(score, 6) AS similarity_score FROM pairs QUALIFY rank <= 3""",
     "vec_browse": f"""WITH {LIBRARY} SELECT article_id, title, category, source_country FROM rows
 WHERE category = 'Business' AND source_country = 'US' ORDER BY article_id LIMIT 10""",
+    "vec_trending_sketch": f"""WITH {TEXTS}, {entities_cte()} SELECT text AS entity, count(*) AS n FROM entities
+GROUP BY text ORDER BY n DESC, entity LIMIT 10""",
     "vec_trending": f"""WITH {TEXTS}, {entities_cte()} SELECT text AS entity, count(*) AS n FROM entities
 GROUP BY 1 ORDER BY n DESC, entity LIMIT 10""",
     "query_category": "SELECT conv_id, turn, CASE "

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import dictionaries as d
-from presswork.cluster import shared_path
+from presswork.cluster import materialize, shared_path
 from presswork.functions.binding import non_empty
 from presswork.functions.text import (
     clean_text,
@@ -56,22 +56,13 @@ WEEK = 604_800
 # ---------------------------------------------------------------- inputs
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table out anew when the session asks for it (``spark.presswork.spread`` tasks).
-
-    For small tables in one row group, as the benchmark has them; never by itself.
-    """
-    tasks = df.sparkSession.conf.get("spark.presswork.spread", None)
-    return df.repartition(int(tasks)) if tasks else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,11 +231,19 @@ def ingest_invalid(spark, sf_dir):
 
 
 def html_main_text(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     extracted = pages.select("page_id", main_text(F.col("html")).alias("text"))
     return extracted.select("page_id", "text", count_words(F.col("text")).alias("words"))
 
 
+def html_blocks_text(spark, sf_dir):
+    """Pages that mark no article: menus and lists of links go, the text stays."""
+    pages = table(spark, sf_dir, "pages")
+    unmarked = F.regexp_replace("html", r"(?i)</?article\b[^>]*>", " ")
+    extracted = pages.select("page_id", main_text(unmarked).alias("text"))
+    return extracted.select("page_id", "text", count_words(F.col("text")).alias("words"))
+
+
 def page_domains(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", domain_of(F.col("url")).alias("domain"))
@@ -763,6 +762,14 @@ def vec_trending(spark, sf_dir):
     return search.trending(rows, limit=10).select("entity", F.col("count").alias("n"))
 
 
+def vec_trending_sketch(spark, sf_dir):
+    """The same from one stored sketch per language, merged."""
+    entities = F.transform(extract_entities(F.col("text")), lambda e: e["text"])
+    rows = documents(spark, sf_dir).select("lang", entities.alias("entities"))
+    sketches = materialize(search.entity_sketches(rows, "lang"), "sketches")
+    return search.trending_of_sketches(sketches, limit=10).select("entity", F.col("count").alias("n"))
+
+
 def query_category(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
     return turns.select("conv_id", "turn", topics.query_category(F.col("text")).alias("category"))
@@ -854,7 +861,7 @@ def portal_collection_ranks(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        ingest_records, ingest_rejects, ingest_events, ingest_invalid, feed_items, html_main_text, page_domains,
+        ingest_records, ingest_rejects, ingest_events, ingest_invalid, feed_items, html_main_text, html_blocks_text, page_domains,
         topic_records, topic_to_bronze_stream, topic_to_bronze_batch,
         silver_articles, silver_stream, silver_doc_variant,
         dedup_ttl, dedup_ttl_rows, dedup_ttl_crowded, dedup_ttl_stream, dedup_ttl_late, dedup_first, dedup_first_stream, dedup_unseen,
@@ -867,7 +874,7 @@ QUERIES = {
         vec_embed, vec_payload, vec_points, vec_indexed, vec_upsert, vec_stats,
         vec_search, vec_search_stored, vec_search_filtered, vec_advanced, vec_advanced_stored,
         vec_related, vec_related_stored, vec_related_fallback,
-        vec_related_batch, vec_browse, vec_trending, query_category,
+        vec_related_batch, vec_browse, vec_trending, vec_trending_sketch, query_category,
         portal_facets, portal_filtered, portal_kpis, portal_ranked, portal_pages,
         portal_cards, portal_detail, portal_keyword, portal_related, portal_search, portal_collection_ranks,
     )

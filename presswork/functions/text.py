@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +13,13 @@ from presswork.functions.binding import let
 TAG = r"<[^>]+>"
 HOST = r"https?://(?:www\.)?([^/]+)"
 
+#: Tags that begin or end a block of text, and a link.
+BLOCK = (
+    r"(?i)</?(?:address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figure|figcaption|form|h[1-6]|header|hr|html"
+    r"|li|main|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>"
+)
+LINK = r"(?is)<a\b[^>]*>(.*?)</a>"
+
 UNICODE_SPACES = r"(?U)\s+"
 
 
@@ -71,27 +79,56 @@ def _spell_numeric(text: Column) -> Column:
     return F.when(text.contains("&#"), F.array_join(pieces, "")).otherwise(text)
 
 
+def _unescaped(text: Column) -> Column:
+    """All character references of the standard decoded, in Python."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        import html
+
+        return pd.Series([None if t is None else html.unescape(t) for t in texts], dtype=object)
+
+    return run(text)
+
+
 def decode_entities(text: Column) -> Column:
-    """Decode named and decimal character references; ``&amp;`` goes last."""
+    """Decode character references.
+
+    Decimal ones and the usual names are expressions; ``&amp;`` goes last. Only texts with
+    others, hexadecimal ones or any other name, go through the full table.
+    """
+    names = "|".join(r[1:] for r in [*HTML_ENTITIES, "&amp;"])
+    others = text.rlike(rf"&(?!(?:{names}|#[0-9]{{1,7}};))(?:#[xX][0-9a-fA-F]|[a-zA-Z][a-zA-Z0-9]*;)")
     out = let(text, _spell_numeric)
     for reference, character in HTML_ENTITIES.items():
         out = F.replace(out, F.lit(reference), F.lit(character))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    usual = F.replace(out, F.lit("&amp;"), F.lit("&"))
+    return F.when(others, _unescaped(F.when(others, text))).otherwise(usual)
+
+
+def content_blocks(page: Column) -> Column:
+    """Blocks of a page whose text is not mostly that of links, put together."""
+
+    def holds_content(block: Column) -> Column:
+        links = F.array_join(F.regexp_extract_all(block, F.lit(LINK), F.lit(1)), "")
+        return 2 * F.length(replace_tags(links, "")) <= F.length(replace_tags(block, ""))
+
+    return F.array_join(F.filter(F.split(page, BLOCK), holds_content), " ")
 
 
 def _article_or_all(page: Column) -> Column:
     articles = F.regexp_extract_all(
         page, F.lit(r"(?is)<article\b[^>]*>(.*?)</article>"), F.lit(1)
     )
-    return F.coalesce(F.nullif(F.array_join(articles, " "), F.lit("")), page)
+    return F.coalesce(F.nullif(F.array_join(articles, " "), F.lit("")), content_blocks(page))
 
 
 def main_text(html: Column, min_words: int | None = None) -> Column:
     """Main text of a web page, ``''`` when there is none.
 
     Comments, scripts, styles and navigation are dropped; the ``<article>``
-    elements are used when the page has any, else the body. With ``min_words``
-    a shorter text counts as a failed extraction.
+    elements are used when the page has any, else the blocks of the body that are not
+    mostly links. With ``min_words`` a shorter text counts as a failed extraction.
     """
     kept = F.regexp_replace(
         html,

@@ -22,6 +22,7 @@ from presswork.schemas import VECTOR_SIZE
 
 TARGETS_PER_BLOCK = 10_000
 TARGETS_AT_ONCE = 256
+TRACKED = 100_000  # entities that a sketch keeps apart
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -221,3 +222,21 @@ def trending(collection: DataFrame, limit: int = 10) -> DataFrame:
     """Most frequent entities of all articles; equal counts go by name."""
     counts = collection.select(F.explode(non_empty(F.col("entities"))).alias("entity")).groupBy("entity").count()
     return counts.orderBy(F.desc("count"), "entity").limit(limit)
+
+
+def entity_sketches(collection: DataFrame, *by: str, tracked: int = TRACKED) -> DataFrame:
+    """A mergeable sketch of frequent entities for each group, or one of all: ``by, sketch``.
+
+    Made per task and merged, in memory that does not grow with the articles. Counts are
+    exact while a group has at most three quarters of ``tracked`` entities, beyond that
+    the most frequent ones are kept with bounded errors.
+    """
+    mentions = collection.select(*by, F.explode(non_empty(F.col("entities"))).alias("entity"))
+    return mentions.groupBy(*by).agg(F.expr(f"approx_top_k_accumulate(entity, {tracked})").alias("sketch"))
+
+
+def trending_of_sketches(sketches: DataFrame, limit: int = 10, tracked: int = TRACKED) -> DataFrame:
+    """Most frequent entities of stored sketches, of one run or of several; equal counts go by name."""
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    found = merged.select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {tracked})")))
+    return found.select(F.col("item").alias("entity"), "count").orderBy(F.desc("count"), "entity").limit(limit)

@@ -60,3 +60,16 @@ def test_previews(one):
 
 def test_mojibake(one):
     assert one(enrich.repair_text, "cafÃ© â€“ ok", "café", "plain", None) == ["café – ok", "café", "plain", None]
+
+
+def test_references_of_all_kinds(one):
+    pages = ["&#x2014;&eacute;&Omega; &amp;lt; &nosuch; &#8212;", "a &amp; b &hellip; &#39;", "AT&T &lt;b&gt;", None]
+    assert one(text.decode_entities, *pages) == ["—éΩ &lt; &nosuch; —", "a & b … '", "AT&T <b>", None]
+
+
+def test_page_without_article_loses_its_menus(one):
+    page = (
+        "<body><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News and <b>more</b></a> |</li></ul>"
+        "<div class='x'>Body text with <a href='/c'>a link</a> in it.</div><p>Second.</p><div><a>Imprint</a> <a>Contact</a></div></body>"
+    )
+    assert one(text.main_text, page, "<p>plain</p>") == ["Body text with a link in it. Second.", "plain"]
