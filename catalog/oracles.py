@@ -66,6 +66,17 @@ SILVER = CLEANED + """, silver AS (
   SELECT *, ceil(word_count / 200.0)::INTEGER AS est_read_time_mins, ts::DATE AS published_date
   FROM counted WHERE word_count >= 30)"""
 
+DIRTY = (
+    ARTICLES.replace(" AS ts,", " AS moment,")
+    + """, dirty AS (
+  SELECT CASE WHEN doc_id % 23 <> 3 THEN id END AS id, CASE WHEN doc_id % 29 <> 4 THEN title END AS title, url, source_country,
+    CASE WHEN doc_id % 12 = 9 THEN '' ELSE content END AS content,
+    CASE doc_id % 11 WHEN 5 THEN NULL WHEN 8 THEN NULL WHEN 7 THEN moment - INTERVAL 2 HOUR ELSE moment END AS ts
+  FROM articles)"""
+    + CLEANED.removeprefix(ARTICLES).replace("FROM articles", "FROM dirty WHERE id IS NOT NULL AND title IS NOT NULL")
+    + SILVER.removeprefix(CLEANED)
+)
+
 SILVER_ROWS = f"""SELECT id, clean_title, md5(clean_content) AS content_md5, word_count, est_read_time_mins,
   domain, md5(full_text_payload) AS payload_md5, source_country, {stamp('ts')} AS published_at_ts,
   published_date::VARCHAR AS published_date FROM silver"""
@@ -334,6 +345,7 @@ FROM events_out""",
     "topic_to_bronze_batch": f"""WITH {EVENT_ROWS} SELECT source_country, count(*) AS articles,
   sum(word_count)::BIGINT AS words, count(*) FILTER (WHERE is_breaking_news) AS breaking FROM scraped GROUP BY 1""",
     "silver_articles": f"WITH {SILVER} {SILVER_ROWS}",
+    "silver_dirty": f"WITH {DIRTY} {SILVER_ROWS}",
     "silver_stream": f"WITH {SILVER} {SILVER_ROWS}",
     "silver_doc_variant": rf"""WITH {ARTICLES}, counted AS (SELECT *, {word_count('content')}::INTEGER AS word_count FROM articles)
 SELECT id, trim(lower(regexp_replace(title, '<[^>]+>', '', 'g'))) AS clean_title,

@@ -295,6 +295,11 @@ def silver_articles(spark, sf_dir):
     return _silver_columns(silver_table(spark, sf_dir))
 
 
+def silver_dirty(spark, sf_dir):
+    """Records without id or title, with their text elsewhere, with odd or no dates."""
+    return _silver_columns(silver.to_silver(fixture.dirty_articles(documents(spark, sf_dir))))
+
+
 def silver_stream(spark, sf_dir):
     path = shared_path(spark, "silver")
     stream = fixture.bronze_articles(_document_stream(spark, sf_dir))
@@ -863,7 +868,7 @@ QUERIES = {
     for f in (
         ingest_records, ingest_rejects, ingest_events, ingest_invalid, feed_items, html_main_text, html_blocks_text, page_domains,
         topic_records, topic_to_bronze_stream, topic_to_bronze_batch,
-        silver_articles, silver_stream, silver_doc_variant,
+        silver_articles, silver_dirty, silver_stream, silver_doc_variant,
         dedup_ttl, dedup_ttl_rows, dedup_ttl_crowded, dedup_ttl_stream, dedup_ttl_late, dedup_first, dedup_first_stream, dedup_unseen,
         gold_nlp_input, gold_search_features, gold_daily_publisher_metrics,
         gold_tables_written, quality_report, country_summary,

@@ -43,6 +43,38 @@ def bronze_articles(documents: DataFrame) -> DataFrame:
     )
 
 
+def dirty_articles(documents: DataFrame) -> DataFrame:
+    """Bronze records as they come from several fetchers, with holes.
+
+    By the id's remainder a record lacks its id or title, has its text in another column
+    (with another text in a column that counts less, or an empty one in one that counts
+    more), or has no date, one in another column, with an offset, or in no known form.
+    """
+
+    def where(divisor: int, rest: int, value: Column) -> Column:
+        return F.when(F.col("doc_id") % divisor == rest, value)
+
+    text, other = F.concat(F.lit("<p>"), "text", F.lit("</p>")), F.lit("some other text")
+    date = published_at()
+    iso = F.lit("2024-01-01T00:00:00Z")
+    dated = (
+        where(11, 5, F.lit("yesterday")).when(F.col("doc_id") % 11 == 7, F.replace(date, F.lit("GMT"), F.lit("+0200")))
+        .when(F.col("doc_id") % 11 == 8, iso).when(F.col("doc_id") % 11 != 6, date)
+    )
+    return documents.select(
+        F.when(F.col("doc_id") % 23 != 3, url_id(article_url())).alias("id"),
+        F.when(F.col("doc_id") % 29 != 4, article_title()).alias("title"),
+        article_url().alias("url"),
+        F.coalesce(where(4, 0, text), where(12, 9, F.lit(""))).alias("full_content"),
+        F.coalesce(where(4, 1, text), where(4, 0, other)).alias("content"),
+        F.coalesce(where(4, 2, text), where(4, 1, other)).alias("summary_snippet"),
+        F.coalesce(where(4, 3, text), where(4, 2, other)).alias("extracted_text"),
+        lookup(COUNTRY_OF_LANGUAGE, F.col("lang"), "Global").alias("source_country"),
+        dated.alias("published_at"),
+        where(11, 6, date).alias("published"),
+    )
+
+
 def feed_entries(documents: DataFrame) -> DataFrame:
     """The same documents as feed entries, some of them with holes as real feeds have.
 
