@@ -39,7 +39,8 @@ def repair_text(text: Column) -> Column:
 
         return pd.Series([one(t) for t in texts], index=texts.index, dtype=object)
 
-    return F.when(text.rlike(r"[ÃÂâ€]"), run(text)).otherwise(text)
+    suspect = text.rlike(r"[ÃÂâ€]")
+    return F.when(suspect, run(F.when(suspect, text))).otherwise(text)
 
 
 def run_tasks(
@@ -49,7 +50,7 @@ def run_tasks(
     translators: dict[str, Loader] | None = None,
     gazetteer: Sequence[str] | DataFrame = d.GAZETTEER,
     valences: dict[str, float] = d.VALENCES,
-    repair: bool = False,
+    repair: bool = True,
 ) -> DataFrame:
     """Add the results of all tasks as flat columns. Tasks 4 to 9 see English text.
 

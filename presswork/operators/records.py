@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.functions.binding import first_truthy, keep_where
+from presswork.functions.binding import first_truthy, keep_where, let
 from presswork.functions.text import count_words, strip, url_id
 from presswork.schemas import ARTICLE_EVENT, REQUIRED_EVENT_FIELDS
 
@@ -39,20 +39,26 @@ def triage_entries(entries: DataFrame) -> DataFrame:
 
     The page text is used when it has enough words, else the feed summary.
     """
-    page_text = strip(F.coalesce(F.col("extracted_text"), F.lit("")))
     summary = feed_summary()
+
+    def with_count(text: Column) -> Column:
+        return F.struct(text.alias("content"), count_words(text).alias("word_count"))
+
+    # Each text is stripped and counted once, the summary's only where it is used.
+    page = let(
+        let(strip(F.coalesce(F.col("extracted_text"), F.lit(""))), with_count),
+        lambda p: F.when(p["word_count"] >= MIN_WORDS, p),
+    )
+    chosen = F.coalesce(page, let(strip(summary), with_count))
     staged = entries.select(
         "url",
         "source_country",
         _title().alias("title"),
         F.coalesce("published", F.lit("")).alias("published_at"),
         summary.alias("summary"),
-        F.when(count_words(page_text) >= MIN_WORDS, page_text)
-        .otherwise(strip(summary))
-        .alias("content"),
+        chosen.alias("chosen"),
     )
-    counted = staged.withColumn("word_count", count_words(F.col("content")))
-    return counted.select(
+    return staged.select("*", "chosen.*").select(
         url_id(F.col("url")).alias("id"),
         "title",
         "url",
