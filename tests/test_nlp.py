@@ -358,3 +358,12 @@ def test_gazetteer_table_equals_list(spark, small_batches):
     columns = ["article_id", "ner_entities", "extracted_locations"]
     by_list, by_table = (sorted(enrich.run_tasks(gold, gazetteer=g).select(columns).collect(), key=lambda r: r[0]) for g in (known, table))
     assert by_table == by_list and by_list[0]["extracted_locations"]
+
+
+def test_lexicon_of_any_size(one):
+    """Ten thousand more words change nothing in texts that have none of them."""
+    texts = ["A very good, NOT bad day but awful!", "good " * 40, "nothing known", "", None]
+    large = {**d.VALENCES, **{f"madeup{i}": 1.5 for i in range(10_000)}}
+    small = one(lambda x: get_sentiment(x)["polarity_score"], *texts)
+    assert one(lambda x: get_sentiment(x, large)["polarity_score"], *texts) == small
+    assert one(lambda x: get_sentiment(x, large)["label"], "madeup9999", "plain") == ["Positive", "Neutral"]
