@@ -223,7 +223,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text", doc_i
 
     whole = F.coalesce(F.col(text), F.lit(""))
     doc, content, gone, bits = (unused(docs, name) for name in ("doc", "content", "gone", "bits"))
-    left = docs.withColumns({doc: F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), content: F.xxhash64(whole)})
+    plain = docs.drop("n_lines", "n_dropped") if counts else docs
+    left = plain.withColumns({doc: F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), content: F.xxhash64(whole)})
     right = bitmaps.select(F.col("doc").alias(doc), F.col("content").alias(content), F.col("n_dropped").alias(gone), F.col("keep_bits").alias(bits))
     both = left.join(right, [doc, content], "left")
     newlines = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit("")))
