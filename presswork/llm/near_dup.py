@@ -20,11 +20,11 @@ band it shares. The work in a crowded band grows with the pairs of rows of diffe
 classes in it. So, weights given, classes do not depend on partitions or on the first round.
 
 Words are runs of letters and digits, lower-cased; bytes above 127 count as letters. A
-text of one to four words is one shingle. Document frequencies cover all documents: a
-task reports the shingles that a quarter of the least share of interest of its documents
-hold, so a frequency is short by at most that part. Inverse frequencies grow no further
-below ``RARE``, hence at most (mean shingles per document) / ``RARE`` shingles matter,
-and that table is the only one that is broadcast.
+text of one to four words is one shingle. Document frequencies are exact counts over all
+documents: a first pass finds every shingle that can have the least share of interest, a
+second one counts these in all texts, so weights do not depend on partitions. Inverse
+frequencies grow no further below ``RARE``, hence at most (mean shingles per document) /
+``RARE`` shingles matter (in the first pass a third more), and only these are broadcast.
 
 Defined cases: texts without words (null and empty ones too) are duplicates only of equal
 texts, null counting as empty; rows with equal ids and different texts are separate;
@@ -53,7 +53,8 @@ BANDS, ROWS = 10, 3
 RARE = 0.01  # share of documents below which a shingle counts as rare
 IDF_GAIN = 0.5  # a rare shingle weighs 1 + IDF_GAIN times one that every document holds
 TABLE_BITS = 16
-CHUNK = 1 << 23  # shingles of a task that are counted together
+CHUNK = 1 << 21  # shingles of a task that are counted together
+LOCAL = 0.25  # of the least share: a chunk reports no shingle that fewer of its texts hold
 SLICE = 1 << 20
 WINDOW = 16  # rows before it that each of a small band is compared with in the second round
 BLOCK, MOST_BLOCK = 128, 1024  # rows of a block: an eighth of its band within these limits
@@ -141,42 +142,65 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def frequent_shingles(texts: DataFrame, rare: float = RARE) -> tuple[np.ndarray, np.ndarray, int]:
-    """Keys and document frequencies of shingles in over ``rare`` of all texts; number of texts.
+    """Keys and exact document frequencies of shingles in at least ``rare`` of all texts; number of texts.
 
-    ``texts`` has one text column. The size is bounded: every text holds on average at
-    least ``size * rare`` of these shingles.
+    ``texts`` has one text column. A first pass finds the shingles that can be so frequent,
+    a second one counts these in all texts. Both tables are bounded: every text holds on
+    average at least ``size * rare * (1 - LOCAL)`` of these shingles.
     """
+    spark = texts.sparkSession
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, docs = [], 0, 0
-
-        def counted() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            enough = n >= max(1, rare / 4 * docs)
-            keys, n = keys[enough].astype(np.int64), n[enough]
-            # The number of texts goes with the key -1.
-            return pa.RecordBatch.from_arrays([pa.array(np.append(keys, -1)), pa.array(np.append(n, docs))], names=["key", "n"])
-
-        for batch in batches:
-            for a, b in _slices(batch.column(0)):
-                keys, _, _ = shingle_counts(batch.column(0).slice(a, b - a))
-                held.append(keys)
-                size += len(keys)
-                docs += b - a
-                if size >= CHUNK:
-                    yield counted()
-                    held, size, docs = [], 0, 0
-        if docs:
-            yield counted()
+        for held, docs in _gathered(batches):
+            keys, n = np.unique(held, return_counts=True)
+            # A chunk keeps silent about shingles that at most so many of its texts hold.
+            silent = math.floor(LOCAL * rare * docs)
+            enough = n > silent
+            # What a key can have beyond the silence goes with it; texts and silence have keys of their own.
+            keys, n = np.append(keys[enough].astype(np.int64), [-1, -2]), np.append(n[enough] - silent, [docs, silent])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
 
     counts = texts.mapInArrow(local, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "frequencies")
-    total = counts.filter("key = -1").select("n").first()
-    docs = total["n"] if total else 0
-    found = counts.filter((F.col("key") >= 0) & (F.col("n") >= rare * docs)).orderBy("key").toPandas()
+    totals = {r["key"]: r["n"] for r in counts.filter("key < 0").collect()}
+    docs, silent = totals.get(-1, 0), totals.get(-2, 0)
+    possible = counts.filter((F.col("key") >= 0) & (F.col("n") + silent >= rare * docs)).select("key").orderBy("key")
+    wanted = spark.sparkContext.broadcast(possible.toPandas()["key"].to_numpy(np.uint64))
+    discard(counts)
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = wanted.value
+        total = np.zeros(len(known) + 1, np.int64)
+        for held, _ in _gathered(batches):
+            at = np.searchsorted(known, held)
+            at[known[np.minimum(at, len(known) - 1)] != held] = len(known)
+            total += np.bincount(at, minlength=len(total))
+        some = np.flatnonzero(total[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(known[some].astype(np.int64)), pa.array(total[some])], names=["key", "n"])
+
+    if not len(wanted.value):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), docs
+    counted = texts.mapInArrow(exact, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = counted.filter(F.col("n") >= rare * docs).orderBy("key").toPandas()
     return found["key"].to_numpy(np.uint64), found["n"].to_numpy(np.int64), docs
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+    """Distinct shingles of each text, put together for up to about ``CHUNK``; number of these texts."""
+    held, size, docs = [], 0, 0
+    for batch in batches:
+        for a, b in _slices(batch.column(0)):
+            keys, _, _ = shingle_counts(batch.column(0).slice(a, b - a))
+            held.append(keys)
+            size += len(keys)
+            docs += b - a
+            if size >= CHUNK:
+                yield np.concatenate(held), docs
+                held, size, docs = [], 0, 0
+    if docs:
+        yield np.concatenate(held), docs
+
+
 class Weights:
     """Weight of a shingle: its count times a damped inverse document frequency."""
 

@@ -211,3 +211,19 @@ def test_overlaps_of_a_block_are_those_of_each_pair(seed, monkeypatch):
     plain = [dict(zip(k.tolist(), n.tolist(), strict=True)) for k, n in zip(keys, counts, strict=True)]
     want = [[sum(min(n, plain[j].get(k, 0)) * (1 + k / 100) for k, n in plain[i].items()) for j in b] for i in a]
     assert np.allclose(got, want)
+
+
+@pytest.mark.parametrize("chunk", [nd.CHUNK, 300])
+def test_document_frequencies_are_exact(spark, monkeypatch, chunk):
+    # A shingle that few texts of one task hold counts there too; so does one just at the least share.
+    monkeypatch.setattr(nd, "CHUNK", chunk)
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(6))
+    first = [own(i) + (" one two three four five" if i < 4 else "") for i in range(200)]
+    second = [own(i) + (" one two three four five" if i < 260 else "") + (" a b c d e" if i >= 360 else "") for i in range(200, 400)]
+    halves = spark.createDataFrame(spark.sparkContext.parallelize([(t,) for t in first + second], 2), "text string")
+    df = Counter(s for t in first + second for s in shingles(t))
+    for texts in (halves, halves.repartition(7)):
+        keys, counts, docs = nd.frequent_shingles(texts, 0.1)
+        assert docs == 400
+        assert sorted(counts.tolist()) == sorted(n for n in df.values() if n >= 40) == [40, 64]
+        assert len(set(keys.tolist())) == len(keys)
