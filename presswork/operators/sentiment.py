@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ QUESTION, QUESTIONS = 0.18, 0.96
 ALPHA = 15.0
 THRESHOLD = 0.05
 
+SLICE_BYTES = 1 << 20  # of texts whose words are in memory together
+
 TOKEN = r"[\p{L}\p{N}_]+(?:['’-][\p{L}\p{N}_]+)*"
 
 
@@ -34,19 +38,30 @@ def sentiment_label(compound: Column) -> Column:
 SUMS = "struct<words:int,hits:int,total:double,up:double,down:double,flat:int>"
 
 
+def text_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Parts of a text column that begin within ``size`` bytes of each other."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(lengths) - lengths) // size
+    cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)).tolist()
+    for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+        yield texts.slice(start, stop - start)
+
+
 def _sums(text: Column, valences: dict[str, float]) -> Column:
     """Weighted valences of a text's words: counts, total, and sums by sign.
 
-    The words of a batch of texts are numbered, and only distinct ones are looked up, so the
+    The words of a slice of texts are numbered, and only distinct ones are looked up, so the
     cost does not depend on the size of the lexicon. What follows are array operations over
-    all lexicon words of the batch and the words before them.
+    all lexicon words of the slice and the words before them. Only a slice's words are in memory.
     """
     degrees = {w: STEP for w in d.STRENGTHENERS} | {w: -STEP for w in d.WEAKENERS}
     negations, pattern = frozenset(d.NEGATIONS), TOKEN
     dropped = str.maketrans("", "", "'’")
 
-    @F.arrow_udf(SUMS)
-    def of(texts: pa.Array) -> pa.Array:
+    def sums(texts: pa.Array) -> pa.Array:
         import numpy as np
         import regex
 
@@ -103,7 +118,13 @@ def _sums(text: Column, valences: dict[str, float]) -> Column:
             "down": add(out < 0, out - 1),
             "flat": (sizes - np.bincount(of_text[out != 0], minlength=n)).astype(np.int32),
         }
-        return pa.StructArray.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
+        kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int32())
+        return pa.StructArray.from_arrays([pa.array(x).cast(t) for x, t in zip(columns.values(), kinds, strict=True)], names=list(columns))
+
+    @F.arrow_udf(SUMS)
+    def of(texts: pa.Array) -> pa.Array:
+        parts = [sums(part) for part in text_slices(texts, SLICE_BYTES)]
+        return pa.concat_arrays(parts) if parts else sums(texts)
 
     return of(text)
 

@@ -1,9 +1,12 @@
+import re
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from presswork import dictionaries as d
-from presswork.operators import collection, enrich, language, summary, topics
+from presswork.operators import collection, enrich, language, sentiment, summary, topics
 from presswork.operators.entities import extract_entities, extract_locations, verify_locations
 from presswork.operators.sentiment import get_sentiment, polarity_band, sentiment_label, sentiment_scores
 
@@ -367,3 +370,30 @@ def test_lexicon_of_any_size(one):
     small = one(lambda x: get_sentiment(x)["polarity_score"], *texts)
     assert one(lambda x: get_sentiment(x, large)["polarity_score"], *texts) == small
     assert one(lambda x: get_sentiment(x, large)["label"], "madeup9999", "plain") == ["Positive", "Neutral"]
+
+
+def test_sentiment_of_slices_is_that_of_the_whole(spark, monkeypatch):
+    # Only the words of a slice are in memory; one text alone may be longer than a slice.
+    texts = ["good", None, "", "NOT very good but bad!", "x" * 50, "terrible " * 20, "a plain text", "great"]
+    parts = [p.to_pylist() for p in sentiment.text_slices(pa.array(texts), 10)]
+    assert [t for p in parts for t in p] == texts and len(parts) > 3
+    assert all(sum(len(t or "") for t in p[:-1]) < 20 for p in parts)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+
+    def scores():
+        return [r[1] for r in df.select("i", sentiment.sentiment_scores(F.col("t"))).orderBy("i").collect()]
+
+    whole = scores()
+    monkeypatch.setattr(sentiment, "SLICE_BYTES", 10)
+    assert scores() == whole
+
+
+def test_cleaned_text_is_made_once_and_python_gets_texts_twice(spark):
+    # Repaired texts go to Python once, cleaned ones once for sentiment and summary together.
+    df = spark.createDataFrame([("a", "<p>One text. Another <b>text</b>.</p>")], "article_id string, full_text_payload string")
+    tasks = enrich.run_tasks(df.repartition(1))
+    for columns in (["ner_entities", "category_scores", "keywords", "cleaned_word_count"], tasks.columns):
+        plan = tasks.select(*columns)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("<[^>]+>") == 1
+        assert len(re.findall(r"ArrowEvalPython", plan)) <= 2
+    assert tasks.first()["cleaned_text"] == "One text. Another text."
