@@ -18,6 +18,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def hold(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with new columns that are evaluated once per row, however often they are used.
+
+    A plain new column is copied by the optimizer into the expressions that use it, and
+    those that run lambdas evaluate every copy. A generator of one row keeps its place.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def first_truthy(*columns: Column) -> Column:
     """First value that is neither null nor the empty string."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presswork import dictionaries as d
-from presswork.functions.binding import first_truthy, non_empty
+from presswork.functions.binding import first_truthy, hold, non_empty
 from presswork.functions.models import Loader
 from presswork.functions.text import clean_text, count_words
 from presswork.operators.entities import extract_entities, extract_locations, with_known_places
@@ -24,8 +24,8 @@ from presswork.schemas import ENTITIES, LOCATIONS, NLP
 def repair_text(text: Column) -> Column:
     """Undo UTF-8 read as Windows-1252; other texts stay as they are."""
 
-    @F.pandas_udf(T.StringType())
-    def run(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.StringType())
+    def run(texts: pa.Array) -> pa.Array:
         import unicodedata
 
         def one(t):
@@ -37,7 +37,7 @@ def repair_text(text: Column) -> Column:
                 pass
             return unicodedata.normalize("NFC", t)
 
-        return pd.Series([one(t) for t in texts], index=texts.index, dtype=object)
+        return pa.array([one(t.as_py()) for t in texts], pa.string())
 
     suspect = text.rlike(r"[ÃÂâ€]")
     return F.when(suspect, run(F.when(suspect, text))).otherwise(text)
@@ -60,7 +60,7 @@ def run_tasks(
     goes on with English as its language, its text as it was, or the head of it as summary.
     """
     source = repair_text(F.col(text)) if repair else F.col(text)
-    cleaned = df.withColumn("cleaned_text", clean_text(source)).withColumns(
+    cleaned = hold(df.drop("cleaned_text"), cleaned_text=clean_text(source)).withColumns(
         {
             "_detected": (
                 F.struct(detect_language(F.col("cleaned_text")).alias("value"), F.lit(None).cast("string").alias("error"))
