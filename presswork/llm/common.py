@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -16,6 +16,23 @@ SLICE_BYTES = 4 << 20
 LATIN = "ɐ"  # below: letters on which all pattern libraries agree
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]):
+    """What a worker keeps from task to task: one thing, that of the stage it works for."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Free what the worker keeps of an earlier stage."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from presswork.cluster import materialize
 from presswork.llm import lattice
-from presswork.llm.common import TOKENIZERS, fold, strings, table
+from presswork.llm.common import TOKENIZERS, fold, kept, strings, table
 
 UNKNOWN = "und"
 VOCABULARY = f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -180,14 +180,9 @@ class Scorer:
         return [UNKNOWN if n else self.model.languages[b] for n, b in zip(none, best, strict=True)], share
 
 
-_scorer: list[Scorer] = []
-
-
 def scorer(model: Model) -> Scorer:
     """The worker's scorer of this model, kept from task to task."""
-    if not _scorer or _scorer[0].model.key != model.key:
-        _scorer[:] = [Scorer(model)]
-    return _scorer[0]
+    return kept(("language", model.key), lambda: Scorer(model))
 
 
 def predicted(spark: SparkSession, text: Column, model: Model) -> Column:

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.cluster import discard, materialize
-from presswork.llm.common import byte_buffer, byte_slices, expand, mix, table, unused
+from presswork.llm.common import byte_buffer, byte_slices, expand, forget, mix, table, unused
 from presswork.llm.components import components, merged
 
 WIDTH = 5
@@ -53,9 +53,9 @@ BANDS, ROWS = 10, 3
 RARE = 0.01  # share of documents below which a shingle counts as rare
 IDF_GAIN = 0.5  # a rare shingle weighs 1 + IDF_GAIN times one that every document holds
 TABLE_BITS = 16
-CHUNK = 1 << 21  # shingles of a task that are counted together
+CHUNK = 1 << 22  # shingles of a task that are counted together
 LOCAL = 0.25  # of the least share: a chunk reports no shingle that fewer of its texts hold
-SLICE = 1 << 20
+SLICE = 1 << 18  # bytes of texts whose shingles are worked out together
 WINDOW = 16  # rows before it that each of a small band is compared with in the second round
 BLOCK, MOST_BLOCK = 128, 1024  # rows of a block: an eighth of its band within these limits
 BLOCK_WEIGHT = 1 << 20  # total weight of a block, which bounds its shingles
@@ -151,6 +151,7 @@ def frequent_shingles(texts: DataFrame, rare: float = RARE) -> tuple[np.ndarray,
     spark = texts.sparkSession
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for held, docs in _gathered(batches):
             keys, n = np.unique(held, return_counts=True)
             # A chunk keeps silent about shingles that at most so many of its texts hold.
@@ -169,6 +170,7 @@ def frequent_shingles(texts: DataFrame, rare: float = RARE) -> tuple[np.ndarray,
     discard(counts)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         known = wanted.value
         total = np.zeros(len(known) + 1, np.int64)
         for held, _ in _gathered(batches):
@@ -186,8 +188,12 @@ def frequent_shingles(texts: DataFrame, rare: float = RARE) -> tuple[np.ndarray,
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
-    """Distinct shingles of each text, put together for up to about ``CHUNK``; number of these texts."""
-    held, size, docs = [], 0, 0
+    """Distinct shingles of each text, put together for about ``CHUNK``, at most twice that; number of these texts.
+
+    What is left at the end goes with the chunk before it: a small chunk of its own would be
+    silent about too little.
+    """
+    full, held, size, docs = ([], 0), [], 0, 0
     for batch in batches:
         for a, b in _slices(batch.column(0)):
             keys, _, _ = shingle_counts(batch.column(0).slice(a, b - a))
@@ -195,10 +201,11 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, i
             size += len(keys)
             docs += b - a
             if size >= CHUNK:
-                yield np.concatenate(held), docs
-                held, size, docs = [], 0, 0
-    if docs:
-        yield np.concatenate(held), docs
+                if full[1]:
+                    yield np.concatenate(full[0]), full[1]
+                full, held, size, docs = (held, docs), [], 0, 0
+    if full[1] + docs:
+        yield np.concatenate(full[0] + held), full[1] + docs
 
 
 class Weights:
@@ -280,6 +287,7 @@ def banded(texts: DataFrame, weights, bands: int = BANDS, rows: int = ROWS) -> D
     """``node, doc_id, total, bands`` for every row of ``doc_id, node, text``; no bands without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         known = weights.value
         sampler = Sampler(bands * rows, known.usual)
         for batch in batches:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presswork.cluster import materialize
-from presswork.llm.common import LATIN, TOKENIZERS, byte_of_letter, table
+from presswork.llm.common import LATIN, TOKENIZERS, byte_of_letter, kept, table
 
 MAX_LENGTH = 2048
 END_ID = 1
@@ -140,14 +140,9 @@ class WordEncoder:
         return out
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """One encoder per worker, which keeps its words from task to task."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return kept(("words", path), lambda: WordEncoder(path))
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -227,3 +227,13 @@ def test_document_frequencies_are_exact(spark, monkeypatch, chunk):
         assert docs == 400
         assert sorted(counts.tolist()) == sorted(n for n in df.values() if n >= 40) == [40, 64]
         assert len(set(keys.tolist())) == len(keys)
+
+
+def test_rest_of_a_task_is_not_a_small_chunk(monkeypatch):
+    # A chunk of few texts would report every shingle it has.
+    monkeypatch.setattr(nd, "CHUNK", 50)
+    monkeypatch.setattr(nd, "SLICE", 1)
+    batch = pa.record_batch([pa.array([" ".join(f"w{i}x{k}" for k in range(14)) for i in range(23)])], names=["text"])
+    chunks = list(nd._gathered(iter([batch])))
+    assert [n for _, n in chunks] == [5, 5, 5, 8] and all(len(keys) == 10 * n for keys, n in chunks)
+    assert list(nd._gathered(iter([]))) == []

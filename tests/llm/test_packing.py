@@ -91,3 +91,17 @@ def test_empty_table_repeated_and_null_ids(spark):
 def test_other_lengths(documents, max_length):
     out = pk.pack_documents(documents(["one two three four five six seven eight nine", ""]), max_length=max_length)
     assert out.agg({"length": "max"}).first()[0] == max_length and out.filter(f"offset + length > {max_length}").count() == 0
+
+
+def test_worker_keeps_only_what_its_stage_needs():
+    # The words of an earlier stage must not stay in memory beside those of the next.
+    from presswork.llm import common, language_id, lattice, near_dup
+
+    model = language_id.Model(["en"], np.full((lattice.load_vocabulary(language_id.VOCABULARY).size + 1, 1), -1.0), language_id.VOCABULARY)
+    first = language_id.scorer(model)
+    assert language_id.scorer(model) is first
+    own = pk.encoder(PATH)
+    assert pk.encoder(PATH) is own and language_id.scorer(model) is not first
+    assert len(common._kept) == 1
+    common.forget()
+    assert not common._kept and near_dup.forget is common.forget
