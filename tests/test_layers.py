@@ -244,3 +244,33 @@ def test_crowded_partition_has_writers_for_its_bytes_and_batches_repeat(spark, t
         spark.conf.unset(conf)
     assert files["p=99"] > 4 and min(files.values()) == 1
     assert spark.read.parquet(f"{tmp_path}/out").count() == 200_000
+
+
+def test_python_holds_few_texts_however_long_they_are(spark):
+    tables.prepare(spark)
+    rows = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text"))
+
+    @F.arrow_udf("long")
+    def together(texts):
+        import pyarrow as pa
+
+        return pa.array([texts.nbytes] * len(texts), pa.int64())
+
+    held = rows.select(together("text").alias("n")).agg(F.max("n"), F.count("n")).first()
+    assert held[0] <= 2 * tables.BATCH_BYTES and held[1] == 200
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    tables.prepare(spark)
+    days = spark.range(0, 60, 1, 1).select("id", F.col("id").alias("day"))
+    days.write.partitionBy("day").parquet(f"{tmp_path}/t")
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        rows = tables.read_table(spark, f"{tmp_path}/t", schema=days.schema)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    stages = [s for job in status.getJobIdsForGroup("listing") for s in status.getJobInfo(job).stageIds]
+    tasks = [status.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= tables.LISTERS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert rows.count() == 60
