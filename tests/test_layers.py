@@ -3,7 +3,9 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.queries import QUERIES
 from presswork.operators import gold, records, silver
+from presswork.plans import articles
 from presswork.schemas import ARTICLE_EVENT, BRONZE
 from presswork.sources import feeds, jsonl, tables
 from presswork.sources.tables import append_stream
@@ -246,6 +248,15 @@ def test_crowded_partition_has_writers_for_its_bytes_and_batches_repeat(spark, t
     assert spark.read.parquet(f"{tmp_path}/out").count() == 200_000
 
 
+def test_stored_silver_does_not_guess_types_from_folder_names(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(articles.COUNTRY_OF_LANGUAGE, "en", "01")
+    docs = spark.range(1, 31).select(F.col("id").alias("doc_id"), F.lit(words(40)).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["silver_stream"](spark, str(tmp_path)).select("source_country", "published_date").collect()
+    assert {r["source_country"] for r in out} == {"01"}
+    assert sorted({r["published_date"] for r in out}) == ["2024-01-01", "2024-01-02"] and len(out) == 30
+
+
 def test_python_holds_few_texts_however_long_they_are(spark):
     tables.prepare(spark)
     rows = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text"))
