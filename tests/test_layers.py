@@ -1,4 +1,5 @@
 import datetime
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,3 +286,72 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
     tasks = [status.getStageInfo(s).numTasks for s in stages]
     assert tasks and max(tasks) <= tables.LISTERS_PER_CORE * spark.sparkContext.defaultParallelism
     assert rows.count() == 60
+
+
+PLACES = ("US", "01", "a/b", "50% =é?#", "x y+z", "", None)
+PLACED = "id long, at timestamp, words array<string>, n int, ok boolean, score double, place string, day date"
+
+
+def placed(spark, first, days=("2024-01-01", "2366-02-28", None)):
+    """Rows in every place on every day; some values are null, and some times are too late for nanoseconds."""
+    rows = [
+        (first + i, None if i % 5 == 0 else f"{2024 + 25 * i}-03-04 05:06:07.000008", ["a", None][: i % 3], i or None, i % 2 == 0, i / 3, place, day)
+        for i, (place, day) in enumerate((p, d) for p in PLACES for d in days)
+    ]
+    stamped = spark.createDataFrame(rows, PLACED.replace("timestamp", "string").replace("date", "string"))
+    return stamped.withColumns({"at": F.col("at").cast("timestamp"), "day": F.col("day").cast("date")})
+
+
+def same_rows(spark, path, schema, keys):
+    """A table read in tasks, held against Spark's own scan of it."""
+    scanned = spark.read.schema(schema).parquet(path)
+    read = tables.read_table(spark, path, schema=schema, partition_by=keys)
+    assert read.inputFiles() == [] and len(scanned.inputFiles()) > 1
+    assert read.dtypes == scanned.dtypes
+    found = sorted(map(repr, read.collect()))
+    assert found == sorted(map(repr, scanned.collect()))
+    return len(found)
+
+
+def test_table_read_in_tasks_has_the_rows_of_a_scan(spark, tmp_path):
+    path, rows = f"{tmp_path}/table in %20", placed(spark, 0)
+    tables.overwrite_table(rows, path, ["place", "day"])
+    placed(spark, 100).drop("words").write.mode("append").partitionBy("place", "day").parquet(path)
+    assert same_rows(spark, path, rows.schema, ["place", "day"]) == 42
+    few = tables.read_table(spark, path, schema=rows.select("day", "n").schema, partition_by=["place", "day"])
+    assert few.columns == ["n", "day"] and few.filter("day IS NULL").count() == 14
+    (tmp_path / "table in %20" / "place=US" / "other=1").mkdir()
+    with pytest.raises(Exception, match="no folder of day"):
+        tables.read_table(spark, path, schema=rows.schema, partition_by=["place", "day"]).collect()
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, f"{tmp_path}/nothing", schema=rows.schema, partition_by=["day"])
+    tables.overwrite_table(rows.limit(0), f"{tmp_path}/empty", ["day"])
+    assert tables.read_table(spark, f"{tmp_path}/empty", schema=rows.schema, partition_by=["day"]).count() == 0
+
+
+def test_stream_read_in_tasks_has_the_files_of_its_log(spark, tmp_path):
+    path, schema = f"{tmp_path}/out", placed(spark, 0).schema
+    spark.conf.set("spark.sql.streaming.fileSink.log.compactInterval", "2")
+    try:
+        for run in range(4):
+            placed(spark, 100 * run).repartition(1).write.mode("append").parquet(f"{tmp_path}/in")
+            append_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), path, f"{tmp_path}/check", ["place", "day"]).awaitTermination()
+            # A file that a failed attempt left is in no log.
+            placed(spark, 9000, ["2025-01-01"]).write.mode("append").partitionBy("place", "day").parquet(f"{tmp_path}/left")
+            shutil.copytree(tmp_path / "left", path, dirs_exist_ok=True)
+            assert same_rows(spark, path, schema, ["place", "day"]) == 21 * (run + 1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSink.log.compactInterval")
+    assert tables.log_entries(["0", "1.compact", "2", "3.compact", "4", "junk"]) == ["3.compact", "4"]
+
+
+def many_days(spark, tmp_path):
+    docs = spark.range(0, 480, 1, 2).select(F.col("id").alias("doc_id"), F.lit(words(40)).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_gold_tables_are_not_listed_by_the_driver(spark, tmp_path):
+    out = QUERIES["gold_tables_written"](spark, many_days(spark, tmp_path))
+    assert out.inputFiles() == []
+    assert {(r["published_date"], r["articles"]) for r in out.collect()} == {(f"2024-01-{d:02}", 24) for d in range(1, 21)}
