@@ -355,3 +355,8 @@ def test_gold_tables_are_not_listed_by_the_driver(spark, tmp_path):
     out = QUERIES["gold_tables_written"](spark, many_days(spark, tmp_path))
     assert out.inputFiles() == []
     assert {(r["published_date"], r["articles"]) for r in out.collect()} == {(f"2024-01-{d:02}", 24) for d in range(1, 21)}
+
+
+def test_stored_silver_is_not_listed_by_the_driver(spark, tmp_path):
+    out = QUERIES["silver_stream"](spark, many_days(spark, tmp_path))
+    assert out.inputFiles() == [] and out.count() == 480
